@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators.nearest import nearest_port
 from quayside.operators.quality import counted
-from quayside.plans.staging import matched_columns
+from quayside.plans.staging import MATCHED_COLUMNS
 from quayside.sources.pings import append_pings, landed_files, read_pings
 
 log = logging.getLogger(__name__)
@@ -28,33 +28,23 @@ class IngestReport:
 
 def match_pings(pings: DataFrame, ports: DataFrame, **options) -> DataFrame:
     """Pings near a port in the stored columns, with the day of their file."""
-    matched = nearest_port(pings, ports, **options)
-    return matched_columns(matched).withColumn("dt", F.col("dt")) if "dt" not in pings.columns else matched.select(
-        *matched_columns(matched).columns, "dt"
-    )
+    return nearest_port(pings, ports, **options).select(*MATCHED_COLUMNS, "dt")
 
 
-def ingest_days(
+def ingest_files(
     spark: SparkSession,
-    landing: str,
-    days: list[date],
+    files: dict[date, list[str]],
     ports: DataFrame,
     path: str,
     mode: str = "overwrite_days",
 ) -> IngestReport:
-    """Ingest the files of ``days``; a day that cannot be read does not stop the others.
+    """Ingest the files of each day; a day that cannot be read does not stop the others.
 
     All days run as one job. If it fails, its days are halved and run again until the bad day is
-    alone and is reported. Days without a file are reported as absent.
+    alone and is reported.
     """
     report = IngestReport()
-    wanted = set(days)
-    files: dict[date, list[str]] = {}
-    for row in landed_files(spark, landing).where(F.col("dt").isin(sorted(wanted))).toLocalIterator():
-        files.setdefault(row["dt"], []).append(row["path"])
-    report.absent = sorted(wanted - set(files))
     ports = ports.select("locode", "lat", "lon")
-
     pending = [sorted(files)] if files else []
     while pending:
         batch = pending.pop()
@@ -75,3 +65,20 @@ def ingest_days(
     report.done.sort()
     log.info("read %d pings, kept %d, days done %d", report.read, report.kept, len(report.done))
     return report
+
+
+def ingest_days(
+    spark: SparkSession,
+    landing: str,
+    days: list[date],
+    ports: DataFrame,
+    path: str,
+    mode: str = "overwrite_days",
+) -> IngestReport:
+    """Ingest the landed files of ``days``; days without a file are reported as absent."""
+    files: dict[date, list[str]] = {}
+    for row in landed_files(spark, landing).where(F.col("dt").isin(days)).toLocalIterator():
+        files.setdefault(row["dt"], []).append(row["path"])
+    report = ingest_files(spark, files, ports, path, mode)
+    report.absent = sorted(set(days) - set(files))
+    return report

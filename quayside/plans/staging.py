@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from quayside.functions.text import strip_imo_prefix
 
 
-def matched_columns(matched: DataFrame) -> DataFrame:
-    """Columns of the ingested table, in its order, from pings matched to a port."""
-    return matched.select("mmsi", "imo", "vessel_name", "latitude", "longitude", "dep_time", "port_locode")
+# Columns of a ping matched to a port, in the order they are stored.
+MATCHED_COLUMNS = ["mmsi", "imo", "vessel_name", "latitude", "longitude", "dep_time", "port_locode"]
 
 
 def stage(raw_pings: DataFrame) -> DataFrame:

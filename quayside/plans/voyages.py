@@ -89,7 +89,7 @@ def carry_batches(batches: list[DataFrame]) -> DataFrame:
     for number, new in enumerate(batches):
         pings = carry_input(new, state)
         linked = _written(link_visits(pings), f"{work}/linked-{number}")
-        state = _written(open_visits(linked, new, state), f"{work}/state-{number}")
+        state = _written(open_visits(linked, pings, state), f"{work}/state-{number}")
         legs = completed(linked) if legs is None else legs.unionByName(completed(linked))
     return legs
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import calendar
-import re
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta, timezone
@@ -12,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside import schemas
 from quayside.functions.time import parse_time
 
 # The columns read by name, and how a day's file is called.
 PING_COLUMNS = ["mmsi", "latitude", "longitude", "base_date_time", "vessel_name", "imo"]
-FILE_NAME = "ais-{day:%Y-%m-%d}.csv"
-_FILE_DAY = r"ais-([0-9]{4}-[0-9]{2}-[0-9]{2})\.csv(\.[a-z0-9]+)?$"
+# A day's file may also be a folder of that name with the parts in it.
+FILE_DAY = r"ais-([0-9]{4}-[0-9]{2}-[0-9]{2})\.csv"
 
 
 def plan_dates(
@@ -54,11 +54,9 @@ def date_range(spark: SparkSession, days: list[date]) -> DataFrame:
 
 def landed_files(spark: SparkSession, landing: str) -> DataFrame:
     """Files of the landing folder as ``(dt, path)``, plain or compressed. Content is not read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "ais-*.csv*").load(landing)
-    return (
-        listing.select(F.regexp_extract("path", _FILE_DAY, 1).try_cast("date").alias("dt"), "path")
-        .where(F.col("dt").isNotNull())
-    )
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)
+    day = F.regexp_extract("path", FILE_DAY, 1).try_cast("date")
+    return listing.select(day.alias("dt"), "path").where(F.col("dt").isNotNull())
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
@@ -111,7 +109,7 @@ def read_pings(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
         schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
         lines = spark.read.schema(schema).option("header", True).csv(members)
         named = [F.col(f"c{header.index(c)}").alias(c) for c in PING_COLUMNS]
-        day = F.regexp_extract("_metadata.file_name", _FILE_DAY, 1).try_cast("date").alias("dt")
+        day = F.regexp_extract("_metadata.file_path", FILE_DAY, 1).try_cast("date").alias("dt")
         parts.append(typed_pings(lines.select(*named, day)))
     result = parts[0]
     for part in parts[1:]:
@@ -119,11 +117,6 @@ def read_pings(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     return result
 
 
-def file_day(path: str) -> date | None:
-    match = re.search(_FILE_DAY, path)
-    return date.fromisoformat(match.group(1)) if match else None
-
-
 def append_pings(df: DataFrame, path: str, mode: str = "overwrite_days") -> None:
     """Store matched pings with ``ingested_at``, one folder per file day ``dt``.
 
@@ -133,8 +126,7 @@ def append_pings(df: DataFrame, path: str, mode: str = "overwrite_days") -> None
     if mode not in ("overwrite_days", "append"):
         raise ValueError(f"unknown mode {mode!r}")
     stamped = df.withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz"))
-    columns = ["mmsi", "imo", "vessel_name", "latitude", "longitude", "dep_time", "port_locode", "ingested_at", "dt"]
-    writer = stamped.select(*columns).write.partitionBy("dt")
+    writer = stamped.select(*schemas.RAW_PINGS.names).write.partitionBy("dt")
     if mode == "append":
         writer.mode("append").parquet(path)
     else:

@@ -11,14 +11,8 @@ from quayside.functions.time import parse_time
 from quayside.sources.tables import append_table
 
 
-def read_run_results(spark: SparkSession, path: str) -> DataFrame:
-    """Flatten run-results documents. Absent keys give null, an absent file no rows."""
-    try:
-        documents = spark.read.schema(schemas.RUN_DOCUMENT).option("multiLine", True).json(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schemas.RUN_RESULTS)
+def flatten_documents(documents: DataFrame) -> DataFrame:
+    """One row per result of run-results documents (:data:`schemas.RUN_DOCUMENT`)."""
     return documents.select(
         F.col("metadata.run_id").alias("run_id"),
         parse_time(F.col("metadata.generated_at")).alias("generated_at"),
@@ -34,5 +28,16 @@ def read_run_results(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_run_results(spark: SparkSession, path: str) -> DataFrame:
+    """Flatten the documents at ``path``. Absent keys give null, an absent file no rows."""
+    try:
+        documents = spark.read.schema(schemas.RUN_DOCUMENT).option("multiLine", True).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schemas.RUN_RESULTS)
+    return flatten_documents(documents)
+
+
 def append_run_log(df: DataFrame, path: str) -> None:
     append_table(df.select(*schemas.RUN_RESULTS.names), path)
