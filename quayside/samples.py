@@ -27,7 +27,7 @@ def ports(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def pings(spark: SparkSession, folder: str) -> DataFrame:
+def pings(spark: SparkSession, folder: str, harbours: DataFrame | None = None) -> DataFrame:
     shift = (
         F.when(F.col("event_type") == "click", 0)
         .when(F.col("event_type") == "view", 1)
@@ -40,7 +40,7 @@ def pings(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "events")
         .withColumn("locode", at)
-        .join(ports(spark, folder), "locode")
+        .join(ports(spark, folder) if harbours is None else harbours, "locode")
         .select(
             (user + 200000000).alias("mmsi"),
             F.concat(F.when(user % 3 == 0, "IMO").otherwise(""), (user + 9000000).cast("string")).alias("imo"),
@@ -55,7 +55,9 @@ def pings(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_pings(spark: SparkSession, folder: str) -> DataFrame:
     """Pings matched to their port, in the columns of the ingested table."""
-    return nearest_port(pings(spark, folder), ports(spark, folder)).withColumnRenamed("base_date_time", "dep_time")
+    harbours = ports(spark, folder)
+    matched = nearest_port(pings(spark, folder, harbours), harbours)
+    return matched.withColumnRenamed("base_date_time", "dep_time")
 
 
 def staged(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside import config
-from quayside.functions.text import coordinate_pair, is_country_code, locode, strip
+from quayside.functions.text import is_country_code, locode, strip, unece_coord
 from quayside.sources.html import html_rows, table_after
 
 # Layout of the code-list pages.
@@ -24,27 +24,27 @@ def raw_locode(pages: DataFrame) -> DataFrame:
 def normalize_ports(raw: DataFrame) -> DataFrame:
     """Sea ports with a position from ``(iso, cells)``: known status, port function, readable place."""
     cell = [F.get("cells", F.lit(i)) for i in range(CELLS_PER_PORT)]
-    place = strip(cell[COORDINATES])
-    lat, lon = coordinate_pair(place)
+    rows = raw.where(F.size("cells") >= CELLS_PER_PORT).select(
+        locode(F.lit(""), cell[CODE]).alias("bare_code"),
+        locode(F.col("iso"), cell[CODE]).alias("locode"),
+        cell[NAME].alias("name"),
+        cell[FUNCTION].alias("function"),
+        F.substring(strip(cell[STATUS]), 1, 2).alias("status"),
+        F.split(strip(cell[COORDINATES]), " ").alias("place"),
+    )
     return (
-        raw.where(F.size("cells") >= CELLS_PER_PORT)
-        .select(
-            locode(F.lit(""), cell[CODE]).alias("bare_code"),
-            locode(F.col("iso"), cell[CODE]).alias("locode"),
-            cell[NAME].alias("name"),
-            cell[FUNCTION].alias("function"),
-            F.substring(strip(cell[STATUS]), 1, 2).alias("status"),
-            lat.alias("lat"),
-            lon.alias("lon"),
-        )
-        .where(
+        rows.where(
             (F.length("bare_code") >= 3)
             & F.col("function").contains(config.SEAPORT_FUNCTION)
             & F.col("status").isin(config.PORT_STATUS_CODES)
-            & F.col("lat").isNotNull()
-            & F.col("lon").isNotNull()
         )
-        .select("locode", "name", "lat", "lon")
+        .select(
+            "locode",
+            "name",
+            unece_coord(F.get("place", F.lit(0))).alias("lat"),
+            unece_coord(F.get("place", F.lit(1))).alias("lon"),
+        )
+        .where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     )
 
 
