@@ -16,25 +16,30 @@ def to_degrees(lat_rad: Column, lon_rad: Column) -> tuple[Column, Column]:
     return F.degrees(lat_rad), F.degrees(lon_rad)
 
 
+def planar_km_of_radians(y1: Column, x1: Column, y2: Column, x2: Column) -> Column:
+    dy, dx = y1 - y2, x1 - x2
+    return F.sqrt(dy * dy + dx * dx) * F.lit(config.EARTH_RADIUS_KM)
+
+
+def haversine_km_of_radians(y1: Column, x1: Column, y2: Column, x2: Column) -> Column:
+    sin_dy, sin_dx = F.sin((y2 - y1) / 2), F.sin((x2 - x1) / 2)
+    a = sin_dy * sin_dy + F.cos(y1) * F.cos(y2) * sin_dx * sin_dx
+    # The root is held at 1: rounding can pass it near antipodes.
+    return F.lit(2 * config.EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+
+
 def planar_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Straight distance in the (lat, lon) plane in radians, times the earth's radius.
 
     East-west distances are not shrunk with latitude and do not wrap at 180 degrees. This is the
     distance ports are matched by.
     """
-    dy = F.radians(lat1) - F.radians(lat2)
-    dx = F.radians(lon1) - F.radians(lon2)
-    return F.sqrt(dy * dy + dx * dx) * F.lit(config.EARTH_RADIUS_KM)
+    return planar_km_of_radians(*map(F.radians, (lat1, lon1, lat2, lon2)))
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance. The root is held at 1: rounding can pass it near antipodes."""
-    half_dlat = (F.radians(lat2) - F.radians(lat1)) / 2
-    half_dlon = (F.radians(lon2) - F.radians(lon1)) / 2
-    a = F.sin(half_dlat) * F.sin(half_dlat) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(
-        half_dlon
-    ) * F.sin(half_dlon)
-    return F.lit(2 * config.EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    """Great-circle distance."""
+    return haversine_km_of_radians(*map(F.radians, (lat1, lon1, lat2, lon2)))
 
 
 def km_to_nm(km: Column) -> Column:

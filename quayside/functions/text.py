@@ -68,14 +68,15 @@ def _character(code_point: Column) -> Column:
 
 def unescape_html(text: Column) -> Column:
     """Resolve ``&name;``, ``&#n;`` and ``&#xn;``; anything else stays as it is."""
-    names = F.create_map(*[F.lit(x) for pair in sorted(name2codepoint.items()) for x in pair])
+    # One constant, folded once, instead of hundreds of literals in the plan.
+    names = F.str_to_map(F.lit(",".join(f"{name}:{code}" for name, code in sorted(name2codepoint.items()))))
 
     def resolve(piece: Column) -> Column:
         token = F.regexp_extract(piece, r"^(#[0-9]{1,6}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
         number = (
             F.when(token.rlike("^#[xX]"), F.conv(F.substring(token, F.lit(3), F.length(token)), 16, 10).try_cast("int"))
             .when(token.startswith("#"), F.substring(token, F.lit(2), F.length(token)).try_cast("int"))
-            .otherwise(F.try_element_at(names, token))
+            .otherwise(F.try_element_at(names, token).cast("int"))
         )
         rest = F.substring(piece, F.length(token) + 2, F.length(piece))
         return F.coalesce(F.concat(_character(number), rest), F.concat(F.lit("&"), piece))

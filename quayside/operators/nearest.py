@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside import config
-from quayside.functions.geo import haversine_km, planar_km
+from quayside.functions.geo import haversine_km_of_radians, planar_km_of_radians, to_radians
 from quayside.operators.sizes import is_small
 
 _MARGIN = 1.1  # cells are this much wider than the radius, so that rounding cannot step over one
@@ -72,25 +72,23 @@ def nearest_port(
         sites.withColumn("cy", F.explode(F.sequence(row - 1, row + 1)))
         .withColumn("cx", F.explode(F.transform(F.sequence(first, last), wrapped)))
         .groupBy("cy", "cx")
-        .agg(F.collect_list(F.struct("lat", "lon", "locode")).alias("sites"))
+        .agg(F.collect_list(F.struct(F.radians("lat").alias("y"), F.radians("lon").alias("x"), "locode")).alias("sites"))
     )
 
     lat, lon = F.col("latitude"), F.col("longitude")
-    located = (
-        pings.where(lat.isNotNull() & lon.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon))
-        .withColumn("cy", _cell(lat, width))
-        .withColumn("cx", wrapped(_cell(lon, width)))
-    )
-    distance = planar_km if metric == "planar" else haversine_km
-    best = F.array_min(
-        F.transform(
-            "sites",
-            lambda s: F.struct(distance(lat, lon, s["lat"], s["lon"]).alias("dist_km"), s["locode"].alias("locode")),
-        )
-    )
+    y, x = to_radians(lat, lon)
+    located = pings.where(lat.isNotNull() & lon.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)).withColumns({
+        "cy": _cell(lat, width), "cx": wrapped(_cell(lon, width)), "y": y, "x": x,
+    })
+    distance = planar_km_of_radians if metric == "planar" else haversine_km_of_radians
+
+    def candidate(site: Column) -> Column:
+        km = distance(F.col("y"), F.col("x"), site["y"], site["x"])
+        return F.struct(km.alias("dist_km"), site["locode"].alias("locode"))
+
     return (
         located.join(F.broadcast(cells) if small else cells, ["cy", "cx"])
-        .withColumn("nearest", best)
+        .withColumn("nearest", F.array_min(F.transform("sites", candidate)))
         .where(F.col("nearest.dist_km") <= radius_km)
         .select(
             *pings.columns,

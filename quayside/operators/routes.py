@@ -19,29 +19,30 @@ from quayside.functions.text import route_key
 from quayside.functions.time import duration_hours
 from quayside.operators.sizes import broadcast_if_small
 
-# (dep_lon, dep_lat, arr_lon, arr_lat) -> ([[lon, lat], ...], length in nautical miles)
+_ENDS = ("dep_lon", "dep_lat", "arr_lon", "arr_lat")
+# Arguments as in _ENDS; returns ([[lon, lat], ...], length in nautical miles).
 RouteFinder = Callable[[float, float, float, float], tuple[list[list[float]], float]]
 
 
-def _leg_route_key() -> Column:
-    return route_key(F.col("dep_locode"), F.col("arr_locode"))
+def _leg_key(by: str) -> Column:
+    """What a route is looked up by: the port pair, or both positions for one route per leg."""
+    if by == "ports":
+        return route_key(F.col("dep_locode"), F.col("arr_locode"))
+    if by == "positions":
+        return F.concat_ws("_", F.lit("route"), *[F.col(c).cast("string") for c in _ENDS])
+    raise ValueError(f"unknown route key {by!r}")
 
 
-def route_pairs(legs: DataFrame) -> DataFrame:
-    """Port pairs of the legs with the number of legs, and one position for each end.
+def route_pairs(legs: DataFrame, by: str = "ports") -> DataFrame:
+    """Distinct route keys of the legs with the number of legs, and one position for each end.
 
     The position is the lowest one seen, so that a rerun asks for the same route.
     """
+    names = ["dep_locode", "arr_locode"] if by == "ports" else []
     return (
-        legs.withColumn("route_key", _leg_route_key())
-        .groupBy("route_key", "dep_locode", "arr_locode")
-        .agg(
-            F.count("*").alias("legs"),
-            F.min("dep_lat").alias("dep_lat"),
-            F.min("dep_lon").alias("dep_lon"),
-            F.min("arr_lat").alias("arr_lat"),
-            F.min("arr_lon").alias("arr_lon"),
-        )
+        legs.withColumn("route_key", _leg_key(by))
+        .groupBy("route_key", *names)
+        .agg(F.count("*").alias("legs"), *[F.min(c).alias(c) for c in _ENDS])
     )
 
 
@@ -60,12 +61,12 @@ def find_routes(pairs: DataFrame, finder: RouteFinder) -> DataFrame:
                 rows.append((pair.route_key, geometry, None if length is None else float(length)))
             yield pd.DataFrame(rows, columns=schemas.ROUTES.names)
 
-    needed = pairs.select("route_key", "dep_lon", "dep_lat", "arr_lon", "arr_lat")
+    needed = pairs.select("route_key", *_ENDS)
     return needed.mapInPandas(batches, schema=schemas.ROUTES)
 
 
-def missing_pairs(legs: DataFrame, routes: DataFrame) -> DataFrame:
-    return route_pairs(legs).join(routes.select("route_key"), "route_key", "left_anti")
+def missing_pairs(legs: DataFrame, routes: DataFrame, by: str = "ports") -> DataFrame:
+    return route_pairs(legs, by).join(routes.select("route_key"), "route_key", "left_anti")
 
 
 def geometry_text(geometry: Column) -> Column:
@@ -77,10 +78,13 @@ def enrich_routes(
     legs: DataFrame,
     routes: DataFrame | None = None,
     on_missing: str = "great_circle",
+    by: str = "ports",
     broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """Legs with ``route_geometry``, ``distance_nm`` and ``duration_hrs``, all durations positive.
 
+    ``routes`` is looked up by port pair or, with ``by="positions"``, by the exact ends of a leg.
+
     ``on_missing`` says what a leg without a route gets: ``"great_circle"`` a straight line and
     its great-circle length (also for routes of fewer than two points), ``"zero"`` no geometry and
     distance 0.
@@ -102,7 +106,7 @@ def enrich_routes(
             broadcast_max_rows,
             weight=points,
         )
-        joined = legs.withColumn("route_key", _leg_route_key()).join(lookup, "route_key", "left")
+        joined = legs.withColumn("route_key", _leg_key(by)).join(lookup, "route_key", "left")
         found = F.coalesce(F.col("found"), F.lit(False))
         geometry, length = F.col("geometry"), F.col("length_nm")
 

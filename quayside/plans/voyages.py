@@ -70,7 +70,7 @@ def carry_input(
     if state is None:
         return new.select(*columns)
     current = state.select(*columns).unionByName(new.select(*columns))
-    if late is None:
+    if late is None or late.isEmpty():
         return current
     flagged = broadcast_if_small(late.select(F.col("mmsi").alias("late_mmsi")))
     same = F.col("mmsi").eqNullSafe(F.col("late_mmsi"))
@@ -102,10 +102,12 @@ def _written(df: DataFrame, path: str) -> DataFrame:
 # --- jobs --------------------------------------------------------------------
 
 
-def update_routes(spark: SparkSession, tables: Tables, legs: DataFrame, finder: RouteFinder) -> None:
-    """Add routes of port pairs the table does not hold yet."""
+def update_routes(
+    spark: SparkSession, tables: Tables, legs: DataFrame, finder: RouteFinder, by: str = "ports"
+) -> None:
+    """Add routes the table does not hold yet."""
     known = source(spark, tables, "routes")
-    found = find_routes(missing_pairs(legs, known), finder)
+    found = find_routes(missing_pairs(legs, known, by), finder)
     aside = f"{config.shared_folder(spark)}/routes-{uuid4().hex}"
     append_table(_written(found, aside), tables.routes)
 

@@ -16,6 +16,8 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            # Many short jobs: compile lightly.
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

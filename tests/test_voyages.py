@@ -79,6 +79,18 @@ def test_finder_runs_once_per_pair(spark, tmp_path):
     assert sorted(log.read_text().split()) == ["0.0,0.0,10.0,0.0", "0.0,0.0,20.0,0.0"]
 
 
+def test_routes_by_position(spark):
+    rows = [leg(), leg(start=START + DAY, arr_at=(0.0, 11.0))]
+    legs = legs_frame(spark, rows)
+
+    def finder(dep_lon, dep_lat, arr_lon, arr_lat):
+        return [[dep_lon, dep_lat], [arr_lon, arr_lat]], arr_lon
+
+    found = routes.find_routes(routes.route_pairs(legs, "positions"), finder)
+    got = routes.enrich_routes(legs, found, by="positions").orderBy("dep_time").collect()
+    assert [r.distance_nm for r in got] == [10.0, 11.0]
+
+
 # --- quality -----------------------------------------------------------------
 
 
