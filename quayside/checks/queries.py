@@ -278,35 +278,39 @@ def dq_stored_voyages(spark: SparkSession, folder: str) -> DataFrame:
 # --- reference data ----------------------------------------------------------
 
 
-def unece_coords(spark: SparkSession, folder: str) -> DataFrame:
-    """Coordinate text made from event numbers, well formed and not."""
-    n = F.col("event_id")
-    place = _place_text(n)
-    lat, lon = text.coordinate_pair(place)
-    return samples.table(spark, folder, "events").select(
-        "event_id", place.alias("place"), F.round(lat, 9).alias("lat"), F.round(lon, 9).alias("lon"),
-    )
-
+def _places(rows: DataFrame) -> DataFrame:
+    """Coordinate text ``place`` made from the number ``n`` of each row, well formed and not."""
 
-def _place_text(n):
     def digits(value, width):
         return F.lpad(value.cast("string"), width, "0")
 
-    north = F.concat(digits(n % 90, 2), digits(n % 60, 2), F.when(n % 2 == 0, "N").otherwise("S"))
-    east = F.concat(digits(n % 180, 3), digits((n * 7) % 60, 2), F.when(n % 3 == 0, "E").otherwise("W"))
-    return (
+    n, north, east = F.col("n"), F.col("north"), F.col("east")
+    ends = rows.select(
+        "*",
+        F.concat(digits(n % 90, 2), digits(n % 60, 2), F.when(n % 2 == 0, "N").otherwise("S")).alias("north"),
+        F.concat(digits(n % 180, 3), digits((n * 7) % 60, 2), F.when(n % 3 == 0, "E").otherwise("W")).alias("east"),
+    )
+    place = (
         F.when(n % 11 == 0, F.lit(""))
         .when(n % 11 == 1, north)
         .when(n % 11 == 2, F.concat(north, F.lit("  "), east))
         .when(n % 11 == 3, F.concat(F.lit("x"), F.substring(north, 2, 4), F.lit(" "), east))
-        .when(n % 11 == 4, F.concat(F.lit("12N"), F.lit(" "), east))
+        .when(n % 11 == 4, F.concat(F.lit("12N "), east))
         .otherwise(F.concat(north, F.lit(" "), east))
     )
+    return ends.withColumn("place", place).drop("north", "east")
+
+
+def unece_coords(spark: SparkSession, folder: str) -> DataFrame:
+    """Coordinate text made from event numbers, read back."""
+    places = _places(samples.table(spark, folder, "events").select(F.col("event_id").alias("n")))
+    lat, lon = text.coordinate_pair(F.col("place"))
+    return places.select(F.col("n").alias("event_id"), "place", F.round(lat, 9).alias("lat"), F.round(lon, 9).alias("lon"))
 
 
 def port_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Raw code-list rows made from orders, reduced to usable sea ports."""
-    n = F.col("o_orderkey")
+    n = F.col("n")
     status = F.element_at(F.array(*[F.lit(c) for c in ("AI", "RL", "XX", "QQ")]), (n % 4 + 1).cast("int"))
     number = F.lpad((n % 1000).cast("string"), 3, "0")
     blank = F.lit("")
@@ -322,11 +326,12 @@ def port_filter(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("\u00a0"), status),
         F.lit("0401"),
         blank,
-        F.concat(_place_text(n), F.lit(" ")),
+        F.concat("place", F.lit(" ")),
     )
-    raw = samples.table(spark, folder, "orders").select(
+    raw = _places(samples.table(spark, folder, "orders").select(F.col("o_orderkey").alias("n"))).select(
         F.concat(F.char(65 + n % 26), F.char(65 + (n * 3) % 26)).alias("iso"),
-        F.when(n % 13 == 0, F.slice(cells, 1, 9)).otherwise(cells).alias("cells"),
+        # As on real pages, rows come out of an explode; no filter is pushed into the making of text.
+        F.explode(F.array(F.slice(cells, 1, F.when(n % 13 == 0, 9).otherwise(10)))).alias("cells"),
     )
     return locodes.normalize_ports(raw).select(
         "locode", "name", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon")

@@ -26,9 +26,13 @@ def to_number(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
-def locode(country: Column, raw: Column) -> Column:
-    """Full port code: blanks out, upper case, country in front of a 3-character code."""
-    code = F.upper(F.translate(raw, "\u00a0 ", ""))
+def bare_code(raw: Column) -> Column:
+    """A port code as written, blanks out and in upper case."""
+    return F.upper(F.translate(raw, "\u00a0 ", ""))
+
+
+def locode(country: Column, code: Column) -> Column:
+    """Full port code: a 3-character code gets the country in front."""
     return F.when(F.length(code) == 3, F.concat(country, code)).otherwise(code)
 
 

@@ -65,6 +65,8 @@ def nearest_port(
 
     known = ports.where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & ~F.isnan("lat") & ~F.isnan("lon"))
     small = is_small(known, broadcast_max_rows, weight=3 * (last - first + 1))
+    if small:
+        known = known.coalesce(1)  # they end up in one broadcast anyway: build it without shuffles
     # Ports sharing one position are the same candidate; only the lowest code can win.
     sites = known.groupBy("lat", "lon").agg(F.min("locode").alias("locode"))
     row = _cell(F.col("lat"), width)
@@ -88,7 +90,13 @@ def nearest_port(
 
     return (
         located.join(F.broadcast(cells) if small else cells, ["cy", "cx"])
-        .withColumn("nearest", F.array_min(F.transform("sites", candidate)))
+        # One candidate is the usual case and needs no loop.
+        .withColumn(
+            "nearest",
+            F.when(F.size("sites") == 1, candidate(F.col("sites")[0])).otherwise(
+                F.array_min(F.transform("sites", candidate))
+            ),
+        )
         .where(F.col("nearest.dist_km") <= radius_km)
         .select(
             *pings.columns,

@@ -92,8 +92,9 @@ def ensure_countries(spark: SparkSession, tables: Tables, pages: DataFrame, now:
     Pages without the heading bring no codes and leave the table as it is.
     """
     current = read_table(spark, tables.countries, schemas.COUNTRIES)
-    new = country_codes_of_pages(pages)
-    chosen = refresh_if_stale(current, new, config.COUNTRIES_MAX_AGE_DAYS, now)
+    if not is_stale(current, config.COUNTRIES_MAX_AGE_DAYS, now):
+        return current
+    chosen = refresh_if_stale(current, country_codes_of_pages(pages), config.COUNTRIES_MAX_AGE_DAYS, now)
     return _store(spark, chosen, current, tables.countries)
 
 
@@ -105,6 +106,8 @@ def ensure_ports(
     Only pages of countries in the countries table are used, if there is one.
     """
     current = read_table(spark, tables.ports, schemas.PORTS)
+    if not is_stale(current, config.PORTS_MAX_AGE_DAYS, now):
+        return current
     countries = read_table(spark, tables.countries, schemas.COUNTRIES)
     if countries is not None:
         pages = pages.join(countries.select(F.col("code").alias("iso")).distinct(), "iso", "left_semi")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside import config
-from quayside.functions.text import is_country_code, locode, strip, unece_coord
+from quayside.functions.text import bare_code, is_country_code, locode, strip, unece_coord
 from quayside.sources.html import html_rows, table_after
 
 # Layout of the code-list pages.
@@ -25,25 +25,24 @@ def normalize_ports(raw: DataFrame) -> DataFrame:
     """Sea ports with a position from ``(iso, cells)``: known status, port function, readable place."""
     cell = [F.get("cells", F.lit(i)) for i in range(CELLS_PER_PORT)]
     rows = raw.where(F.size("cells") >= CELLS_PER_PORT).select(
-        locode(F.lit(""), cell[CODE]).alias("bare_code"),
-        locode(F.col("iso"), cell[CODE]).alias("locode"),
+        "iso",
+        bare_code(cell[CODE]).alias("code"),
         cell[NAME].alias("name"),
         cell[FUNCTION].alias("function"),
         F.substring(strip(cell[STATUS]), 1, 2).alias("status"),
         F.split(strip(cell[COORDINATES]), " ").alias("place"),
     )
+    place = F.struct(
+        unece_coord(F.get("place", F.lit(0))).alias("lat"), unece_coord(F.get("place", F.lit(1))).alias("lon")
+    )
     return (
         rows.where(
-            (F.length("bare_code") >= 3)
+            (F.length("code") >= 3)
             & F.col("function").contains(config.SEAPORT_FUNCTION)
             & F.col("status").isin(config.PORT_STATUS_CODES)
         )
-        .select(
-            "locode",
-            "name",
-            unece_coord(F.get("place", F.lit(0))).alias("lat"),
-            unece_coord(F.get("place", F.lit(1))).alias("lon"),
-        )
+        # Through a generator, so that the filter below does not parse each place a second time.
+        .select(locode(F.col("iso"), F.col("code")).alias("locode"), "name", F.inline(F.array(place)))
         .where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     )
 

@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         "quayside-tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             # Many short jobs: compile lightly.
             "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",

@@ -87,12 +87,14 @@ def test_one_vessel_with_most_pings_is_spread(spark):
     )
     cold = hot.withColumn("mmsi", F.lit(2).cast("bigint")).limit(100)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
         linked = link_visits(hot.unionByName(cold), dense_rows=None)
         assert completed(linked).count() == 19999 + 99
         per_task = linked.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
     assert per_task < 5000
 
 
