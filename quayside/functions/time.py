@@ -26,7 +26,7 @@ def duration_hours(start: Column, end: Column) -> Column:
 
 def time_difference_hours(start: Column, end: Column) -> Column:
     """Whole seconds as hours, with the sign turned: a later end gives a negative number."""
-    return -F.timestamp_diff("SECOND", start, end) / F.lit(3600.0)
+    return F.timestamp_diff("SECOND", start, end) / F.lit(3600.0) * F.lit(-1.0)
 
 
 def age_days(since: Column, now: Column) -> Column:
