@@ -48,19 +48,20 @@ ORDER = "partition by mmsi order by dep_time nulls last, port_locode, lat, lon,
 
 
 def _stitched(source: str, prefix: str = "") -> str:
-    """Visits, all links and legs of a staged relation."""
-    return f"""{prefix}u as (
-  select *, lag(port_locode) over ({ORDER}) as prev_port from {source}),
-{prefix}visits as (
-  select mmsi, imo, vessel_name, port_locode, lat, lon, dep_time
-  from {prefix}u where prev_port is null or port_locode <> prev_port),
-{prefix}links as (
-  select mmsi, imo, vessel_name, port_locode as dep_locode, lat as dep_lat, lon as dep_lon, dep_time,
-         lead(port_locode) over ({ORDER}) as arr_locode, lead(lat) over ({ORDER}) as arr_lat,
-         lead(lon) over ({ORDER}) as arr_lon, lead(dep_time) over ({ORDER}) as arr_time
-  from {prefix}visits),
-{prefix}legs as (
-  select * from {prefix}links where arr_locode is not null and arr_time > dep_time)"""
+    """Visits, links and legs of a staged relation: rows are numbered and joined to their neighbours."""
+    p = prefix
+    return f"""{p}numbered as (select *, row_number() over ({ORDER}) as n from {source}),
+{p}visits as (
+  select here.* exclude (n) from {p}numbered here left join {p}numbered before
+    on before.mmsi is not distinct from here.mmsi and before.n + 1 = here.n
+  where before.port_locode is null or before.port_locode <> here.port_locode),
+{p}stops as (select *, row_number() over ({ORDER}) as n from {p}visits),
+{p}links as (
+  select a.mmsi, a.imo, a.vessel_name,
+         a.port_locode as dep_locode, a.lat as dep_lat, a.lon as dep_lon, a.dep_time,
+         b.port_locode as arr_locode, b.lat as arr_lat, b.lon as arr_lon, b.dep_time as arr_time
+  from {p}stops a left join {p}stops b on b.mmsi is not distinct from a.mmsi and b.n = a.n + 1),
+{p}legs as (select * from {p}links where arr_locode is not null and dep_time < arr_time)"""
 
 
 STAGED = f"with {PORTS}, {PINGS}, {_matched(PLANAR)}, {STG}"

@@ -32,7 +32,11 @@ def drop_non_positive(voyages: DataFrame) -> DataFrame:
     return voyages.where((F.col("duration_hrs") > 0) | F.col("duration_hrs").isNull())
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows while they pass, without a job of its own: ``observation.get["rows"]``."""
+def counted(df: DataFrame, name: str, **more: Column) -> tuple[DataFrame, Observation]:
+    """Count rows while they pass, without a job of its own: ``observation.get["rows"]``.
+
+    ``more`` are further aggregates to take along, of bounded size.
+    """
     observation = Observation(name)
-    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
+    extra = [column.alias(key) for key, column in more.items()]
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"), *extra), observation

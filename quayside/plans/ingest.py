@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quayside.operators.nearest import nearest_port
 from quayside.operators.quality import counted
 from quayside.plans.staging import MATCHED_COLUMNS
-from quayside.sources.pings import append_pings, landed_files, read_pings
+from quayside.sources.pings import append_pings, clear_days, landed_files, read_pings
 
 log = logging.getLogger(__name__)
 
@@ -50,8 +50,10 @@ def ingest_files(
         batch = pending.pop()
         try:
             pings, seen = counted(read_pings(spark, [p for d in batch for p in files[d]]), "read")
-            kept, near = counted(match_pings(pings, ports), "kept")
+            kept, near = counted(match_pings(pings, ports), "kept", days=F.collect_set("dt"))
             append_pings(kept, path, mode)
+            if mode == "overwrite_days":
+                clear_days(spark, path, sorted(set(batch) - set(near.get["days"])))
             report.read += seen.get["rows"]
             report.kept += near.get["rows"]
             report.done += batch

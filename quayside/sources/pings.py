@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from quayside import schemas
 from quayside.functions.time import parse_time
+from quayside.sources.tables import read_table
 
 # The columns read by name, and how a day's file is called.
 PING_COLUMNS = ["mmsi", "latitude", "longitude", "base_date_time", "vessel_name", "imo"]
@@ -131,3 +132,13 @@ def append_pings(df: DataFrame, path: str, mode: str = "overwrite_days") -> None
         writer.mode("append").parquet(path)
     else:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def clear_days(spark: SparkSession, path: str, days: list[date]) -> None:
+    """Empty the stored days that a new run found no pings for; an overwrite does not touch them."""
+    stored = read_table(spark, path, schemas.RAW_PINGS) if days else None
+    if stored is None:
+        return
+    nothing = spark.createDataFrame([], schemas.RAW_PINGS).drop("dt")
+    for (day,) in stored.where(F.col("dt").isin(days)).select("dt").distinct().toLocalIterator():
+        nothing.write.mode("overwrite").parquet(f"{path}/dt={day}")

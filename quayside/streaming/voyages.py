@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quayside import schemas
 from quayside.operators.nearest import nearest_port
+from quayside.operators.sizes import broadcast_if_small
 from quayside.operators.stitch import completed, link_visits, open_visits
 from quayside.plans.staging import stage
 from quayside.plans.voyages import carry_input, late_vessels
@@ -62,7 +63,7 @@ def stream_legs(spark: SparkSession, out: str) -> DataFrame:
     anew = spark.read.parquet(f"{out}/late").groupBy(F.col("mmsi").alias("late_mmsi")).agg(
         F.max("epoch").alias("from_epoch")
     )
-    valid = linked.join(anew, F.col("mmsi").eqNullSafe(F.col("late_mmsi")), "left").where(
+    valid = linked.join(broadcast_if_small(anew), F.col("mmsi").eqNullSafe(F.col("late_mmsi")), "left").where(
         F.col("from_epoch").isNull() | (F.col("epoch") >= F.col("from_epoch"))
     )
     return completed(valid)

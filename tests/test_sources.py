@@ -129,6 +129,16 @@ def test_row_counts_and_running_a_day_again(spark, tmp_path):
     assert spark.read.parquet(path).count() == 6
 
 
+def test_a_day_that_lost_its_pings_is_emptied(spark, tmp_path):
+    for day in (1, 2):
+        land(tmp_path / "in", f"2025-01-0{day}")
+    days, path = [D(2025, 1, 1), D(2025, 1, 2)], str(tmp_path / "pings")
+    ingest_days(spark, str(tmp_path / "in"), days, ports(spark), path)
+    land(tmp_path / "in", "2025-01-02", lines=LINES[-1:])
+    assert ingest_days(spark, str(tmp_path / "in"), days, ports(spark), path).kept == 3
+    assert {str(r.dt) for r in spark.read.parquet(path).collect()} == {"2025-01-01"}
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     landing, path = tmp_path / "in", str(tmp_path / "pings")
     reports_seen = []
