@@ -57,13 +57,15 @@ def build_session(app_name: str = "quayside", master: str | None = None, **conf:
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, for written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests, a laptop)
-    a temporary folder is made and remembered in the session.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session may go without: it gets
+    a temporary folder, remembered in the session.
     """
     for key in ("spark.checkpoint.dir", "spark.quayside.scratch.dir"):
         folder = spark.conf.get(key, None)
         if folder:
             return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     folder = tempfile.mkdtemp(prefix="quayside-")
     spark.conf.set("spark.quayside.scratch.dir", folder)
     return folder
