@@ -45,14 +45,16 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep_fi
     of each run of kept lines. Rows of equal doc_id and text are one document and share a bitmap; rows of one
     doc_id with different texts are different documents. Shorter keys, so also empty lines, always stay.
     """
-    ranged = occurrences(docs, min_chars).repartitionByRange("h1", "h2", "slice")
-    # The ranges serve this window without another shuffle.
-    in_order = Window.partitionBy("h1", "h2", "slice").orderBy("doc_id", "text_hash")
-    lines = written(ranged.withColumn("nth_doc", F.dense_rank().over(in_order)), "lines")
+    lines = written(occurrences(docs, min_chars), "lines")
     place = F.struct("doc_id", "text_hash", "pos")
-    sliced = lines.groupBy("h1", "h2", "slice").agg(F.max("nth_doc").alias("n_docs"), F.min(place).alias("first"))
+    # The ranges serve window and aggregate without another shuffle.
+    in_order = Window.partitionBy("h1", "h2", "slice").orderBy("doc_id", "text_hash")
+    streamed = lines.repartitionByRange("h1", "h2", "slice").withColumn("nth_doc", F.dense_rank().over(in_order))
+    sliced = written(streamed.groupBy("h1", "h2", "slice").agg(F.max("nth_doc").alias("n_docs"), F.min(place).alias("first")), "slices")
     found = sliced.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.min("first").alias("first")).where(F.col("n_docs") >= min_docs)
-    repeated = lines.select("h1", "h2", "doc_id", "text_hash", "pos").join(found.select("h1", "h2", "first"), ["h1", "h2"])
+    # Back to the slices first, so that no task gets all lines of a hash.
+    repeating = written(sliced.select("h1", "h2", "slice").join(found.select("h1", "h2", "first"), ["h1", "h2"]), "repeating")
+    repeated = lines.join(repeating, ["h1", "h2", "slice"])
     if keep_first:
         repeated = repeated.where(~place.eqNullSafe(F.col("first")))
     dropped = repeated.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("gone")).withColumnRenamed("doc_id", "gone_id").withColumnRenamed("text_hash", "gone_hash")

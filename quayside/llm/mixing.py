@@ -12,12 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.tables import WORD, unused
+from quayside.llm.tables import WORD, unused, written
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 #: Equal classes of random numbers; the class with a source's cut is sorted in one task.
 CLASSES = 4096
+#: Most sources whose plan is sent to all tasks, some 10 MB; with more, rows are shuffled by source.
+BROADCAST_SOURCES = 100_000
 #: The random number of a document is (k + 1/2) / 2**52, k from a digest of seed and doc_id.
 DIGITS, RANGE = 13, 2**52
 
@@ -67,9 +69,11 @@ def mix(docs: DataFrame, seed: int = 0, weights: tuple[float, ...] = WEIGHTS, ma
     keyed = docs.select(
         *[F.col(f"`{c}`") for c in own], word_count(F.col("text")).alias("size"), random_steps(seed, F.col("doc_id")).alias(step := unused(docs, "step"))
     )
-    plan = _cuts(keyed.select("source", "size", "doc_id", F.col(step).alias("step")), weights, max_copies, share, classes)
+    # Words are counted once for the plan, which needs no text, and once for the rows that carry it.
+    sizes = written(keyed.select("source", "size", "doc_id", F.col(step).alias("step")), "sizes")
+    plan = written(_cuts(sizes, weights, max_copies, share, classes), "mix")
     plan = plan.withColumnRenamed("source", key := unused(docs, "plan_source"))
-    joined = keyed.join(plan, F.col("source").eqNullSafe(F.col(key)), "left")
+    joined = keyed.join(F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan, F.col("source").eqNullSafe(F.col(key)), "left")
     extra = F.coalesce(_place(F.col(step)) <= F.col("cut"), F.lit(False)).cast("int")
     copies = (F.coalesce("whole", F.lit(0)) + extra).cast("int")
     return joined.select(

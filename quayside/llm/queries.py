@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import line_dedup, mixing, url_filter
-from quayside.llm.tables import table, text_key
+from quayside.config import shared_folder
+from quayside.llm import line_dedup, mixing, ngram_join, url_filter, warc
+from quayside.llm.tables import table
 
 HOST_PATH_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 #: Addresses that hold no prose.
@@ -30,7 +33,27 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-REGISTERED = [op1_url_filter, op2_line_dedup, op8_mixing]
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    joined = ngram_join.join(table(spark, folder, "documents").select("doc_id", "text"), n=4, percent=85)
+    return joined.select("doc_id", F.col("n_grams").alias("n_shingles"), "component_id")
+
+
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses are read with their payloads, decoded and checked; of revisits only headers are read."""
+    path = f"{shared_folder(spark)}/llm/archives-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, folder, "pages").select("page_id", "url", "html"), path, "2024-01-01T00:00:00Z")
+    responses = warc.read_archives(spark, path, verify=True).where("type = 'response'").withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    headers = "record_id string, type string, payload_digest string, refers_to string, payload_bytes long"
+    revisits = warc.read_archives(spark, path, headers).where("type = 'revisit'")
+    columns = [c.split()[0] for c in headers.split(", ")]
+    page = lambda name: F.nullif(F.regexp_extract(name, "^urn:page_id:(.*)$", 1), F.lit("")).cast("long")
+    return responses.select(columns).union(revisits.select(columns)).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page("refers_to").alias("refers_to")
+    )
+
+
+REGISTERED = [op1_url_filter, op2_line_dedup, op5_ngram_join, op8_mixing, op10_warc]
+
 
 ORACLES = {
     "op1_url_filter": r"""
@@ -81,4 +104,27 @@ ORACLES = {
                    sum(size) OVER (PARTITION BY d.source ORDER BY step, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size / 2.0::DOUBLE AS middle
             FROM docs d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source)
         SELECT doc_id, size, source_size, target, size * (whole + (middle <= wanted AND wanted > 0)::BIGINT) AS taken FROM ranked""",
+    "op5_ngram_join": r"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS grams FROM docs),
+        rows_ AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM rows_ a JOIN rows_ b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reached AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, p.b FROM reached r JOIN pairs p ON r.other = p.a)
+        SELECT s.doc_id, len(s.grams) AS n_shingles, min(r.other) AS component_id FROM sets s JOIN reached r USING (doc_id) GROUP BY s.doc_id, len(s.grams)""",
+    "op10_warc": r"""
+        WITH sums AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+        named AS (
+            SELECT page_id, octet_length(encode(html)) AS payload_bytes, hex,
+                   array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform([15, 10, 5, 0],
+                       lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(hex, g * 5 + 1, 5))::INT >> s) % 32 + 1, 1)), '')), '') AS payload_digest
+            FROM sums),
+        firsts AS (SELECT hex, payload_bytes, max(page_id) AS first_id FROM named GROUP BY hex, payload_bytes)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM named JOIN firsts USING (hex, payload_bytes)""",
 }
