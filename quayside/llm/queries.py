@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.config import shared_folder
-from quayside.llm import line_dedup, mixing, ngram_join, url_filter, warc
+from quayside.llm import ann, decontaminate, line_dedup, mixing, ngram_join, quality, secrets, toxicity, url_filter, warc
 from quayside.llm.tables import table
 
 HOST_PATH_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
@@ -28,16 +28,41 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return quality.classify(docs, table(spark, folder, "labels")).select("doc_id", "quality_score", "keep")
+
+
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"), n=5, percent=80)
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op4_ann(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     joined = ngram_join.join(table(spark, folder, "documents").select("doc_id", "text"), n=4, percent=85)
     return joined.select("doc_id", F.col("n_grams").alias("n_shingles"), "component_id")
 
 
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Findings without the secrets themselves: a digest and the length stand for the value."""
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "position", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Responses are read with their payloads, decoded and checked; of revisits only headers are read."""
     path = f"{shared_folder(spark)}/llm/archives-{uuid.uuid4().hex}"
@@ -52,7 +77,9 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-REGISTERED = [op1_url_filter, op2_line_dedup, op5_ngram_join, op8_mixing, op10_warc]
+REGISTERED = [
+    op1_url_filter, op2_line_dedup, op3_toxicity, op4_ann, op5_ngram_join, op6_quality, op7_decontaminate, op8_mixing, op9_secrets, op10_warc,
+]
 
 
 ORACLES = {
@@ -127,4 +154,16 @@ ORACLES = {
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> first_id THEN first_id END AS refers_to
         FROM named JOIN firsts USING (hex, payload_bytes)""",
+    "op7_decontaminate": r"""
+        WITH texts AS (
+            SELECT 'doc' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'item', item_id, text FROM benchmark),
+        worded AS (
+            SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM texts),
+        sets AS (
+            SELECT kind, id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS grams FROM worded),
+        rows_ AS (SELECT kind, id, len(grams) AS n, unnest(grams) AS gram FROM sets)
+        SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared, i.n AS n_shingles
+        FROM rows_ d JOIN rows_ i ON d.kind = 'doc' AND i.kind = 'item' AND d.gram = i.gram
+        GROUP BY d.id, i.id, i.n HAVING 100 * count(*) >= 80 * i.n""",
 }
