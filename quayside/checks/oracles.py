@@ -105,8 +105,8 @@ def _lon(n: str) -> str:
 
 RUN_LOG = """with run_log as (
   select cast(cast(ts as date) as timestamp) as generated_at,
-         case event_id % 4 when 0 then 'model.maritime.stg_ais_' || cast(user_id as varchar)
-              when 1 then 'model.maritime.voyages' when 2 then 'model.maritime.stgXais' end as unique_id,
+         case event_id % 4 when 0 then 'model.ships.stg_ais_' || cast(user_id as varchar)
+              when 1 then 'model.ships.voyages' when 2 then 'model.ships.stgXais' end as unique_id,
          event_type as status, value as execution_time, user_id as rows_affected
   from events)"""
 
@@ -128,6 +128,10 @@ select event_id, port_locode, round(dist_km, 6) as dist_km from raw_pings""",
 select event_id, port_locode, round(dist_km, 6) as dist_km from raw_pings""",
     "stg_ais": f"{STAGED} select * from stg",
     "port_visits": f"{BASE} select * from visits",
+    "port_visits_gaps": f"""{STAGED},
+gaps as (select * replace (case when (epoch_us(dep_time) + mmsi) % 5 <> 0 then port_locode end as port_locode) from stg),
+again as (select * from gaps union all select gaps.* from gaps, range(2) where (epoch_us(dep_time) + mmsi) % 7 = 0),
+{_stitched('again', 'g_')} select * from g_visits""",
     "voyage_legs": LEGS,
     "voyage_legs_thinned": LEGS,
     "voyage_duration": f"""{BASE} select mmsi, dep_time, {HOURS} as duration_hrs,

@@ -78,8 +78,17 @@ def voyage_legs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def voyage_legs_thinned(spark: SparkSession, folder: str) -> DataFrame:
-    """The same legs with every slice of two pings or more treated as too full for one task."""
-    return _legs(spark, folder, slice_minutes=1440, dense_rows=1)
+    """The same legs from slices of a day and pings that are all reported twice."""
+    staged = samples.staged(spark, folder)
+    return stitch.voyage_legs(staged.unionByName(staged), slice_minutes=1440)
+
+
+def port_visits_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Visits when every fifth ping has lost its port and every seventh is reported three times."""
+    n = F.unix_micros(F.col("dep_time").cast("timestamp")) + F.col("mmsi")
+    staged = samples.staged(spark, folder).withColumn("port_locode", F.when(n % 5 != 0, F.col("port_locode")))
+    again = staged.where(n % 7 == 0)
+    return stitch.port_visits(staged.unionByName(again).unionByName(again))
 
 
 # --- distance, duration, routes ----------------------------------------------
@@ -373,9 +382,9 @@ def _run_log(spark: SparkSession, folder: str) -> DataFrame:
     return samples.table(spark, folder, "events").select(
         F.date_format("ts", "yyyyMMdd").alias("run_id"),
         F.to_date("ts").cast("timestamp_ntz").alias("generated_at"),
-        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("model.maritime.stg_ais_"), F.col("user_id").cast("string")))
-        .when(F.col("event_id") % 4 == 1, F.lit("model.maritime.voyages"))
-        .when(F.col("event_id") % 4 == 2, F.lit("model.maritime.stgXais")).alias("unique_id"),
+        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("model.ships.stg_ais_"), F.col("user_id").cast("string")))
+        .when(F.col("event_id") % 4 == 1, F.lit("model.ships.voyages"))
+        .when(F.col("event_id") % 4 == 2, F.lit("model.ships.stgXais")).alias("unique_id"),
         F.col("event_type").alias("status"),
         F.col("value").alias("execution_time"),
         F.col("user_id").alias("rows_affected"),
@@ -427,7 +436,7 @@ def date_range(spark: SparkSession, folder: str) -> DataFrame:
     """Planned days between the first and last ping, with the pings found for each (0 for none)."""
     events = samples.table(spark, folder, "events")
     first, last = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
-    days = [d for d in ping_files.plan_dates(first.year, first.month) if first <= d <= last]
+    days = [d for year in range(first.year, last.year + 1) for d in ping_files.plan_dates(year) if first <= d <= last]
     found = events.groupBy(F.to_date("ts").alias("dt")).agg(F.count("*").alias("pings"))
     return ping_files.date_range(spark, days).join(found, "dt", "left").select(
         F.col("dt").cast("string").alias("dt"), "file_name", F.coalesce("pings", F.lit(0)).alias("pings")
@@ -441,7 +450,9 @@ def time_parsing(spark: SparkSession, folder: str) -> DataFrame:
         F.when(n % 5 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
         .when(n % 5 == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
         .when(n % 5 == 2, F.lit(""))
-        .when(n % 5 == 3, F.lit("not a time"))
+        .when(n % 10 == 3, F.lit("not a time"))
+        .when(n % 20 == 8, F.lit("T10:00"))
+        .when(n % 20 == 18, F.date_format("ts", "yyyy"))
         .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
     )
     return samples.table(spark, folder, "events").select("event_id", time.parse_time(written).alias("parsed"))
@@ -473,7 +484,7 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     work = _work(spark, "ingest")
     _land_files(spark, folder, f"{work}/landing")
     ports = samples.ports(spark, folder)
-    days = ping_files.plan_dates(2024, 1)
+    days = sorted(row["dt"] for row in ping_files.landed_files(spark, f"{work}/landing").select("dt").distinct().toLocalIterator())
     ingest_days(spark, f"{work}/landing", days, ports, f"{work}/pings")
     ingest_days(spark, f"{work}/landing", days[3:4], ports, f"{work}/pings")
     return _stored(spark, f"{work}/pings")
@@ -491,7 +502,7 @@ def stream_csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_stitched(spark: SparkSession, folder: str) -> DataFrame:
-    """Legs from a stream of pings that arrive in time order, four files, one per micro-batch."""
+    """Legs from a stream of pings that arrive in time order, in four micro-batches of four files."""
     work = _work(spark, "stream")
     pings = samples.pings(spark, folder).withColumnRenamed("base_date_time", "dep_time")
     bounds = [None, *BATCH_STARTS[1:], None]
@@ -501,15 +512,15 @@ def stream_stitched(spark: SparkSession, folder: str) -> DataFrame:
             part = part.where(F.col("dep_time") >= F.lit(first).cast("timestamp_ntz"))
         if last is not None:
             part = part.where(F.col("dep_time") < F.lit(last).cast("timestamp_ntz"))
-        part.coalesce(1).write.mode("append").parquet(f"{work}/landing")
-    arriving = spark.readStream.schema(pings.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/landing")
+        part.repartition(4).write.mode("append").parquet(f"{work}/landing")
+    arriving = spark.readStream.schema(pings.schema).option("maxFilesPerTrigger", 4).parquet(f"{work}/landing")
     staged = match_stream(arriving, samples.ports(spark, folder))
     stream_stitch(staged, f"{work}/out", f"{work}/checkpoint").awaitTermination()
     return stream_legs(spark, f"{work}/out")
 
 
 REGISTERED: list[Query] = [
-    nearest_port_pings, nearest_port_haversine, nearest_port_shuffled, stg_ais, port_visits, voyage_legs,
+    nearest_port_pings, nearest_port_haversine, nearest_port_shuffled, stg_ais, port_visits, port_visits_gaps, voyage_legs,
     voyage_legs_thinned, voyage_duration, voyage_distance, angle_conversion, expected_duration,
     voyages_zero_policy, voyages_great_circle, route_key_pairs, route_lookup, route_geojson, path_downsample,
     overview_totals, recent_voyages, vessel_stats, vessel_history, vessel_page, voyages_last_n_days,

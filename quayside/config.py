@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 from dataclasses import dataclass
 
@@ -18,6 +17,8 @@ MEDIUM_PATH_POINTS, MEDIUM_PATH_KEEP_EVERY = 30, 2
 PORT_STATUS_CODES = ["AA", "AC", "AF", "AI", "AM", "AS", "AQ", "RL", "RQ", "RN", "QQ"]
 SEAPORT_FUNCTION = "1"
 LOOKBACK_DAYS = 14
+# A day's file may hold pings of so many days after it; a look-back reads files from that much earlier.
+FILE_DAY_MARGIN = 1
 COUNTRIES_MAX_AGE_DAYS = 365
 PORTS_MAX_AGE_DAYS = 180
 DEFAULT_SPEED_KN = 12.5
@@ -25,12 +26,10 @@ DEFAULT_SPEED_KN = 12.5
 # --- Limits of physical choices: results do not depend on them ---------------
 # A side is broadcast only after a check that it has at most this many rows.
 BROADCAST_MAX_ROWS = 1_000_000
-# Number of pieces a hot join key is cut into when a side is too big to broadcast.
-JOIN_SALTS = 32
+# Tasks that a route finder runs in.
+FINDER_TASKS = 64
 # A vessel's pings are stitched in time slices of this width.
-SLICE_MINUTES = 60
-# A (vessel, slice) with more pings than this is thinned of repeated reports first.
-DENSE_SLICE_ROWS = 1_000_000
+SLICE_MINUTES = 15
 
 
 def build_session(app_name: str = "quayside", master: str | None = None, **conf: str) -> SparkSession:
@@ -107,7 +106,3 @@ class Tables:
     @property
     def run_results(self) -> str:
         return self._at("operations", "run_results")
-
-    @classmethod
-    def from_env(cls, default: str = "warehouse") -> "Tables":
-        return cls(os.environ.get("QUAYSIDE_ROOT", default))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,27 +63,25 @@ def route_key(dep: Column, arr: Column) -> Column:
 
 
 def _character(code_point: Column) -> Column:
-    """One character from its number, inside the 16-bit plane; null outside."""
-    return F.when(
-        (code_point > 0) & (code_point < 65536),
-        F.decode(F.unhex(F.lpad(F.hex(code_point), 4, "0")), "UTF-16BE"),
-    )
+    """One character from its number; null if there is none."""
+    known = (code_point > 0) & (code_point < 0x110000) & ~code_point.between(0xD800, 0xDFFF)
+    return F.when(known, F.decode(F.unhex(F.lpad(F.hex(code_point), 8, "0")), "UTF-32"))
 
 
 def unescape_html(text: Column) -> Column:
-    """Resolve ``&name;``, ``&#n;`` and ``&#xn;``; anything else stays as it is."""
-    # One constant, folded once, instead of hundreds of literals in the plan.
-    names = F.str_to_map(F.lit(",".join(f"{name}:{code}" for name, code in sorted(name2codepoint.items()))))
+    """Resolve ``&name;`` (all HTML 5 names), ``&#n;`` and ``&#xn;``; anything else stays as it is."""
+    # One constant, folded once, instead of thousands of literals in the plan.
+    coded = sorted((name[:-1], value.encode("utf-16-be").hex()) for name, value in html5.items() if name.endswith(";"))
+    names = F.str_to_map(F.lit(",".join(f"{name}:{code}" for name, code in coded)))
 
     def resolve(piece: Column) -> Column:
-        token = F.regexp_extract(piece, r"^(#[0-9]{1,6}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        number = (
-            F.when(token.rlike("^#[xX]"), F.conv(F.substring(token, F.lit(3), F.length(token)), 16, 10).try_cast("int"))
-            .when(token.startswith("#"), F.substring(token, F.lit(2), F.length(token)).try_cast("int"))
-            .otherwise(F.try_element_at(names, token).cast("int"))
+        token = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        number = F.when(token.rlike("^#[xX]"), F.conv(F.substring(token, F.lit(3), F.length(token)), 16, 10).try_cast("int")).when(
+            token.startswith("#"), F.substring(token, F.lit(2), F.length(token)).try_cast("int")
         )
+        named = F.decode(F.unhex(F.try_element_at(names, token)), "UTF-16BE")
         rest = F.substring(piece, F.length(token) + 2, F.length(piece))
-        return F.coalesce(F.concat(_character(number), rest), F.concat(F.lit("&"), piece))
+        return F.coalesce(F.concat(F.coalesce(_character(number), named), rest), F.concat(F.lit("&"), piece))
 
     pieces = F.split(text, "&")
     resolved = F.concat(

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A time alone would be read as today's, a year alone as its first day.
+_DATE = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+
 
 def parse_time(text: Column) -> Column:
-    """ISO-8601 text to a zone-less timestamp; null when empty or unreadable.
+    """ISO-8601 text to a zone-less timestamp; null when empty, unreadable or without a whole date.
 
     A zone in the text is turned into UTC (the session zone).
     """
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    return F.when(text.rlike(_DATE), F.try_to_timestamp(text)).cast("timestamp_ntz")
 
 
 def seconds_between(start: Column, end: Column) -> Column:

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside import schemas
+from quayside import config, schemas
 from quayside.functions.geo import haversine_km, is_path, km_to_nm, line_string
 from quayside.functions.text import route_key
 from quayside.functions.time import duration_hours
@@ -47,7 +47,11 @@ def route_pairs(legs: DataFrame, by: str = "ports") -> DataFrame:
 
 
 def find_routes(pairs: DataFrame, finder: RouteFinder) -> DataFrame:
-    """Routes (:data:`schemas.ROUTES`) of distinct pairs. A pair the finder fails on has none."""
+    """Routes (:data:`schemas.ROUTES`) of distinct pairs. A pair the finder fails on has one without geometry and length.
+
+    Pairs are dealt over a fixed number of tasks: their rows are small, but the finder's time is not.
+    """
+    names = list(schemas.ROUTES.names)  # workers need not find this package
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -56,12 +60,13 @@ def find_routes(pairs: DataFrame, finder: RouteFinder) -> DataFrame:
                 try:
                     path, length = finder(pair.dep_lon, pair.dep_lat, pair.arr_lon, pair.arr_lat)
                 except Exception:  # any failure of the finder means "no route", never a lost leg
+                    rows.append((pair.route_key, None, None))
                     continue
                 geometry = {"type": "LineString", "coordinates": [[float(x), float(y)] for x, y in path]}
                 rows.append((pair.route_key, geometry, None if length is None else float(length)))
-            yield pd.DataFrame(rows, columns=schemas.ROUTES.names)
+            yield pd.DataFrame(rows, columns=names)
 
-    needed = pairs.select("route_key", *_ENDS)
+    needed = pairs.select("route_key", *_ENDS).repartition(config.FINDER_TASKS, "route_key")
     return needed.mapInPandas(batches, schema=schemas.ROUTES)
 
 
@@ -102,7 +107,10 @@ def enrich_routes(
         # Measured in path points: they, not the rows, fill the memory.
         points = F.greatest(F.size(F.coalesce(F.col("geometry.coordinates"), F.array())), F.lit(1))
         lookup = broadcast_if_small(
-            routes.select("route_key", "geometry", "length_nm", F.lit(True).alias("found")),
+            # A pair that was asked for and has no route counts as missing.
+            routes.where(F.col("geometry").isNotNull() | F.col("length_nm").isNotNull()).select(
+                "route_key", "geometry", "length_nm", F.lit(True).alias("found")
+            ),
             broadcast_max_rows,
             weight=points,
         )

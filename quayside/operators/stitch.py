@@ -4,7 +4,8 @@ A visit is the first of a run of pings at one port; a leg joins a visit to the n
 as one window per vessel this is ``lag``, a filter and ``lead``. But one vessel may own a third of
 all pings (a shared or missing MMSI does), and a window partition cannot be split. So the windows
 run per (vessel, time slice), where runs collapse, and only the first and last candidate of every
-slice meet per vessel: at most two rows per slice, however many pings there are.
+slice meet per vessel: at most two rows per slice, however many pings there are. Reports repeated
+at one time and port are merged before they are shuffled.
 """
 
 from __future__ import annotations
@@ -14,38 +15,24 @@ from pyspark.sql import functions as F
 
 from quayside import config, schemas
 from quayside.functions.time import time_slice
-from quayside.operators.sizes import broadcast_if_small
 
 # Pings of a vessel in time order. The columns after the time make the order total.
 ORDER = ("dep_time", "port_locode", "lat", "lon", "imo", "vessel_name")
 
 
-def _thin_repeats(pings: DataFrame, dense_rows: int | None) -> DataFrame:
-    """Drop repeated reports where a (vessel, slice) is too full for one task.
+def _without_repeats(pings: DataFrame) -> DataFrame:
+    """One report for each vessel, time and port, reduced before the shuffle.
 
     Reports of a vessel at one time and port stand next to each other in ``ORDER``; only the first
-    of them can open a visit. Without a port, the last one matters too (each such report restarts
-    the run). The groups are reduced before the shuffle.
+    of them can open a visit. Without a port each report opens one, so equal ones are counted and
+    put back.
     """
-    if dense_rows is None:
-        return pings
-    dense = pings.groupBy("mmsi", "slice").count().where(F.col("count") > dense_rows)
-    dense = dense.select(F.col("mmsi").alias("dense_mmsi"), F.col("slice").alias("dense_slice"))
-    if dense.isEmpty():
-        return pings
-    dense = broadcast_if_small(dense)
-    same = F.col("mmsi").eqNullSafe(F.col("dense_mmsi")) & (F.col("slice") == F.col("dense_slice"))
     rest = F.struct("lat", "lon", "imo", "vessel_name")
-    ends = F.when(
-        F.col("port_locode").isNull() & (F.col("n") > 1), F.array("first", "last")
-    ).otherwise(F.array("first"))
-    thinned = (
-        pings.join(dense, same, "left_semi")
-        .groupBy("mmsi", "slice", "dep_time", "port_locode")
-        .agg(F.min(rest).alias("first"), F.max(rest).alias("last"), F.count("*").alias("n"))
-        .select("mmsi", "slice", "dep_time", "port_locode", F.inline(F.transform(ends, lambda e: e)))
-    )
-    return pings.join(dense, same, "left_anti").unionByName(thinned)
+    kept = pings.groupBy(
+        "mmsi", "slice", "dep_time", "port_locode", F.when(F.col("port_locode").isNull(), rest).alias("own")
+    ).agg(F.min(rest).alias("first"), F.count("*").alias("n"))
+    times = F.when(F.col("port_locode").isNull(), F.col("n").cast("int")).otherwise(F.lit(1))
+    return kept.select("mmsi", "slice", "dep_time", "port_locode", F.inline(F.array_repeat("first", times)))
 
 
 def _differs(port: Column, before: Column) -> Column:
@@ -56,21 +43,19 @@ def _differs(port: Column, before: Column) -> Column:
 def link_visits(
     staged: DataFrame,
     slice_minutes: int = config.SLICE_MINUTES,
-    dense_rows: int | None = config.DENSE_SLICE_ROWS,
 ) -> DataFrame:
     """Every visit as ``dep_*`` with the next visit of the vessel as ``arr_*``.
 
     ``is_open`` marks the last visit of a vessel, which has no next one. Pings without a time are
     left out: sorted last, they could not form or change a leg. Pings without an MMSI count as one
-    vessel. ``dense_rows`` bounds the pings of one (vessel, slice) that are sorted in one task;
-    ``None`` skips the check, for input known to be small.
+    vessel. The result does not depend on ``slice_minutes``, which bounds the reports that one task sorts.
     """
     pings = (
         staged.where(F.col("dep_time").isNotNull())
         .select(*schemas.STAGED.names)
         .withColumn("slice", time_slice(F.col("dep_time"), slice_minutes))
     )
-    pings = _thin_repeats(pings, dense_rows)
+    pings = _without_repeats(pings)
 
     # Inside a slice: all visits but the first are certain.
     inside = Window.partitionBy("mmsi", "slice").orderBy(*ORDER)

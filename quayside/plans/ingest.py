@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import logging
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,19 @@ class IngestReport:
     absent: list[date] = field(default_factory=list)
     failed: dict[date, str] = field(default_factory=dict)
 
+    def to_json(self, asked: list[date]) -> str:
+        """As text, together with the days that were asked for."""
+        return json.dumps(asdict(self) | {"failed": {str(d): why for d, why in self.failed.items()}, "asked": asked}, default=str)
+
+    @classmethod
+    def from_json(cls, text: str, asked: list[date]) -> IngestReport:
+        """The report of the same days; of other days it is refused."""
+        stored = json.loads(text)
+        if stored.pop("asked") != [str(d) for d in asked]:
+            raise ValueError("this run was begun for other days")
+        dates = {name: [date.fromisoformat(d) for d in stored[name]] for name in ("done", "absent")}
+        return cls(**stored | dates | {"failed": {date.fromisoformat(d): why for d, why in stored["failed"].items()}})
+
 
 def match_pings(pings: DataFrame, ports: DataFrame, **options) -> DataFrame:
     """Pings near a port in the stored columns, with the day of their file."""

@@ -12,8 +12,11 @@ from quayside.functions.text import strip_imo_prefix
 MATCHED_COLUMNS = ["mmsi", "imo", "vessel_name", "latitude", "longitude", "dep_time", "port_locode"]
 
 
-def stage(raw_pings: DataFrame) -> DataFrame:
-    """Short position names and the bare IMO number. A view: nothing is stored."""
+def stage(raw_pings: DataFrame, keep_day: bool = False) -> DataFrame:
+    """Short position names and the bare IMO number. A view: nothing is stored.
+
+    With ``keep_day`` the file day ``dt`` stays, so that filters on it still prune partitions.
+    """
     return raw_pings.select(
         "mmsi",
         strip_imo_prefix(F.col("imo")).alias("imo"),
@@ -22,4 +25,5 @@ def stage(raw_pings: DataFrame) -> DataFrame:
         F.col("latitude").alias("lat"),
         F.col("longitude").alias("lon"),
         "dep_time",
+        *(["dt"] if keep_day else []),
     )

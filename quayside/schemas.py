@@ -62,6 +62,22 @@ VOYAGE_KEY = ("mmsi", "dep_time", "arr_time")
 # What one vessel leaves behind after a run: its unfinished visit, and how far it was read.
 OPEN_VISITS = T.StructType(STAGED.fields + [T.StructField("last_seen", T.TimestampNTZType())])
 
+# Span of a vessel's pings in a file day that was read.
+SEEN = T.StructType([
+    T.StructField("mmsi", T.LongType()),
+    T.StructField("first_ping", T.TimestampNTZType()),
+    T.StructField("last_ping", T.TimestampNTZType()),
+    T.StructField("dt", T.DateType()),
+])
+
+# Which folder of open visits counts: runs as they start and finish.
+STATE_LOG = T.StructType([
+    T.StructField("seq", T.LongType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("event", T.StringType()),
+    T.StructField("folder", T.StringType()),
+])
+
 GEOMETRY = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("coordinates", T.ArrayType(T.ArrayType(T.DoubleType()))),

@@ -18,9 +18,21 @@ def _elements(html: Column, tags: Sequence[str]) -> Column:
 
 
 def table_after(html: Column, heading_id: str) -> Column:
-    """The first table after the ``h2`` with an id; null when there is no such heading or table."""
-    pattern = rf"""(?is)<h2[^>]*\sid=["']?{heading_id}["']?[\s>].*?(<table.*?(?:</table\s*>|$))"""
-    return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
+    """The first table after the ``h2`` with an id, tables nested in it included; null when there is no such heading or table."""
+    pattern = rf"""(?is)<h2[^>]*\sid=["']?{heading_id}["']?[\s>].*?(<table[\s>].*)"""
+    rest = F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
+    pieces = F.split(rest, r"(?i)(?=<table[\s>]|</table\s*>)")
+
+    def add(seen: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"(?i)^<table[\s>]"), piece.rlike(r"(?i)^</table\s*>")
+        depth = seen["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        # Behind the end tag that closes the first table nothing is taken.
+        text = F.concat(seen["text"], F.when(depth > 0, piece).otherwise("</table>"))
+        more = F.struct(depth.alias("depth"), text.alias("text"), (depth <= 0).alias("done"))
+        return F.when(seen["done"], seen).otherwise(more)
+
+    nothing = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.lit(False).alias("done"))
+    return F.aggregate(pieces, nothing, add, lambda seen: seen["text"])
 
 
 def html_rows(

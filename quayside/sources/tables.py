@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside import schemas
@@ -21,7 +22,7 @@ REGISTRY = {
 }
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
     """The table at ``path``, or ``None`` where nothing was written yet."""
     try:
         reader = spark.read if schema is None else spark.read.schema(schema)
@@ -35,10 +36,34 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def source(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
     """A declared source; empty with the right schema where nothing was written yet."""
     location, schema, _ = REGISTRY[name]
-    found = read_table(spark, getattr(tables, location), schema)
+    path = getattr(tables, location)
+    found = carried_state(spark, path) if name == "open_visits" else read_table(spark, path, schema)
     return spark.createDataFrame([], schema) if found is None else found
 
 
+def log_state(spark: SparkSession, path: str, run_id: str, event: str, folder: str | None = None) -> None:
+    """Note that a run has ``started`` or is ``done``, and the folder of open visits it left, if any."""
+    log = read_table(spark, f"{path}/log", schemas.STATE_LOG)
+    last = None if log is None else log.agg(F.max("seq")).first()[0]
+    row = ((last or 0) + 1, run_id, event, folder)
+    append_table(spark.createDataFrame([row], schemas.STATE_LOG).coalesce(1), f"{path}/log")
+
+
+def carried_state(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame | None:
+    """Open visits that the newest finished run left; ``None`` if they don't go with the voyages.
+
+    That is so before the first run, after a look-back, and after a run other than ``run_id`` that was not finished.
+    """
+    log = read_table(spark, f"{path}/log", schemas.STATE_LOG)
+    if log is None:
+        return None
+    events = log.where((F.col("event") != "started") | (F.col("run_id") != F.lit(run_id or "")))
+    newest = events.orderBy(F.desc("seq")).first()
+    if newest is None or newest["event"] != "done" or newest["folder"] is None:
+        return None
+    return read_table(spark, newest["folder"], schemas.OPEN_VISITS)
+
+
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None) -> None:
     """Create an empty table with ``schema`` where there is none."""
     if read_table(spark, path) is not None:
@@ -57,3 +82,9 @@ def replace_table(df: DataFrame, path: str) -> None:
 
 def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the engine's own, wherever it is stored; nothing happens if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quayside.plans.ingest import IngestReport, ingest_days
 from quayside.sources.pings import FILE_DAY
+from quayside.sources.tables import read_table, remove
 
 _LISTING = T.StructType([
     T.StructField("path", T.StringType()),
@@ -47,11 +48,18 @@ def stream_ingest(
     The stream carries file names, at most ``max_files`` at a time, so that each file is read with
     its own header. A day that is named is ingested with all its files and replaces what was
     stored of it: neither late parts nor a batch repeated after a failure can lose or double rows.
+    A day that fails is tried again by every later batch until it succeeds.
     """
 
     def store(names: DataFrame, epoch: int) -> None:
-        days = [row["dt"] for row in names.select("dt").distinct().toLocalIterator()]
-        report = ingest_days(names.sparkSession, landing, days, ports, path)
+        spark = names.sparkSession
+        failed = read_table(spark, f"{checkpoint}-failed/epoch={epoch - 1}", "dt date, why string")
+        named = names.select("dt") if failed is None else names.select("dt").union(failed.select("dt"))
+        days = [row["dt"] for row in named.distinct().toLocalIterator()]
+        report = ingest_days(spark, landing, days, ports, path)
+        again = spark.createDataFrame(sorted(report.failed.items()), "dt date, why string")
+        again.coalesce(1).write.mode("overwrite").parquet(f"{checkpoint}-failed/epoch={epoch}")
+        remove(spark, f"{checkpoint}-failed/epoch={epoch - 2}")
         if on_report is not None:
             on_report(epoch, report)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside import schemas
@@ -18,7 +19,7 @@ from quayside.operators.sizes import broadcast_if_small
 from quayside.operators.stitch import completed, link_visits, open_visits
 from quayside.plans.staging import stage
 from quayside.plans.voyages import carry_input, late_vessels
-from quayside.sources.tables import read_table
+from quayside.sources.tables import read_table, remove
 
 
 def match_stream(pings: DataFrame, ports: DataFrame) -> DataFrame:
@@ -27,22 +28,30 @@ def match_stream(pings: DataFrame, ports: DataFrame) -> DataFrame:
 
 
 def stitch_epoch(new: DataFrame, epoch: int, out: str) -> None:
-    """Stitch one micro-batch with the state of the epoch before it."""
+    """Stitch one micro-batch with the state of the epoch before it.
+
+    Only completed legs are kept of an epoch, and the states of the last two. A missing state is an error: legs would be lost.
+    """
     spark = new.sparkSession
-    new.select(*schemas.STAGED.names).write.mode("overwrite").parquet(f"{out}/pings/epoch={epoch}")
-    new = spark.read.schema(schemas.STAGED).parquet(f"{out}/pings/epoch={epoch}")
     state = read_table(spark, f"{out}/state/epoch={epoch - 1}", schemas.OPEN_VISITS)
     if state is None:
+        if epoch > 0:
+            raise RuntimeError(f"no state of epoch {epoch - 1} in {out}; start anew with an empty folder and checkpoint")
         state = spark.createDataFrame([], schemas.OPEN_VISITS)
+    new.select(*schemas.STAGED.names).write.mode("overwrite").parquet(f"{out}/pings/epoch={epoch}")
+    new = spark.read.schema(schemas.STAGED).parquet(f"{out}/pings/epoch={epoch}")
 
     late_vessels(new, state).write.mode("overwrite").parquet(f"{out}/late/epoch={epoch}")
     late = spark.read.parquet(f"{out}/late/epoch={epoch}")
-    history = spark.read.parquet(f"{out}/pings").where(F.col("epoch") <= epoch)
+    history = spark.read.schema(T.StructType([*schemas.STAGED.fields, T.StructField("epoch", T.IntegerType())])).parquet(f"{out}/pings").where(F.col("epoch") <= epoch)
     pings = carry_input(new, state, history, late)
 
-    link_visits(pings).write.mode("overwrite").parquet(f"{out}/linked/epoch={epoch}")
-    linked = spark.read.parquet(f"{out}/linked/epoch={epoch}")
+    link_visits(pings).write.mode("overwrite").parquet(f"{out}/linked")
+    linked = spark.read.parquet(f"{out}/linked")
+    completed(linked).write.mode("overwrite").parquet(f"{out}/legs/epoch={epoch}")
     open_visits(linked, pings, state).write.mode("overwrite").parquet(f"{out}/state/epoch={epoch}")
+    remove(spark, f"{out}/linked")
+    remove(spark, f"{out}/state/epoch={epoch - 2}")
 
 
 def stream_stitch(staged: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
@@ -57,13 +66,13 @@ def stream_stitch(staged: DataFrame, out: str, checkpoint: str) -> StreamingQuer
 
 def stream_legs(spark: SparkSession, out: str) -> DataFrame:
     """Legs found so far. A vessel stitched anew for a late ping counts only from that epoch on."""
-    linked = read_table(spark, f"{out}/linked")
-    if linked is None:
+    legs = read_table(spark, f"{out}/legs")
+    if legs is None:
         return spark.createDataFrame([], schemas.LEGS)
     anew = spark.read.parquet(f"{out}/late").groupBy(F.col("mmsi").alias("late_mmsi")).agg(
         F.max("epoch").alias("from_epoch")
     )
-    valid = linked.join(broadcast_if_small(anew), F.col("mmsi").eqNullSafe(F.col("late_mmsi")), "left").where(
+    valid = legs.join(broadcast_if_small(anew), F.col("mmsi").eqNullSafe(F.col("late_mmsi")), "left").where(
         F.col("from_epoch").isNull() | (F.col("epoch") >= F.col("from_epoch"))
     )
-    return completed(valid)
+    return valid.select(*schemas.LEGS.names)
