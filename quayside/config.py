@@ -29,7 +29,7 @@ BROADCAST_MAX_ROWS = 1_000_000
 # Tasks that a route finder runs in.
 FINDER_TASKS = 64
 # A vessel's pings are stitched in time slices of this width.
-SLICE_MINUTES = 15
+SLICE_MINUTES = 30
 
 
 def build_session(app_name: str = "quayside", master: str | None = None, **conf: str) -> SparkSession:

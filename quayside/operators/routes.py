@@ -47,7 +47,7 @@ def route_pairs(legs: DataFrame, by: str = "ports") -> DataFrame:
 
 
 def find_routes(pairs: DataFrame, finder: RouteFinder) -> DataFrame:
-    """Routes (:data:`schemas.ROUTES`) of distinct pairs. A pair the finder fails on has one without geometry and length.
+    """Routes (:data:`schemas.ROUTES`) of distinct pairs. A pair the finder fails on has one without coordinates and length.
 
     Pairs are dealt over a fixed number of tasks: their rows are small, but the finder's time is not.
     """
@@ -60,7 +60,7 @@ def find_routes(pairs: DataFrame, finder: RouteFinder) -> DataFrame:
                 try:
                     path, length = finder(pair.dep_lon, pair.dep_lat, pair.arr_lon, pair.arr_lat)
                 except Exception:  # any failure of the finder means "no route", never a lost leg
-                    rows.append((pair.route_key, None, None))
+                    rows.append((pair.route_key, {"type": None, "coordinates": None}, None))
                     continue
                 geometry = {"type": "LineString", "coordinates": [[float(x), float(y)] for x, y in path]}
                 rows.append((pair.route_key, geometry, None if length is None else float(length)))
@@ -108,7 +108,7 @@ def enrich_routes(
         points = F.greatest(F.size(F.coalesce(F.col("geometry.coordinates"), F.array())), F.lit(1))
         lookup = broadcast_if_small(
             # A pair that was asked for and has no route counts as missing.
-            routes.where(F.col("geometry").isNotNull() | F.col("length_nm").isNotNull()).select(
+            routes.where(F.col("geometry").isNull() | F.col("geometry.coordinates").isNotNull()).select(
                 "route_key", "geometry", "length_nm", F.lit(True).alias("found")
             ),
             broadcast_max_rows,

@@ -4,8 +4,8 @@ A visit is the first of a run of pings at one port; a leg joins a visit to the n
 as one window per vessel this is ``lag``, a filter and ``lead``. But one vessel may own a third of
 all pings (a shared or missing MMSI does), and a window partition cannot be split. So the windows
 run per (vessel, time slice), where runs collapse, and only the first and last candidate of every
-slice meet per vessel: at most two rows per slice, however many pings there are. Reports repeated
-at one time and port are merged before they are shuffled.
+slice meet per vessel: at most two rows per slice, however many pings there are. Repeated
+reports are merged before they are shuffled.
 """
 
 from __future__ import annotations
@@ -21,18 +21,14 @@ ORDER = ("dep_time", "port_locode", "lat", "lon", "imo", "vessel_name")
 
 
 def _without_repeats(pings: DataFrame) -> DataFrame:
-    """One report for each vessel, time and port, reduced before the shuffle.
+    """Each report once, reduced before the shuffle.
 
-    Reports of a vessel at one time and port stand next to each other in ``ORDER``; only the first
-    of them can open a visit. Without a port each report opens one, so equal ones are counted and
-    put back.
+    Equal reports stand next to each other in ``ORDER``, and only the first can open a visit. Without a port each
+    opens one, so these are counted and put back.
     """
-    rest = F.struct("lat", "lon", "imo", "vessel_name")
-    kept = pings.groupBy(
-        "mmsi", "slice", "dep_time", "port_locode", F.when(F.col("port_locode").isNull(), rest).alias("own")
-    ).agg(F.min(rest).alias("first"), F.count("*").alias("n"))
+    counted = pings.groupBy(*pings.columns).agg(F.count("*").alias("n"))
     times = F.when(F.col("port_locode").isNull(), F.col("n").cast("int")).otherwise(F.lit(1))
-    return kept.select("mmsi", "slice", "dep_time", "port_locode", F.inline(F.array_repeat("first", times)))
+    return counted.withColumn("n", F.explode(F.array_repeat(F.lit(1), times))).drop("n")
 
 
 def _differs(port: Column, before: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quayside import schemas
 from quayside.functions.time import parse_time
+from quayside.operators.quality import counted
 from quayside.sources.tables import append_table
 
 
@@ -41,3 +42,10 @@ def read_run_results(spark: SparkSession, path: str) -> DataFrame:
 
 def append_run_log(df: DataFrame, path: str) -> None:
     append_table(df.select(*schemas.RUN_RESULTS.names), path)
+
+
+def load_run_results(spark: SparkSession, path: str, log: str) -> int:
+    """Add the documents at ``path`` to the run log; the number of rows added. Loading a document twice adds its rows twice."""
+    rows, added = counted(read_run_results(spark, path), "added")
+    append_run_log(rows, log)
+    return added.get["rows"]

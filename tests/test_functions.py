@@ -129,7 +129,7 @@ def test_html_text(spark):
 @pytest.mark.parametrize("raw,parsed", [
     ("2025-01-01 10:00:00", dt.datetime(2025, 1, 1, 10)), ("2025-01-01T10:00:00Z", dt.datetime(2025, 1, 1, 10)),
     ("2025-01-01T10:00:00.250", dt.datetime(2025, 1, 1, 10, 0, 0, 250000)), ("bad", None), ("", None),
-    ("2025-01-01T10:00:00+02:00", dt.datetime(2025, 1, 1, 8)),
+    ("2025-01-01T10:00:00+02:00", dt.datetime(2025, 1, 1, 8)), ("10:00:00", None), ("T10:00", None), ("2025", None), ("2025-01", None),
 ])
 def test_parse_time(spark, raw, parsed):
     assert one(spark, time.parse_time(F.lit(raw)).alias("t")).t == parsed

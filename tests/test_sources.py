@@ -158,6 +158,24 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert spark.read.parquet(path).count() == 9
 
 
+def test_stream_tries_a_failed_day_again(spark, tmp_path):
+    landing, path, seen = tmp_path / "in", str(tmp_path / "pings"), []
+
+    def run():
+        stream_ingest(spark, str(landing), ports(spark), path, str(tmp_path / "cp"), on_report=lambda _, r: seen.append(r)).awaitTermination()
+
+    land(landing, "2025-01-01", "a,b", ["1,2"])
+    run()
+    assert list(seen[-1].failed) == [D(2025, 1, 1)]
+    land(landing, "2025-01-01")  # mended under its old name, which the stream does not give again
+    land(landing, "2025-01-02")
+    run()
+    assert seen[-1].done == [D(2025, 1, 1), D(2025, 1, 2)] and not seen[-1].failed
+    land(landing, "2025-01-03")
+    run()
+    assert seen[-1].done == [D(2025, 1, 3)]
+
+
 def test_tables(spark, tmp_path):
     tables = Tables(str(tmp_path))
     assert read_table(spark, tables.ports) is None
@@ -190,6 +208,14 @@ def test_html_rows(spark):
     assert html_rows(pages).count() == len(rows) + 4
 
 
+def test_table_with_a_table_inside(spark):
+    inner = "<table><tr><td>in</td></tr></table>"
+    html = f"<h2 id='x'>h</h2>text<TABLE class=a><tr><td>AA{inner}</td></tr><tr><td>BB</td></tr></TABLE ><table><tr><td>no</td></tr></table>"
+    pages = spark.createDataFrame([(1, html), (2, "<h2 id=x></h2><table><tr><td>open"), (3, "<h2 id=x></h2> none"), (4, None)], "page_id int, html string")
+    rows = html_rows(pages, html=table_after(F.col("html"), "x")).select("page_id", F.array_join("cells", "|").alias("c")).collect()
+    assert sorted((r.page_id, r.c) for r in rows if r.c) == [(1, "AA"), (1, "BB"), (1, "in"), (2, "open")]
+
+
 def test_country_codes(spark):
     pages = spark.createDataFrame([(1, TABLE)], "page_id bigint, html string")
     assert [r.code for r in locodes.country_codes_of_pages(pages).collect()] == ["A1", "BE", "NL"]

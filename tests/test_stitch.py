@@ -71,11 +71,14 @@ def test_visits_equal_plain_windows(spark):
     assert values(got, schemas.STAGED.names) == expected(rows, "visits", schemas.STAGED.names)
 
 
-@pytest.mark.parametrize("minutes", [30, 1440])
-def test_thinning_repeats_changes_no_leg(spark, minutes):
+@pytest.mark.parametrize("minutes", [1, 30, 1440])
+def test_repeats_and_missing_ports_change_nothing(spark, minutes):
     rows = random_pings(11, minutes=120, repeats=0.6)
-    got = voyage_legs(frame(spark, rows), slice_minutes=minutes, dense_rows=1)
+    rows += [(77, "9", "V", port, 0.0, 0.0, START + dt.timedelta(minutes=m)) for m, port in enumerate(["A", None, None, None, None, "B"])]
+    timed = [r for r in rows if r[-1] is not None]
+    got = voyage_legs(frame(spark, rows), slice_minutes=minutes)
     assert values(got, schemas.LEGS.names) == expected(rows, "legs", schemas.LEGS.names)
+    assert values(port_visits(frame(spark, timed), slice_minutes=minutes), schemas.STAGED.names) == expected(timed, "visits", schemas.STAGED.names)
 
 
 def test_one_vessel_with_most_pings_is_spread(spark):
@@ -89,7 +92,7 @@ def test_one_vessel_with_most_pings_is_spread(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
-        linked = link_visits(hot.unionByName(cold), dense_rows=None)
+        linked = link_visits(hot.unionByName(cold))
         assert completed(linked).count() == 19999 + 99
         per_task = linked.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     finally:
@@ -98,18 +101,18 @@ def test_one_vessel_with_most_pings_is_spread(spark):
     assert per_task < 5000
 
 
-def test_a_copy_repeated_many_times_is_reduced_before_the_windows(spark):
+def test_a_copy_repeated_many_times_is_reduced_before_the_shuffle(spark):
     row = (1, "9", "V", "A", 0.0, 0.0, START)
     rows = [row] * 3000 + [(1, "9", "V", "B", 0.0, 0.0, START + dt.timedelta(hours=5))]
-    linked = link_visits(frame(spark, rows), dense_rows=1000)
-    plan = linked._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftAnti" in plan and "LeftSemi" in plan
+    linked = link_visits(frame(spark, rows))
+    plan = linked._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_count") > plan.rindex("Exchange hashpartitioning")
     assert [(r.dep_locode, r.arr_locode) for r in completed(linked).collect()] == [("A", "B")]
 
 
-def test_plan_has_one_full_and_one_edge_exchange(spark):
-    plan = link_visits(frame(spark, random_pings(1)), dense_rows=None)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
+def test_plan_has_an_exchange_for_repeats_one_for_slices_and_one_for_edges(spark):
+    plan = link_visits(frame(spark, random_pings(1)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
     assert plan.count("Sort [") == 2
 
 

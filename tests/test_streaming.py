@@ -46,6 +46,21 @@ def test_an_epoch_run_again_changes_nothing(spark, tmp_path):
     assert values(stream_legs(spark, out), schemas.LEGS.names) == values(voyage_legs(frame(spark, rows)), schemas.LEGS.names)
 
 
+def test_a_lost_state_is_an_error(spark, tmp_path):
+    first, second = in_batches(random_pings(34, vessels=10), 2)
+    out = str(tmp_path / "out")
+    stitch_epoch(frame(spark, first), 0, out)
+    with pytest.raises(RuntimeError, match="no state"):
+        stitch_epoch(frame(spark, second), 2, out)
+
+
+def test_old_states_go(spark, tmp_path):
+    out = tmp_path / "out"
+    for epoch, batch in enumerate(in_batches(random_pings(35, vessels=10), 4)):
+        stitch_epoch(frame(spark, batch), epoch, str(out))
+    assert sorted(p.name for p in (out / "state").iterdir()) == ["epoch=2", "epoch=3"] and not (out / "linked").exists()
+
+
 def test_matching_keeps_no_state(spark, tmp_path):
     pings = "mmsi bigint, imo string, vessel_name string, latitude double, longitude double, dep_time timestamp_ntz"
     ports = spark.createDataFrame([("A", 0.0, 0.0)], "locode string, lat double, lon double")

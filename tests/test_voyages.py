@@ -75,8 +75,23 @@ def test_finder_runs_once_per_pair(spark, tmp_path):
     rows = [leg(start=START + i * DAY) for i in range(20)] + [leg(arr="Z", arr_at=(0.0, 20.0))]
     legs = legs_frame(spark, rows)
     found = routes.find_routes(routes.route_pairs(legs), finder).collect()
-    assert [(r.route_key, r.length_nm) for r in found] == [("route_A_B", 42.0)]
+    assert sorted((r.route_key, r.length_nm) for r in found) == [("route_A_B", 42.0), ("route_A_Z", None)]
     assert sorted(log.read_text().split()) == ["0.0,0.0,10.0,0.0", "0.0,0.0,20.0,0.0"]
+    # A pair without a route is not asked again, and its legs fall back.
+    known = spark.createDataFrame(found, schemas.ROUTES)
+    assert routes.missing_pairs(legs, known).count() == 0
+    zero = routes.enrich_routes(legs, known, on_missing="zero").where("arr_locode = 'Z'").first()
+    assert (zero.distance_nm, zero.route_geometry) == (0.0, None)
+
+
+def test_finder_needs_no_package_on_workers(spark):
+    from pyspark import cloudpickle
+
+    pairs = routes.route_pairs(legs_frame(spark, [leg()]))
+    plan = routes.find_routes(pairs, lambda *_: ([[0.0, 0.0], [1.0, 1.0]], 1.0))
+    assert plan.count() == 1
+    names = list(schemas.ROUTES.names)
+    assert b"quayside" not in cloudpickle.dumps(lambda: names)
 
 
 def test_routes_by_position(spark):
@@ -256,6 +271,102 @@ def test_build_job_lookback_and_route_table(spark, tmp_path):
     assert spark.read.parquet(tables.routes).count() == 3
 
 
+def days_of(rows, *days):
+    return [r for r in rows if r[-1].day in days]
+
+
+def history(seed=23):
+    return [r for r in random_pings(seed, vessels=20, null_ports=0, minutes=6 * 1440) if r[-1] is not None]
+
+
+def assert_full(spark, tables):
+    assert voyage_rows(spark, tables) == values(voyage_legs(stage(spark.read.parquet(tables.raw_pings))), schemas.LEGS.names)
+
+
+def test_a_run_id_goes_with_one_input(spark, tmp_path):
+    tables, rows = Tables(str(tmp_path)), history()
+    store_pings(spark, days_of(rows, 1, 2), tables.raw_pings)
+    voyages.build_voyages(spark, tables, run_id="X")
+    store_pings(spark, days_of(rows, 3, 4), tables.raw_pings)
+    with pytest.raises(ValueError, match="another input"):
+        voyages.build_voyages(spark, tables, run_id="X")
+    voyages.build_voyages(spark, tables, since_day="2025-01-03", run_id="Y")
+    assert_full(spark, tables)
+
+
+def test_two_warehouses_share_run_ids(spark, tmp_path):
+    rows = history()
+    for name, part in (("one", days_of(rows, 1)), ("two", days_of(rows, 2))):
+        tables = Tables(str(tmp_path / name))
+        store_pings(spark, part, tables.raw_pings)
+        voyages.build_voyages(spark, tables, run_id="same")
+        assert_full(spark, tables)
+
+
+def test_carry_after_lookback_builds_anew(spark, tmp_path):
+    tables, rows = Tables(str(tmp_path)), history()
+    store_pings(spark, days_of(rows, 1, 2, 3), tables.raw_pings)
+    voyages.build_voyages(spark, tables, mode="lookback")
+    store_pings(spark, days_of(rows, 4, 5), tables.raw_pings)
+    voyages.build_voyages(spark, tables, days=[dt.date(2025, 1, 4), dt.date(2025, 1, 5)])
+    assert_full(spark, tables)
+
+
+def test_carry_after_an_unfinished_run_builds_anew(spark, tmp_path, monkeypatch):
+    tables, rows = Tables(str(tmp_path)), history()
+    store_pings(spark, days_of(rows, 1, 2), tables.raw_pings)
+    voyages.build_voyages(spark, tables)
+    store_pings(spark, days_of(rows, 3), tables.raw_pings)
+
+    def crash(*_, **__):
+        raise RuntimeError("lost")
+
+    for name in ("upsert", "_remember"):
+        with monkeypatch.context() as patched:
+            patched.setattr(voyages, name, crash)
+            with pytest.raises(RuntimeError):
+                voyages.build_voyages(spark, tables, days=[dt.date(2025, 1, 3)], run_id=name)
+    # The same run goes on, another one must not rely on what it left.
+    voyages.build_voyages(spark, tables, days=[dt.date(2025, 1, 3)], run_id="_remember")
+    assert_full(spark, tables)
+    store_pings(spark, days_of(rows, 4), tables.raw_pings)
+    voyages.build_voyages(spark, tables, days=[dt.date(2025, 1, 4)])
+    assert_full(spark, tables)
+
+
+def test_a_replaced_day_leaves_no_stale_voyage(spark, tmp_path):
+    tables, rows = Tables(str(tmp_path)), history()
+    store_pings(spark, days_of(rows, 1, 2, 3), tables.raw_pings)
+    voyages.build_voyages(spark, tables)
+    store_pings(spark, [r for r in days_of(rows, 2) if (r[0] or 0) % 3], tables.raw_pings)  # a third of the vessels is gone
+    store_pings(spark, days_of(rows, 4), tables.raw_pings)
+    voyages.build_voyages(spark, tables, days=[dt.date(2025, 1, 2), dt.date(2025, 1, 4)])
+    assert_full(spark, tables)
+
+
+def test_a_late_ping_rewrites_and_reads_few_days(spark, tmp_path):
+    tables = Tables(str(tmp_path))
+    rows = [(v, "9", "V", "AB"[day % 2], 0.0, 0.0, START + day * DAY) for v in (1, 2) for day in range(12)]
+    store_pings(spark, rows, tables.raw_pings)
+    voyages.build_voyages(spark, tables)
+    before = {p.parent.name: p.name for p in (tmp_path / "gold" / "voyages").glob("dep_date=*/*.parquet")}
+    assert len(before) == len(list((tmp_path / "gold" / "voyages").glob("dep_date=*/*.parquet"))) == 11
+    late = [r for r in rows if r[-1].day == 6] + [(1, "9", "V", "C", 0.0, 0.0, START + 5 * DAY + dt.timedelta(hours=2))]
+    store_pings(spark, late, tables.raw_pings)
+    voyages.build_voyages(spark, tables, days=[dt.date(2025, 1, 6)])
+    assert_full(spark, tables)
+    after = {p.parent.name: p.name for p in (tmp_path / "gold" / "voyages").glob("dep_date=*/*.parquet")}
+    assert {day for day in before if before[day] != after.get(day)} == {"dep_date=2025-01-06"}
+
+
+def test_lookback_prunes_file_days(spark, tmp_path):
+    store_pings(spark, straddling(), str(tmp_path))
+    raw = spark.read.parquet(str(tmp_path))
+    target = legs_frame(spark, [leg(hours=24 * 30)])
+    plan = voyages.lookback_input(stage(raw, keep_day=True), target)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
+
+
 # --- reports -----------------------------------------------------------------
 
 
