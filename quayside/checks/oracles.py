@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from quayside import config
-from quayside.checks.queries import AS_OF, LAST_DAYS, LAST_LOAD, NOW, VESSEL
+from quayside.checks.queries import AS_OF, LAST_DAYS, LAST_LOAD, LATE_DAY, NOW, VESSEL
 
 PORTS = """ports as (
   select 'P' || lpad(cast(n_nationkey as varchar), 4, '0') as locode, n_name as name,
@@ -48,7 +48,11 @@ ORDER = "partition by mmsi order by dep_time nulls last, port_locode, lat, lon,
 
 
 def _stitched(source: str, prefix: str = "") -> str:
-    """Visits, links and legs of a staged relation: rows are numbered and joined to their neighbours."""
+    """Visits, links and legs of a staged relation.
+
+    Rows are numbered and joined to their neighbours, so that the check does not share the lag and lead
+    windows of what it checks.
+    """
     p = prefix
     return f"""{p}numbered as (select *, row_number() over ({ORDER}) as n from {source}),
 {p}visits as (
@@ -115,6 +119,17 @@ select case when event_id % 101 = 0 then -1 else mmsi end as mmsi, imo, vessel_n
        dep_time, port_locode, cast(cast(dep_time as date) as varchar) as dt
 from raw_pings where event_id % 97 <> 0 and event_id % 89 <> 0"""
 
+RUN_RESULTS = """with docs as (
+  select o_orderkey as n, *, case when o_orderkey % 7 <> 0 then 'run-' || cast(o_orderkey as varchar) end as run_id,
+         cast(cast(o_orderdate as date) as timestamp) + interval '10 hours' + interval '250 milliseconds' as generated_at
+  from orders)
+select run_id, generated_at, 'model.a' || cast(n as varchar) as unique_id, o_orderstatus as status,
+  o_totalprice as execution_time, case when n % 3 <> 0 then n else -1 end as rows_affected, cast(null as varchar) as message
+from docs
+union all
+select run_id, generated_at, 'model.b' || cast(n as varchar), case when n % 2 = 0 then o_orderpriority end,
+  null, case when n % 5 = 0 then n else -1 end, null from docs"""
+
 LEGS = f"{BASE} select {LEG_COLUMNS} from legs"
 
 ORACLES: dict[str, str] = {
@@ -159,6 +174,10 @@ select mmsi, dep_time, arr_time,
   round(case when x2 >= x1 then 60e0 * (abs(x2 - x1) + abs(y2 - y1)) else distance_nm end, 3) as distance_nm,
   cast(case when x2 >= x1 then 3 else 2 end as integer) as points
 from voyages join pairs using (dep_locode, arr_locode)""",
+    "route_positions": f"""{BASE} select mmsi, dep_time, arr_time,
+  round(case when cast(floor(abs(dep_lat)) as integer) % 3 = 0 then 0e0 else abs(arr_lon - dep_lon) end, 6) as distance_nm,
+  cast(case cast(floor(abs(dep_lat)) as integer) % 3 when 1 then 1 when 2 then 3 end as integer) as points
+from legs where {HOURS} > 0""",
     "route_geojson": f"""{BASE} select mmsi, dep_time, 'LineString' as line_type, cast(2 as integer) as points,
   dep_lon as from_lon, dep_lat as from_lat, arr_lon as to_lon, arr_lat as to_lat from legs""",
     "path_downsample": """with paths as (
@@ -189,12 +208,18 @@ where not exists (select 1 from s_legs s where s.mmsi is not distinct from b.mms
                   and s.dep_time = b.dep_time and s.arr_time = b.arr_time)
 union all select {LEG_COLUMNS} from s_legs""",
     "incremental_carry": LEGS,
+    "incremental_late": LEGS,
+    "incremental_replaced_day": f"""{STAGED}, kept as (
+  select * from stg where dep_time < timestamp '{LAST_LOAD}' and not (cast(dep_time as date) = date '{LATE_DAY}' and mmsi % 3 = 0)),
+{_stitched('kept', 'k_')} select {LEG_COLUMNS} from k_legs""",
     "dq_positive_duration": f"""{BASE}, timed as (
   select mmsi, dep_time, arr_time, case when mmsi % 3 = 0 then -1 else 1 end * {HOURS} as hours
   from links where arr_time is not null)
 select mmsi, dep_time, arr_time, hours as duration_hrs from timed where hours <= 0""",
-    "dq_stored_voyages": f"""{VOYAGES} select vessel_name, count(*) as voyages,
-  cast(sum(case when duration_hrs <= 0 then 1 else 0 end) as bigint) as failing from voyages group by vessel_name""",
+    "dq_stored_voyages": f"""{VOYAGES}, given as (
+  select vessel_name, case mmsi % 7 when 0 then 0e0 when 1 then -duration_hrs when 2 then null else duration_hrs end as hours from voyages)
+select vessel_name, count(*) as voyages, count(*) filter (where hours <= 0) as failing,
+  count(*) filter (where hours > 0 or hours is null) as kept, cast(0 as bigint) as failing_after from given group by vessel_name""",
     "unece_coords": f"""select event_id, {_place('event_id')} as place,
   round({_lat('event_id')}, 9) as lat, round({_lon('event_id')}, 9) as lon from events""",
     "port_filter": f"""with raw as (
@@ -229,16 +254,8 @@ from numbered""",
 from run_log group by 1, 2 order by 1 desc, 2 limit 10""",
     "staging_latency": f"""{RUN_LOG} select unique_id, execution_time, rows_affected from run_log
 where unique_id like '%stg_ais%' order by generated_at desc""",
-    "run_results_flatten": """with docs as (
-  select o_orderkey as n, *, case when o_orderkey % 7 <> 0 then 'run-' || cast(o_orderkey as varchar) end as run_id,
-         cast(cast(o_orderdate as date) as timestamp) + interval '10 hours' + interval '250 milliseconds' as generated_at
-  from orders)
-select run_id, generated_at, 'model.a' || cast(n as varchar) as unique_id, o_orderstatus as status,
-  o_totalprice as execution_time, case when n % 3 <> 0 then n else -1 end as rows_affected, cast(null as varchar) as message
-from docs
-union all
-select run_id, generated_at, 'model.b' || cast(n as varchar), case when n % 2 = 0 then o_orderpriority end,
-  null, case when n % 5 = 0 then n else -1 end, null from docs""",
+    "run_results_flatten": RUN_RESULTS,
+    "run_log_files": RUN_RESULTS,
     "date_range": """with days as (
   select cast(unnest(generate_series(cast(min(cast(ts as date)) as timestamp), cast(max(cast(ts as date)) as timestamp),
          interval 1 day)) as date) as dt from events)
@@ -248,5 +265,13 @@ from days left join events on cast(ts as date) = dt group by days.dt""",
   when 4 then date_trunc('second', ts) end as parsed from events""",
     "csv_ingest": INGESTED,
     "stream_csv_ingest": INGESTED,
+    "ingest_report": f"""with {PORTS}, {PINGS}, {_matched(PLANAR)},
+good as (select cast(dep_time as date) as dt from raw_pings where event_id % 97 <> 0 and event_id % 89 <> 0),
+days as (select distinct cast(base_date_time as date) as dt from pings),
+ends as (select min(dt) - 1 as first, max(dt) + 1 as last from days),
+outcomes as (select dt, 'done' as outcome from days union all select first, 'failed' from ends union all select last, 'absent' from ends)
+select cast(o.dt as varchar) as dt, outcome, count(g.dt) as stored,
+  (select count(*) from pings where event_id % 97 <> 0 and event_id % 89 <> 0) as read, (select count(*) from good) as kept
+from outcomes o left join good g on g.dt = o.dt group by o.dt, outcome""",
     "stream_stitched": LEGS,
 }

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import config, samples, schemas
@@ -30,6 +30,7 @@ LAST_DAYS = 7
 NOW = datetime(2002, 1, 1, 12, 0, 0)
 BATCH_STARTS = ["2024-01-07", "2024-01-13", "2024-01-19", "2024-01-25"]
 LAST_LOAD = "2024-01-25"
+LATE_DAY = "2024-01-10"
 
 
 def _work(spark: SparkSession, name: str) -> str:
@@ -169,6 +170,24 @@ def route_lookup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def route_positions(spark: SparkSession, folder: str) -> DataFrame:
+    """Each leg's own route, zero where there is none: some ends have no route, some a route of one point."""
+
+    def finder(dep_lon, dep_lat, arr_lon, arr_lat):
+        kind = int(abs(dep_lat)) % 3
+        if kind == 0:
+            raise ValueError("no route from here")
+        return ([[dep_lon, dep_lat]] if kind == 1 else [[dep_lon, dep_lat], [arr_lon, dep_lat], [arr_lon, arr_lat]]), abs(arr_lon - dep_lon)
+
+    legs, work = _legs(spark, folder), _work(spark, "routes")
+    routes.find_routes(routes.route_pairs(legs, "positions"), finder).write.parquet(work)
+    found = spark.read.schema(schemas.ROUTES).parquet(work)
+    return routes.enrich_routes(legs, found, on_missing="zero", by="positions").select(
+        "mmsi", "dep_time", "arr_time", F.round("distance_nm", 6).alias("distance_nm"),
+        F.size(F.from_json("route_geometry", schemas.GEOMETRY)["coordinates"]).alias("points"),
+    )
+
+
 def route_geojson(spark: SparkSession, folder: str) -> DataFrame:
     """Geometry text read back: type, and both ends in (lon, lat) order."""
     line = F.from_json("route_geometry", schemas.GEOMETRY)
@@ -263,6 +282,38 @@ def incremental_carry(spark: SparkSession, folder: str) -> DataFrame:
     return voyages.carry_batches(batches)
 
 
+def _store_day_files(pings: DataFrame, tables: config.Tables) -> None:
+    ping_files.append_pings(pings.withColumn("dt", F.to_date("dep_time")), tables.raw_pings)
+
+
+def _day(text: str) -> Column:
+    return F.to_date("dep_time") == F.lit(text).cast("date")
+
+
+def incremental_late(spark: SparkSession, folder: str) -> DataFrame:
+    """The voyages job: pings of a day that are late for every fifth vessel come together with newer days."""
+    tables, pings = config.Tables(_work(spark, "late")), samples.raw_pings(spark, folder)
+    before, is_late = F.col("dep_time") < F.lit(LAST_LOAD).cast("timestamp_ntz"), _day(LATE_DAY) & (F.col("mmsi") % 5 == 0)
+    _store_day_files(pings.where(before & ~is_late), tables)
+    voyages.build_voyages(spark, tables)
+    late = pings.where(_day(LATE_DAY) | ~before)
+    days = [row["dt"] for row in late.select(F.to_date("dep_time").alias("dt")).distinct().toLocalIterator()]
+    _store_day_files(late, tables)
+    voyages.build_voyages(spark, tables, days=days)
+    return spark.read.parquet(tables.voyages).select(*schemas.LEGS.names)
+
+
+def incremental_replaced_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The voyages job after a stored day was replaced by one without a third of its vessels."""
+    tables, pings = config.Tables(_work(spark, "replaced")), samples.raw_pings(spark, folder)
+    pings = pings.where(F.col("dep_time") < F.lit(LAST_LOAD).cast("timestamp_ntz"))
+    _store_day_files(pings, tables)
+    voyages.build_voyages(spark, tables)
+    _store_day_files(pings.where(_day(LATE_DAY) & (F.col("mmsi") % 3 != 0)), tables)
+    voyages.build_voyages(spark, tables, days=[date.fromisoformat(LATE_DAY)])
+    return spark.read.parquet(tables.voyages).select(*schemas.LEGS.names)
+
+
 def dq_positive_duration(spark: SparkSession, folder: str) -> DataFrame:
     """Failing rows of the duration check over all linked visits, bad ones included.
 
@@ -276,12 +327,17 @@ def dq_positive_duration(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_stored_voyages(spark: SparkSession, folder: str) -> DataFrame:
-    """Voyages before and after the rule applied when they are stored, by vessel name."""
-    stored = _voyages(spark, folder)
-    return quality.drop_non_positive(stored).groupBy("vessel_name").agg(
-        F.count("*").alias("voyages"),
-        F.count_if(quality.non_positive_duration()).alias("failing"),
+    """Voyages before and after the rule applied when they are stored, some with zero, negative or unknown duration."""
+    n = F.col("mmsi") % 7
+    hours = F.when(n == 0, 0.0).when(n == 1, -F.col("duration_hrs")).when(n != 2, F.col("duration_hrs"))
+    given = _voyages(spark, folder).withColumn("duration_hrs", hours)
+    kept = quality.drop_non_positive(given).groupBy("vessel_name").agg(
+        F.count("*").alias("kept"), F.count_if(quality.non_positive_duration()).alias("failing_after")
     )
+    before = given.groupBy("vessel_name").agg(
+        F.count("*").alias("voyages"), F.count_if(quality.non_positive_duration()).alias("failing")
+    )
+    return before.join(kept, "vessel_name", "left").fillna(0, ["kept", "failing_after"])
 
 
 # --- reference data ----------------------------------------------------------
@@ -401,8 +457,8 @@ def staging_latency(spark: SparkSession, folder: str) -> DataFrame:
     return reports.latency(_run_log(spark, folder))
 
 
-def run_results_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    """Run-results documents as text, with and without the keys that may be absent."""
+def _run_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Run-results documents as text ``d`` with their number ``n``, with and without the keys that may be absent."""
     n = F.col("o_orderkey")
     results = F.array(
         F.struct(
@@ -425,10 +481,25 @@ def run_results_flatten(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("metadata"),
         results.alias("results"),
     ))
-    documents = samples.table(spark, folder, "orders").select(F.from_json(document, schemas.RUN_DOCUMENT).alias("d"))
+    return samples.table(spark, folder, "orders").select(n.alias("n"), document.alias("d"))
+
+
+def run_results_flatten(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _run_documents(spark, folder).select(F.from_json("d", schemas.RUN_DOCUMENT).alias("d"))
     return runlog.flatten_documents(documents.select("d.*")).fillna(-1, ["rows_affected"])
 
 
+def run_log_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The same documents from JSON files of up to 5,000, added to the run log and read from there."""
+    work = _work(spark, "run-log")
+    files = _run_documents(spark, folder).groupBy(F.floor(F.col("n") / 5000).alias("part")).agg(
+        F.concat(F.lit("["), F.concat_ws(",", F.collect_list("d")), F.lit("]")).alias("text")
+    )
+    files.write.partitionBy("part").text(f"{work}/documents")
+    runlog.load_run_results(spark, f"{work}/documents", f"{work}/log")
+    return spark.read.parquet(f"{work}/log").fillna(-1, ["rows_affected"])
+
+
 # --- files and streams -------------------------------------------------------
 
 
@@ -490,6 +561,23 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(spark, f"{work}/pings")
 
 
+def ingest_report(spark: SparkSession, folder: str) -> DataFrame:
+    """What an ingest of all days reports, with a day before them that cannot be read and an absent one after."""
+    work = _work(spark, "ingest")
+    _land_files(spark, folder, f"{work}/landing")
+    days = sorted(row["dt"] for row in ping_files.landed_files(spark, f"{work}/landing").select("dt").distinct().toLocalIterator())
+    asked = [days[0] - timedelta(days=1), *days, days[-1] + timedelta(days=1)]
+    bad = spark.createDataFrame([("a,b",), ("1,2",)], "value string")
+    bad.coalesce(1).write.text(f"{work}/landing/ais-{asked[0]}.csv")
+    report = ingest_days(spark, f"{work}/landing", asked, samples.ports(spark, folder), f"{work}/pings")
+    outcomes = [(d, name) for name in ("done", "absent") for d in getattr(report, name)] + [(d, "failed") for d in report.failed]
+    told = spark.createDataFrame(outcomes, "dt date, outcome string").withColumn("dt", F.col("dt").cast("string"))
+    stored = spark.read.parquet(f"{work}/pings").groupBy(F.col("dt").cast("string").alias("dt")).agg(F.count("*").alias("stored"))
+    return told.join(stored, "dt", "left").select(
+        "dt", "outcome", F.coalesce("stored", F.lit(0)).alias("stored"), F.lit(report.read).cast("long").alias("read"), F.lit(report.kept).cast("long").alias("kept")
+    )
+
+
 def stream_csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """The same files through the stream that takes each file once."""
     work = _work(spark, "ingest")
@@ -522,9 +610,9 @@ def stream_stitched(spark: SparkSession, folder: str) -> DataFrame:
 REGISTERED: list[Query] = [
     nearest_port_pings, nearest_port_haversine, nearest_port_shuffled, stg_ais, port_visits, port_visits_gaps, voyage_legs,
     voyage_legs_thinned, voyage_duration, voyage_distance, angle_conversion, expected_duration,
-    voyages_zero_policy, voyages_great_circle, route_key_pairs, route_lookup, route_geojson, path_downsample,
+    voyages_zero_policy, voyages_great_circle, route_key_pairs, route_lookup, route_positions, route_geojson, path_downsample,
     overview_totals, recent_voyages, vessel_stats, vessel_history, vessel_page, voyages_last_n_days,
-    incremental_lookback, incremental_upsert, incremental_carry, dq_positive_duration, dq_stored_voyages,
+    incremental_lookback, incremental_upsert, incremental_carry, incremental_late, incremental_replaced_day, dq_positive_duration, dq_stored_voyages,
     unece_coords, port_filter, country_codes, staleness, html_list_rows, run_history, staging_latency,
-    run_results_flatten, date_range, time_parsing, csv_ingest, stream_csv_ingest, stream_stitched,
+    run_results_flatten, run_log_files, date_range, time_parsing, csv_ingest, ingest_report, stream_csv_ingest, stream_stitched,
 ]
