@@ -1,20 +1,22 @@
 """Similarity join of word n-gram sets: rare-first prefix filtering with length, positional and suffix filters.
 
 Documents of equal sets are one node. If two sets have Jaccard similarity t or more, their prefixes - the first
-|x| - ceil(t |x|) + 1 grams in one global order - share a gram, so only nodes that share a prefix gram are compared.
+|x| - ceil(t |x|) + l grams in one global order - share l grams, so only nodes that share as many prefix grams are compared. The usual
+l is 1; a few more make prefixes hardly longer and leave far fewer pairs that share grams by chance.
 The order is rare-first by hashed counts over all documents: a table of fixed size, whatever the corpus.
 
 A gram that a group of k near copies shares would give k * k / 2 pairs. So in rounds every node is compared with one pivot
 of each of its prefix grams only, the same one for all that share the gram; what links is joined into components, and grams
 whose nodes are in one component are done. The last round compares the nodes of different components that are left
-under a gram, all of them. Each pair is verified once on the whole sets, so the components are exact.
+under a gram, all of them: as rows where a gram has few, else inside tasks, a block of nodes against a block, by sketches that
+rule out nearly every pair that doesn't link and none that does. Each pair is verified once on the whole sets, so the components are exact.
 
 Sets are made anew from the text wherever they are needed and only those of compared nodes are shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,12 @@ BUCKETS = 2**18
 FLAGS = 2**20
 #: Rounds of comparison with pivots before all that is left is compared.
 PIVOT_ROUNDS = 3
+#: Prefix grams that two nodes must share (all that they can, if their sets have fewer).
+SHARED = 4
+#: Texts whose words are held at once.
+SLICE = 1000
+#: Nodes of a gram whose pairs are made as rows; with more, blocks of this many nodes are compared in tasks.
+ROWS_BELOW, BLOCK = 24, 512
 #: Sets are split so many times by the suffix filter.
 SUFFIX_DEPTH = 3
 
@@ -41,12 +49,18 @@ def _set_id(grams: np.ndarray, salt: int) -> int:
     return int(longs(mixed(np.array([mixed(grams + np.uint64(salt)).sum(dtype=np.uint64) + np.uint64(len(grams))], np.uint64)))[0])
 
 
+def _sliced(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _scanned(docs: DataFrame, n: int, seed: int) -> DataFrame:
     """For each document its node, a check on it and its set's size; for each task the counts of gram buckets."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in _sliced(batches):
             sets = shingle_sets(batch.column("text"), n, seed)
             if sets:
                 np.add.at(counts, (np.concatenate(sets) % np.uint64(BUCKETS)).astype(np.int64), 1)
@@ -80,11 +94,11 @@ def _prefixes(docs: DataFrame, n: int, seed: int, percent: int, levels: np.ndarr
     """``node, n_grams, grams``: each node's prefix, rare grams first."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             rows = []
             for s in shingle_sets(batch.column("text"), n, seed):
                 if len(s):
-                    first = len(s) - -(-percent * len(s) // 100) + 1
+                    first = len(s) - -(-percent * len(s) // 100) + SHARED
                     order = np.lexsort((s, levels[(s % np.uint64(BUCKETS)).astype(np.int64)]))[:first]
                     rows.append((_set_id(s, 1), len(s), longs(s[order])))
             yield pa.record_batch(
@@ -109,10 +123,18 @@ def _passes(percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m))
 
 
-def _sets(docs: DataFrame, pairs: DataFrame, n: int, seed: int) -> DataFrame:
-    """``node, grams`` of the nodes in ``pairs``; most others are left out before the shuffle by a table of flags."""
-    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "compared")
-    found = nodes.select(F.pmod("node", F.lit(FLAGS)).alias("flag")).distinct().toArrow().column("flag").to_numpy()
+def _flag(doc_id: str) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(FLAGS))
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, seed: int) -> DataFrame:
+    """``node, grams`` of the nodes in ``pairs``, from one document of each.
+
+    Most other documents are left out, before their words are looked at, by a table of flags.
+    """
+    compared = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    chosen = written(nodes.join(compared, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "compared")
+    found = chosen.select(_flag("doc_id").alias("flag")).distinct().toArrow().column("flag").to_numpy()
     flags = np.zeros(FLAGS, np.bool_)
     flags[found] = True
     packed = np.packbits(flags)
@@ -120,12 +142,13 @@ def _sets(docs: DataFrame, pairs: DataFrame, n: int, seed: int) -> DataFrame:
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(packed).astype(np.bool_)
         for batch in batches:
-            sets = [(_set_id(s, 1), s) for s in shingle_sets(batch.column("text"), n, seed) if len(s)]
-            sets = [(node, s) for node, s in sets if wanted[node % FLAGS]]
-            yield pa.record_batch([pa.array([node for node, _ in sets], pa.int64()), pa.array([s.tobytes() for _, s in sets], pa.binary())], ["node", "grams"])
+            batch = batch.filter(pa.array(wanted[batch.column("flag").to_numpy()]))
+            for part in _sliced([batch]):
+                sets = [s for s in shingle_sets(part.column("text"), n, seed) if len(s)]
+                yield pa.record_batch([pa.array([_set_id(s, 1) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "grams"])
 
-    picked = docs.select("text").mapInArrow(pick, "node long, grams binary")
-    return picked.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("grams").alias("grams"))
+    picked = docs.select("text", _flag("doc_id").alias("flag")).mapInArrow(pick, "node long, grams binary")
+    return picked.join(chosen.select("node"), "node", "left_semi").groupBy("node").agg(F.first("grams").alias("grams"))
 
 
 def _may_overlap(a: np.ndarray, b: np.ndarray, least: int, depth: int) -> bool:
@@ -141,9 +164,9 @@ def _most(a: np.ndarray, b: np.ndarray, depth: int) -> int:
     return _most(a[:middle], b[:at], depth - 1) + _most(a[middle:], b[at:], depth - 1)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, n: int, seed: int, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, seed: int, percent: int) -> DataFrame:
     """``a, b, overlap`` of the pairs whose whole sets are similar enough."""
-    sets = written(_sets(docs, pairs, n, seed), "sets")
+    sets = written(_sets(docs, nodes, pairs, n, seed), "sets")
     left, right = sets.toDF("a", "grams_a"), sets.toDF("b", "grams_b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,29 +203,106 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, seed: int = 0) -> tupl
     active = shared.withColumn("comp", F.col("node"))
     for turn in range(PIVOT_ROUNDS + 1):
         open_ = active.groupBy("gram").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("rank"), "node", "n_grams", "pos", "comp")).alias("pivot")
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("nodes"), F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("rank"), "node", "n_grams", "pos", "comp")).alias("pivot")
         )
         open_ = open_.where("low <> high")
         if turn < PIVOT_ROUNDS:
             pivots = open_.select("gram", *[F.col(f"pivot.{c}").alias(d) for c, d in (("node", "other"), ("n_grams", "other_grams"), ("pos", "other_pos"), ("comp", "other_comp"))])
             met = active.join(pivots, "gram").where("comp <> other_comp")
         else:
-            left = written(active.join(open_.select("gram"), "gram", "left_semi"), "left")
-            met = left.join(left.toDF("gram", *(f"other{c}" for c in ("", "_grams", "_pos", "_comp"))), "gram").where("comp < other_comp")
-        pairs = met.where(_passes(percent)).select(ordered.alias("pair")).distinct().select("pair.*")
+            left = written(active.join(open_.select("gram", "nodes"), "gram"), "left")
+            few = left.where(F.col("nodes") < ROWS_BELOW)
+            met = few.join(few.select("gram", *[F.col(c).alias(f"other{d}") for c, d in (("node", ""), ("n_grams", "_grams"), ("pos", "_pos"), ("comp", "_comp"))]), "gram").where("comp < other_comp")
+        pairs = met.where(_passes(percent)).groupBy(ordered.alias("pair"), F.greatest("n_grams", "other_grams").alias("larger")).count()
+        # The first l grams that two similar sets share are in both prefixes; a larger set of k grams shares t k at least.
+        # A pair with fewer as rows in the last round shares one of the grams that are compared in blocks, or isn't similar.
+        pairs = pairs.where(F.col("count") >= F.least(F.lit(SHARED), F.ceil(F.col("larger") * F.lit(percent) / 100))).select("pair.*")
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         if not pairs.isEmpty():
-            fresh = written(_verified(docs, pairs, n, seed, percent), "verified")
+            fresh = written(_verified(docs, nodes, pairs, n, seed, percent), "verified")
             found = fresh if found is None else found.union(fresh)
             tried = pairs if tried is None else tried.union(pairs)
             if turn < PIVOT_ROUNDS:
                 comps = components(found)
                 active = written(shared.join(comps, "node", "left").select("gram", "node", "n_grams", "pos", F.coalesce("comp", "node").alias("comp")), "active")
-    if found is None:
-        found = docs.sparkSession.createDataFrame([], "a long, b long, overlap long")
-    return nodes, found
+    crowded = written(_crowded_pairs(docs, nodes, left.where(F.col("nodes") >= ROWS_BELOW), n, seed, percent), "crowded")
+    if tried is not None:
+        crowded = crowded.join(tried, ["a", "b"], "left_anti")
+    many = written(_verified(docs, nodes, crowded, n, seed, percent), "verified")
+    return nodes, many if found is None else found.union(many)
+
+
+def odd_sketch(grams: np.ndarray) -> bytes:
+    """Parity of the number of grams at each of at least eight bits for each gram.
+
+    Every gram that only one of two sets has changes one bit, so no fewer grams differ than bits do.
+    """
+    bits = 1 << max(11, int(8 * len(grams) - 1).bit_length())
+    places, counts = np.unique((grams % np.uint64(bits)).astype(np.int64), return_counts=True)
+    odd = np.zeros(bits, np.bool_)
+    odd[places] = counts % 2 == 1
+    return np.packbits(odd).tobytes()
+
+
+def _sketches(docs: DataFrame, nodes: DataFrame, chosen: DataFrame, n: int, seed: int) -> DataFrame:
+    """``node, sketch`` of the nodes in ``chosen``."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketches = [odd_sketch(np.frombuffer(v.as_buffer(), np.uint64)) for v in batch.column("grams")]
+            yield pa.record_batch([batch.column("node"), pa.array(sketches, pa.binary())], ["node", "sketch"])
+
+    pairs = chosen.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    return _sets(docs, nodes, pairs, n, seed).mapInArrow(draw, "node long, sketch binary")
+
+
+def _crowded_pairs(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, n: int, seed: int, percent: int) -> DataFrame:
+    """``a, b``: pairs of different components under grams with many nodes that may be similar.
+
+    A task gets two blocks of a gram's nodes with their sketches. It looks at two nodes only if the gram is the first of the crowded
+    ones that both have, so each pair is looked at once, and returns those whose sketches don't rule out that they link.
+    """
+    lists = crowded.groupBy("node").agg(F.sort_array(F.collect_set("gram")).alias("crowd"), F.min("comp").alias("comp"), F.min("n_grams").alias("size"))
+    lists = written(lists.join(_sketches(docs, nodes, lists, n, seed), "node"), "sketches")
+    blocks = F.ceil(F.col("nodes") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    ends = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.struct(F.least(i, own).cast("int").alias("i"), F.greatest(i, own).cast("int").alias("j")))
+    dealt = crowded.select("gram", "node", own.alias("own"), F.explode(ends).alias("at"))
+    dealt = dealt.join(lists, "node").select("gram", "at.i", "at.j", "own", "node", "comp", "size", F.filter("crowd", lambda g: g < F.col("gram")).alias("before"), "sketch")
+
+    def compare(group: pa.Table) -> pa.Table:
+        i, j = (group.column(c)[0].as_py() for c in ("i", "j"))
+        own, ids, comps, sizes = (group.column(c).to_numpy() for c in ("own", "node", "comp", "size"))
+        before = _incidence([c.values.to_numpy() for c in group.column("before").combine_chunks()])
+        raw = [np.frombuffer(v.as_buffer(), np.uint8) for v in group.column("sketch").combine_chunks()]
+        width = min(len(r) for r in raw)
+        # A longer sketch is folded to the shortest: still each differing gram changes one bit.
+        bits = np.stack([np.bitwise_xor.reduce(r.reshape(-1, width), axis=0) for r in raw])
+        left, right = [], []
+        for x in np.flatnonzero(own == i):
+            least = -(-percent * (sizes + sizes[x]) // (100 + percent))
+            hits = (own == j) & (comps != comps[x]) & (least <= np.minimum(sizes, sizes[x])) & ~(before & before[x]).any(axis=1)
+            if i == j:
+                hits[: x + 1] = False
+            others = np.flatnonzero(hits)
+            differ = np.bitwise_count(bits[others] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            others = others[differ <= sizes[others] + sizes[x] - 2 * least[others]]
+            left.append(np.minimum(ids[others], ids[x]))
+            right.append(np.maximum(ids[others], ids[x]))
+        return pa.table([pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for v in (left, right)], ["a", "b"])
+
+    return dealt.groupBy("gram", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def _incidence(lists: list[np.ndarray]) -> np.ndarray:
+    """A row of flags for each list: which of all their numbers it has."""
+    known = np.unique(np.concatenate(lists)) if lists else np.zeros(0, np.int64)
+    flags = np.zeros((len(lists), len(known)), np.bool_)
+    for row, own in enumerate(lists):
+        flags[row, np.searchsorted(known, own)] = True
+    return flags
 
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -217,7 +317,15 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     comps = components(found)
     placed = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_grams").alias("n_grams"))
     placed = placed.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    lowest = placed.groupBy("comp").agg(F.min("least").alias("component_id"))
-    return nodes.join(placed.select("node", "comp"), "node", "left").join(lowest, "comp", "left").select(
-        "doc_id", F.coalesce("n_grams", F.lit(0)).alias("n_grams"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    # Written tables on both sides let Spark split the rows of one large component or set.
+    placed = written(placed, "placed")
+    lowest = written(placed.groupBy("comp").agg(F.min("least").alias("component_id")), "lowest")
+    named = written(placed.join(lowest, "comp").select("node", "component_id"), "named")
+    return nodes.join(named, "node", "left").select("doc_id", F.coalesce("n_grams", F.lit(0)).alias("n_grams"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def first_of_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of their component, with all columns. Rows with a null id stay; rows of one id go together."""
+    joined = join(docs, n, percent)
+    gone = joined.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(written(gone, "gone"), "doc_id", "left_anti").select(docs.columns)

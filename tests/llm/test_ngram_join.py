@@ -28,9 +28,10 @@ def texts(seed, groups=6, size=12):
     return out
 
 
-@pytest.mark.parametrize(("n", "percent", "turns"), [(4, 85, 3), (5, 80, 0)])
-def test_components_like_all_pairs(spark, monkeypatch, n, percent, turns):
-    monkeypatch.setattr(j, "PIVOT_ROUNDS", turns)
+@pytest.mark.parametrize(("n", "percent", "turns", "rows", "block"), [(4, 85, 3, 24, 512), (5, 80, 0, 2, 5), (4, 85, 0, 1000, 512)])
+def test_components_like_all_pairs(spark, monkeypatch, n, percent, turns, rows, block):
+    for name, value in (("PIVOT_ROUNDS", turns), ("ROWS_BELOW", rows), ("BLOCK", block)):
+        monkeypatch.setattr(j, name, value)
     all_texts = dict(enumerate(texts(n)))
     frame = spark.createDataFrame([(i, t, 1, "mine") for i, t in all_texts.items()], "doc_id long, text string, n_grams int, component_id string")
     rows = j.join(frame, n, percent).collect()
@@ -58,6 +59,18 @@ def test_suffix_filter_never_loses():
         assert j._most(a, b, 3) >= len(np.intersect1d(a, b))
 
 
+def test_sketches_differ_by_no_more_than_their_sets():
+    rng = np.random.default_rng(2)
+    for size in (5, 100, 3000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: size // 2], rng.integers(0, 2**63, size // 3).astype(np.uint64)]))
+        x, y = (np.frombuffer(j.odd_sketch(v), np.uint8) for v in (a, b))
+        width = min(len(x), len(y))
+        bits = np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, width), axis=0) ^ np.bitwise_xor.reduce(y.reshape(-1, width), axis=0)).sum()
+        differ = len(np.setxor1d(a, b))
+        assert 0.9 * differ <= bits <= differ
+
+
 def test_connected_components(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(100, 160)] + [(rng.randrange(90), rng.randrange(90)) for _ in range(60)] + [(200, i) for i in range(201, 260)]
