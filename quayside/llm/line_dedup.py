@@ -72,9 +72,11 @@ def _counts(n_lines: Column, gone: Column) -> list[Column]:
 
 
 def kept_text(text: Column, keep_runs: Column) -> Column:
-    r"""The kept lines, joined by ``\n``."""
-    lines = lines_of(text)
-    return F.array_join(F.flatten(F.transform(keep_runs, lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
+    r"""The kept lines, joined by ``\n``; ``keep_runs`` is best a column of a table, as it is looked up for each run."""
+    gap = lambda r, i: r["start"] - F.when(i > 0, F.get(keep_runs, i - 1)["start"] + F.get(keep_runs, i - 1)["length"]).otherwise(F.lit(0))
+    flags = F.flatten(F.transform(keep_runs, lambda r, i: F.concat(F.array_repeat(F.lit(False), gap(r, i)), F.array_repeat(F.lit(True), r["length"]))))
+    pairs = F.arrays_zip(lines_of(text).alias("line"), flags.alias("keep"))
+    return F.array_join(F.transform(F.filter(pairs, lambda p: F.coalesce(p["keep"], F.lit(False))), lambda p: p["line"]), "\n")
 
 
 def deduplicate(docs: DataFrame, **how) -> DataFrame:

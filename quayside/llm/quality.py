@@ -155,7 +155,8 @@ def _sampled(docs: DataFrame, ids: DataFrame) -> tuple[list, tuple[np.ndarray, n
     kind = docs.schema["doc_id"].dataType.simpleString()
     chosen = docs.select("doc_id", *COLUMNS).join(F.broadcast(ids), "doc_id", "left_semi")
     found = chosen.mapInArrow(scan, f"doc_id {kind}, content array<double>, metadata array<double>").toArrow().sort_by("doc_id")
-    views = tuple(np.array(found.column(c).to_pylist(), float).reshape(found.num_rows, -1) for c in ("content", "metadata"))
+    widths = {"content": len(CONTENT), "metadata": len(LAYOUT) + 2 * SLOTS}
+    views = tuple(np.array(found.column(c).to_pylist(), float).reshape(found.num_rows, width) for c, width in widths.items())
     return found.column("doc_id").to_pylist(), views
 
 
