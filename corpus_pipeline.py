@@ -22,8 +22,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that stand in many documents, but for the first place of each; n_chars follows the text."""
-    done = line_dedup.deduplicate(docs, min_docs=BOILERPLATE_DOCS, keep_first=True)
+    """Documents without lines that stand in many documents, but for the first place of each; n_chars follows the text.
+
+    Documents that hold little else than such lines, or are near copies, go as a whole.
+    """
+    done = line_dedup.deduplicate_with_documents(docs, min_docs=BOILERPLATE_DOCS, n=5, percent=80)
     return done.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

@@ -11,11 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.tables import lower_ascii, text_key, written
+from quayside.llm import ngram_join
+from quayside.llm.tables import WORD, lower_ascii, text_key, written
 
 STRIPPED = " \t\n\x0b\x0c\r"
 #: Slices that the occurrences of one hash are dealt to, by document.
 SLICES = 64
+#: A document that loses so many percent of its words to first places elsewhere goes; one that loses as many as the second number goes if it is a near copy.
+LOST, SUSPECT = 80, 20
 
 
 def lines_of(text: Column) -> Column:
@@ -28,13 +31,26 @@ def line_key(line: Column) -> Column:
     return lower_ascii(F.btrim(line, F.lit(STRIPPED)))
 
 
-def occurrences(docs: DataFrame, min_chars: int = 1) -> DataFrame:
-    """One row for each line whose key has ``min_chars`` code points: 128 bits of hash, document and position."""
+def occurrences(docs: DataFrame, min_chars: int = 1, counted: bool = False) -> DataFrame:
+    """One row for each line whose key has ``min_chars`` code points: 128 bits of hash, document and position; ``counted`` adds the line's words."""
     exploded = docs.select(
         "doc_id", text_key(F.col("text")).alias("text_hash"), F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("pos", "key")
     ).where(F.char_length("key") >= min_chars)
     slice_ = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SLICES)).cast("int")
-    return exploded.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), slice_.alias("slice"), "doc_id", "text_hash", "pos")
+    words = [F.regexp_count("key", F.lit(WORD)).alias("words")] if counted else []
+    return exploded.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), slice_.alias("slice"), "doc_id", "text_hash", "pos", *words)
+
+
+def _repeating(lines: DataFrame, min_docs: int) -> DataFrame:
+    """``h1, h2, slice, first`` of the lines that stand in ``min_docs`` documents or more."""
+    place = F.struct("doc_id", "text_hash", "pos")
+    # The ranges serve window and aggregate without another shuffle.
+    in_order = Window.partitionBy("h1", "h2", "slice").orderBy("doc_id", "text_hash")
+    streamed = lines.repartitionByRange("h1", "h2", "slice").withColumn("nth_doc", F.dense_rank().over(in_order))
+    sliced = written(streamed.groupBy("h1", "h2", "slice").agg(F.max("nth_doc").alias("n_docs"), F.min(place).alias("first")), "slices")
+    found = sliced.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.min("first").alias("first")).where(F.col("n_docs") >= min_docs)
+    # Back to the slices first, so that no task gets all lines of a hash.
+    return written(sliced.select("h1", "h2", "slice").join(found.select("h1", "h2", "first"), ["h1", "h2"]), "repeating")
 
 
 def keep_bitmaps(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep_first: bool = True) -> DataFrame:
@@ -46,17 +62,14 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep_fi
     doc_id with different texts are different documents. Shorter keys, so also empty lines, always stay.
     """
     lines = written(occurrences(docs, min_chars), "lines")
-    place = F.struct("doc_id", "text_hash", "pos")
-    # The ranges serve window and aggregate without another shuffle.
-    in_order = Window.partitionBy("h1", "h2", "slice").orderBy("doc_id", "text_hash")
-    streamed = lines.repartitionByRange("h1", "h2", "slice").withColumn("nth_doc", F.dense_rank().over(in_order))
-    sliced = written(streamed.groupBy("h1", "h2", "slice").agg(F.max("nth_doc").alias("n_docs"), F.min(place).alias("first")), "slices")
-    found = sliced.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.min("first").alias("first")).where(F.col("n_docs") >= min_docs)
-    # Back to the slices first, so that no task gets all lines of a hash.
-    repeating = written(sliced.select("h1", "h2", "slice").join(found.select("h1", "h2", "first"), ["h1", "h2"]), "repeating")
-    repeated = lines.join(repeating, ["h1", "h2", "slice"])
+    repeated = lines.join(_repeating(lines, min_docs), ["h1", "h2", "slice"])
     if keep_first:
-        repeated = repeated.where(~place.eqNullSafe(F.col("first")))
+        repeated = repeated.where(~F.struct("doc_id", "text_hash", "pos").eqNullSafe(F.col("first")))
+    return _bitmaps(docs, repeated)
+
+
+def _bitmaps(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Bitmaps of all documents without the places in ``repeated``."""
     dropped = repeated.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("gone")).withColumnRenamed("doc_id", "gone_id").withColumnRenamed("text_hash", "gone_hash")
     every = docs.select("doc_id", text_key(F.col("text")).alias("text_hash"), F.size(lines_of(F.col("text"))).alias("n_lines")).distinct()
     joined = every.join(dropped, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left")
@@ -81,9 +94,62 @@ def kept_text(text: Column, keep_runs: Column) -> Column:
 
 def deduplicate(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with ``text`` reduced to its kept lines and ``n_lines``, ``n_dropped``, ``keep_runs`` added; null texts become empty."""
-    bitmaps = keep_bitmaps(docs.select("doc_id", "text"), **how).select(F.col("doc_id").alias("bitmap_id"), F.col("text_hash").alias("bitmap_hash"), "n_lines", "n_dropped", "keep_runs")
+    return _reduced(docs, keep_bitmaps(docs.select("doc_id", "text"), **how))
+
+
+def _reduced(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    bitmaps = bitmaps.select(F.col("doc_id").alias("bitmap_id"), F.col("text_hash").alias("bitmap_hash"), "n_lines", "n_dropped", "keep_runs")
     own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "keep_runs")]
     left = docs.select(*[F.col(f"`{c}`").alias(f"own_{i}") for i, c in enumerate(own)])
     doc_id, text = (F.col(f"own_{own.index(c)}") for c in ("doc_id", "text"))
     joined = left.join(bitmaps, doc_id.eqNullSafe(F.col("bitmap_id")) & (text_key(text) == F.col("bitmap_hash")), "left")
     return joined.select(*[(kept_text(text, F.col("keep_runs")) if c == "text" else F.col(f"own_{i}")).alias(c) for i, c in enumerate(own)], "n_lines", "n_dropped", "keep_runs")
+
+
+def _without(rows: DataFrame, gone: DataFrame, text_hash: Column) -> DataFrame:
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    return rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (text_hash == F.col("gone_hash")), "left_anti")
+
+
+def _copies(docs: DataFrame, repeated: DataFrame, n: int, percent: int) -> DataFrame:
+    """``doc_id, text_hash`` of the documents that go as a whole; ``repeated`` are the places of repeated lines, with their words and first place."""
+    elsewhere = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")))
+    # Equal rows have equal places.
+    losses = repeated.where(elsewhere).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("pos", "words")).alias("lost"))
+    losses = losses.select("doc_id", "text_hash", F.aggregate("lost", F.lit(0).cast("long"), lambda total, x: total + x["words"]).alias("lost"))
+    keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_hash"))
+    sizes = keyed.select(F.col("doc_id").alias("size_id"), F.col("text_hash").alias("size_hash"), F.regexp_count("text", F.lit(WORD)).alias("words")).distinct()
+    lost = losses.join(sizes, F.col("doc_id").eqNullSafe(F.col("size_id")) & (F.col("text_hash") == F.col("size_hash")))
+    lost = written(lost.where((F.col("lost") > 0) & (100 * F.col("lost") >= SUSPECT * F.col("words"))).select("doc_id", "text_hash", (100 * F.col("lost") >= LOST * F.col("words")).alias("goes")), "losses")
+    gone, suspects = lost.where("goes").drop("goes"), lost.where("NOT goes").drop("goes")
+    # Near copies are told by the whole texts, of those who lose and of those they lose to.
+    of = suspects.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"))
+    places = repeated.where(elsewhere).join(of, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")), "left_semi")
+    holders = _without(places.select("first.doc_id", "first.text_hash").distinct(), gone, F.col("text_hash"))
+    both = written(holders.union(suspects).distinct().select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")), "compared")
+    if both.isEmpty():
+        return gone
+    compared = written(keyed.join(both, (F.col("doc_id") == F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")), "left_semi").select("doc_id", "text"), "compared")
+    copies = ngram_join.join(compared, n, percent).where("doc_id <> component_id").select("doc_id").distinct()
+    return written(gone.union(suspects.join(copies, "doc_id", "left_semi")), "copies")
+
+
+def deduplicate_with_documents(docs: DataFrame, min_docs: int = 2, n: int = 5, percent: int = 80) -> DataFrame:
+    """As ``deduplicate`` with ``keep_first``, but copies go as documents instead of losing their lines one by one.
+
+    A document goes if ``LOST`` percent of its words, or all, stand in repeated lines that have their first place in another document; and
+    if ``SUSPECT`` percent do and it is a near copy, not the first of its group, of documents that lose or hold such lines: similarity of ``percent`` in ``n``-word
+    shingles. What else such a document holds goes with it. First places are then those in the documents left, so none lies in a document that
+    went. Documents without words stay.
+    """
+    lines = written(occurrences(docs, counted=True), "lines")
+    repeated = written(lines.join(_repeating(lines, min_docs), ["h1", "h2", "slice"]), "repeated")
+    gone = written(_copies(docs, repeated, n, percent), "gone")
+    if not gone.isEmpty():
+        docs = _without(docs, gone, text_key(F.col("text")))
+        left = _without(repeated.drop("first"), gone, F.col("text_hash"))
+        sliced = written(left.groupBy("h1", "h2", "slice").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("first")), "slices")
+        first = sliced.groupBy("h1", "h2").agg(F.min("first").alias("first"))
+        repeated = left.join(sliced.drop("first").join(first, ["h1", "h2"]), ["h1", "h2", "slice"])
+    later = repeated.where(~F.struct("doc_id", "text_hash", "pos").eqNullSafe(F.col("first")))
+    return _reduced(docs, _bitmaps(docs.select("doc_id", "text"), later))

@@ -65,3 +65,34 @@ def test_stages(spark, folder):
 
 def test_run_is_the_stages(spark, folder):
     assert p.run(spark, folder).count() > 100
+
+
+def lines_of(rng, n, words=12):
+    return [" ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(words)) for _ in range(n)]
+
+
+def test_large_groups_of_copies_go_as_documents(spark, folder, tmp_path):
+    rng = random.Random(3)
+    exact, near, short, own = lines_of(rng, 5), lines_of(rng, 6, 25), lines_of(rng, 3, 40), lines_of(rng, 40)
+    menu = lines_of(rng, 1, 5)
+    docs = [(1000 + i, "\n".join(exact)) for i in range(14)]
+    # One changed line of six; one changed word in a line of three, so that a third of the words is left.
+    docs += [(1100 + i, "\n".join([*near[: i % 6], near[i % 6] + f" changed{i}", *near[i % 6 + 1 :]])) for i in range(40)]
+    docs += [(1200 + i, "\n".join([*short[: i % 3], short[i % 3] + f" changed{i}", *short[i % 3 + 1 :]])) for i in range(40)]
+    # The first copy that goes is the first place of the menu, which stays once in the others.
+    docs[1] = (1001, "\n".join([*exact, *menu]))
+    docs += [(1300 + i, "\n".join([own[2 * i], *menu, own[2 * i + 1]])) for i in range(12)]
+    docs += [(1400, ""), (1401, None)]
+    docs += [docs[0], docs[20]]
+    frame = spark.createDataFrame([(i, t, "en", "s0", len(t or "")) for i, t in docs], DOCS)
+    rows = p.drop_repeated_lines(spark, frame, folder).collect()
+    assert sorted(r["doc_id"] for r in rows) == [1000, 1000, 1100, 1200, *range(1300, 1312), 1400, 1401]
+    texts = {r["doc_id"]: r["text"] for r in rows}
+    assert [texts[i] for i in (1000, 1100, 1200)] == [t for i, t in docs[:-2] if i in (1000, 1100, 1200)]
+    assert sum(t.split("\n").count(menu[0]) for t in texts.values()) == 1 and menu[0] in texts[1300]
+    path = str(tmp_path)
+    frame.where("doc_id < 1400").union(spark.read.parquet(f"{folder}/documents.parquet")).write.parquet(f"{path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{path}/{name}.parquet")
+    left = {r["doc_id"] for r in p.run(spark, path).where("doc_id >= 1000 AND doc_id < 1300").collect()}
+    assert left <= {1000, 1100, 1200} and left
