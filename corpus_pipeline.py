@@ -14,6 +14,8 @@ from quayside.llm.tables import table, written
 
 #: A line in this many documents is boilerplate; it stays at its first place only.
 BOILERPLATE_DOCS = 10
+#: A passage: a line of this many words stays at its first place only if it stands in this many documents.
+PASSAGE_WORDS, PASSAGE_DOCS = 50, 2
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,11 +24,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand in many documents, but for the first place of each; n_chars follows the text.
+    """Documents without lines that stand in many documents and passages that stand in two, but for the first place of each; n_chars follows the text.
 
     Documents that hold little else than such lines, or are near copies, go as a whole.
     """
-    done = line_dedup.deduplicate_with_documents(docs, min_docs=BOILERPLATE_DOCS, n=5, percent=80)
+    done = line_dedup.deduplicate_with_documents(docs, min_docs=BOILERPLATE_DOCS, n=5, percent=80, long=(PASSAGE_WORDS, PASSAGE_DOCS))
     return done.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

@@ -41,14 +41,18 @@ def occurrences(docs: DataFrame, min_chars: int = 1, counted: bool = False) -> D
     return exploded.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), slice_.alias("slice"), "doc_id", "text_hash", "pos", *words)
 
 
-def _repeating(lines: DataFrame, min_docs: int) -> DataFrame:
-    """``h1, h2, slice, first`` of the lines that stand in ``min_docs`` documents or more."""
+def _repeating(lines: DataFrame, min_docs: int, long: tuple[int, int] | None = None) -> DataFrame:
+    """``h1, h2, slice, first`` of the lines that stand in ``min_docs`` documents or more; with ``long`` = (words, documents) those of as many words in as many documents, too."""
     place = F.struct("doc_id", "text_hash", "pos")
     # The ranges serve window and aggregate without another shuffle.
     in_order = Window.partitionBy("h1", "h2", "slice").orderBy("doc_id", "text_hash")
     streamed = lines.repartitionByRange("h1", "h2", "slice").withColumn("nth_doc", F.dense_rank().over(in_order))
-    sliced = written(streamed.groupBy("h1", "h2", "slice").agg(F.max("nth_doc").alias("n_docs"), F.min(place).alias("first")), "slices")
-    found = sliced.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.min("first").alias("first")).where(F.col("n_docs") >= min_docs)
+    words = [F.max("words").alias("words")] if long else []
+    sliced = written(streamed.groupBy("h1", "h2", "slice").agg(F.max("nth_doc").alias("n_docs"), F.min(place).alias("first"), *words), "slices")
+    many = F.col("n_docs") >= min_docs
+    if long:
+        many |= (F.col("words") >= long[0]) & (F.col("n_docs") >= long[1])
+    found = sliced.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.min("first").alias("first"), *words).where(many)
     # Back to the slices first, so that no task gets all lines of a hash.
     return written(sliced.select("h1", "h2", "slice").join(found.select("h1", "h2", "first"), ["h1", "h2"]), "repeating")
 
@@ -111,16 +115,17 @@ def _without(rows: DataFrame, gone: DataFrame, text_hash: Column) -> DataFrame:
     return rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (text_hash == F.col("gone_hash")), "left_anti")
 
 
-def _copies(docs: DataFrame, repeated: DataFrame, n: int, percent: int) -> DataFrame:
+def _copies(docs: DataFrame, repeated: DataFrame, n: int, percent: int, long_words: int | None) -> DataFrame:
     """``doc_id, text_hash`` of the documents that go as a whole; ``repeated`` are the places of repeated lines, with their words and first place."""
     elsewhere = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")))
     # Equal rows have equal places.
     losses = repeated.where(elsewhere).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("pos", "words")).alias("lost"))
-    losses = losses.select("doc_id", "text_hash", F.aggregate("lost", F.lit(0).cast("long"), lambda total, x: total + x["words"]).alias("lost"))
+    long = F.exists("lost", lambda x: x["words"] >= long_words) if long_words else F.lit(False)
+    losses = losses.select("doc_id", "text_hash", F.aggregate("lost", F.lit(0).cast("long"), lambda total, x: total + x["words"]).alias("lost"), long.alias("long"))
     keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_hash"))
     sizes = keyed.select(F.col("doc_id").alias("size_id"), F.col("text_hash").alias("size_hash"), F.regexp_count("text", F.lit(WORD)).alias("words")).distinct()
     lost = losses.join(sizes, F.col("doc_id").eqNullSafe(F.col("size_id")) & (F.col("text_hash") == F.col("size_hash")))
-    lost = written(lost.where((F.col("lost") > 0) & (100 * F.col("lost") >= SUSPECT * F.col("words"))).select("doc_id", "text_hash", (100 * F.col("lost") >= LOST * F.col("words")).alias("goes")), "losses")
+    lost = written(lost.where((F.col("lost") > 0) & (F.col("long") | (100 * F.col("lost") >= SUSPECT * F.col("words")))).select("doc_id", "text_hash", (100 * F.col("lost") >= LOST * F.col("words")).alias("goes")), "losses")
     gone, suspects = lost.where("goes").drop("goes"), lost.where("NOT goes").drop("goes")
     # Near copies are told by the whole texts, of those who lose and of those they lose to.
     of = suspects.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"))
@@ -134,17 +139,17 @@ def _copies(docs: DataFrame, repeated: DataFrame, n: int, percent: int) -> DataF
     return written(gone.union(suspects.join(copies, "doc_id", "left_semi")), "copies")
 
 
-def deduplicate_with_documents(docs: DataFrame, min_docs: int = 2, n: int = 5, percent: int = 80) -> DataFrame:
+def deduplicate_with_documents(docs: DataFrame, min_docs: int = 2, n: int = 5, percent: int = 80, long: tuple[int, int] | None = None) -> DataFrame:
     """As ``deduplicate`` with ``keep_first``, but copies go as documents instead of losing their lines one by one.
 
     A document goes if ``LOST`` percent of its words, or all, stand in repeated lines that have their first place in another document; and
     if ``SUSPECT`` percent do and it is a near copy, not the first of its group, of documents that lose or hold such lines: similarity of ``percent`` in ``n``-word
-    shingles. What else such a document holds goes with it. First places are then those in the documents left, so none lies in a document that
+    shingles. With ``long`` = (words, documents) lines of as many words are repeated lines in as many documents already, and losing one is enough to be compared. What else such a document holds goes with it. First places are then those in the documents left, so none lies in a document that
     went. Documents without words stay.
     """
     lines = written(occurrences(docs, counted=True), "lines")
-    repeated = written(lines.join(_repeating(lines, min_docs), ["h1", "h2", "slice"]), "repeated")
-    gone = written(_copies(docs, repeated, n, percent), "gone")
+    repeated = written(lines.join(_repeating(lines, min_docs, long), ["h1", "h2", "slice"]), "repeated")
+    gone = written(_copies(docs, repeated, n, percent, long and long[0]), "gone")
     if not gone.isEmpty():
         docs = _without(docs, gone, text_key(F.col("text")))
         left = _without(repeated.drop("first"), gone, F.col("text_hash"))

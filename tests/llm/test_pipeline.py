@@ -96,3 +96,18 @@ def test_large_groups_of_copies_go_as_documents(spark, folder, tmp_path):
         spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{path}/{name}.parquet")
     left = {r["doc_id"] for r in p.run(spark, path).where("doc_id >= 1000 AND doc_id < 1300").collect()}
     assert left <= {1000, 1100, 1200} and left
+
+
+def test_passages_in_two_documents_stay_once(spark, folder):
+    rng = random.Random(5)
+    passage, short, copy = lines_of(rng, 1, 50)[0], lines_of(rng, 1, 49)[0], [*lines_of(rng, 1, 60), *lines_of(rng, 5, 20)]
+    own = lines_of(rng, 12, 40)
+    docs = [(i, "\n".join([*own[3 * i : 3 * i + 2], passage, short, own[3 * i + 2]])) for i in range(3)]
+    # Copies with a passage go or stay as documents.
+    docs += [(10, "\n".join(copy)), (11, "\n".join(copy)), (12, "\n".join([copy[0] + " end", *copy[1:]])), (13, "\n".join([*copy[:-1], copy[-1] + " end"]))]
+    rows = p.drop_repeated_lines(spark, spark.createDataFrame([(i, t, "en", "s0", len(t)) for i, t in docs], DOCS), folder).collect()
+    texts = {r["doc_id"]: r["text"] for r in rows}
+    assert [texts[i].split("\n").count(passage) for i in range(3)] == [1, 0, 0]
+    assert all(short in texts[i] for i in range(3)) and texts[0] == docs[0][1]
+    # A near copy that loses nothing is left to the next stage.
+    assert set(texts) == {0, 1, 2, 10, 12} and texts[10] == docs[3][1]
