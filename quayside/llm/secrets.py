@@ -1,6 +1,6 @@
 """Secret scan: candidates from patterns, false positives removed by a random forest.
 
-A candidate is a word's value of at least ``MIN_LENGTH`` key characters with a digit among them. The forest sees its length and character
+A candidate is a value in a word, of at least ``MIN_LENGTH`` key characters with a digit among them, or of any kind if its name or the word before tells so. The forest sees its length and character
 transitions, how much of it a dictionary of the corpus's commonest words covers, the path it was found under and its neighbouring words. It is trained
 from labelled findings; without any, from the candidates whose format or context alone says what they are. Only built-in functions and
 Spark's own forest are used; only candidates, not texts, leave the scan.
@@ -26,6 +26,13 @@ FLAGGED = 0.5
 QUOTES = "\"'`()[]{}<>,;:!?"
 #: Words that announce a secret, and words that announce something else.
 KEY_WORDS = "passw|pwd|secret|token|api_?key|apikey|access_?key|auth|credential|private"
+#: Names, or their ends, whose values are candidates whatever their length and alphabet, from ``SHORTEST`` characters on.
+TELLING = r"(?:passwd|password|passphrase|pwd|secret|token|api_?key|access_?key|private_?key|secret_?key|credentials?)"
+SHORTEST = 4
+#: User and password of an address.
+USER = r"[A-Za-z][A-Za-z0-9+.\-]*://([^:/?#@\"'`]*):([^/?#\"'`]+)@"
+#: Values that only refer to one.
+NO_VALUE = r"^([$%]?[{(<\[].*|\$[A-Za-z_]+|(?i:null|none|true|false|undefined|string)|[*.x]+)$"
 OTHER_WORDS = "sha|md5|commit|hash|uuid|guid|checksum|digest|version|phone|card|order|isbn|example|test|sample|dummy"
 #: Formats that are secrets whatever stands around them, and formats that never are.
 SECRET_FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abpr]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35})$"
@@ -38,31 +45,49 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """``doc_id, position, value, name, quoted, before, before2, after, path``: a row for each candidate word of ``docs``.
+    """``doc_id, position, value, name, quoted, before, before2, after, path``: a row for each candidate of ``docs``.
 
-    ``position`` counts the text's words from 0; ``name`` is what stands before the last ``=`` or ``:`` in the word. Null and
-    empty texts have none.
+    ``position`` counts the text's words from 0; a word can hold several candidates, one for each value between separators ``= : & ; ,``,
+    quotes, brackets, ``? @ #`` and ``://``; also the whole between quotes or white space if a telling name stands before it. ``name`` is what stands before
+    the value's own ``=`` or ``:``; in an address with a user it is the user. A value is a candidate if it has
+    ``MIN_LENGTH`` key characters with a digit, or any ``SHORTEST`` characters under a telling name or behind a telling word. Null and empty texts have none.
     """
+    telling = rf"(?i){TELLING}"
+    # Every candidate holds such a run, or stands under a telling name or in an address with a user, and few texts do.
     digit_run = rf"[A-Za-z0-9+/_.\-]{{{MIN_LENGTH // 2}}}[0-9]|[0-9][A-Za-z0-9+/_.\-]{{{MIN_LENGTH // 2}}}"
-    # Every candidate holds such a run, and few texts do.
-    likely = docs.where(F.col("text").rlike("[0-9]") & F.col("text").rlike(digit_run))
+    likely = docs.where(F.col("text").rlike(digit_run) | F.col("text").rlike(rf"(?i){KEY_WORDS}") | F.col("text").rlike(USER))
     words = F.filter(F.split("text", f"{BLANKS}+"), lambda w: w != "")
     shifted = lambda w: [
         F.concat(F.array(F.lit("")), w).alias("before"), F.concat(F.array(F.lit(""), F.lit("")), w).alias("before2"), F.concat(F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), F.array(F.lit(""))).alias("after")
     ]
     in_place = F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("position")))
     around = F.arrays_zip(in_place.alias("at"), *shifted(words))
-    found = F.filter(around, lambda z: z["at"].isNotNull() & (F.length(z["at"]["word"]) >= MIN_LENGTH) & z["at"]["word"].rlike("[0-9]"))
+    announced = lambda z: z["before"].rlike(rf"{telling}[\"'`]?(=>|[:=]+)$") | (z["before"].rlike(r"^(=>|[:=]+)$") & z["before2"].rlike(rf"{telling}[\"'`]?$"))
+    by_shape = lambda w: (F.length(w) >= MIN_LENGTH) & w.rlike("[0-9]")
+    found = F.filter(around, lambda z: z["at"].isNotNull() & (by_shape(z["at"]["word"]) | z["at"]["word"].rlike(rf"{telling}[\"'`]?[=:]") | z["at"]["word"].rlike(USER) | announced(z)))
     rows = likely.select("doc_id", F.col(f"`{path}`").cast("string").alias("path"), F.explode(found).alias("z"))
-    bare = F.btrim(F.col("z.at.word"), F.lit(QUOTES))
-    # Behind the last = or : with something before it, padding at the end aside.
-    value = F.btrim(F.regexp_extract(bare, r"(?s)^(?:.*[=:])?([^=:]+=*)$", 1), F.lit(QUOTES + "."))
-    named = F.regexp_extract(bare, r"(?s)^(.*)[=:][^=:]+=*$", 1)
-    rows = rows.select(
-        "doc_id", F.col("z.at.position").alias("position"), value.alias("value"), lower_ascii(named).alias("name"), F.col("z.at.word").rlike("[\"'`]").alias("quoted"),
-        *[lower_ascii(F.coalesce(F.col(f"z.{c}"), F.lit(""))).alias(c) for c in ("before", "before2", "after")], "path",
-    )
-    return rows.where(F.col("value").rlike(rf"^[A-Za-z0-9+/_.\-]{{{MIN_LENGTH},}}=*$") & F.col("value").rlike("[0-9]"))
+    word = F.col("z.at.word")
+    # Name and value, each value with the name just before it; then users' passwords and the rest of the word behind a telling name.
+    pair = r"""(?:([^=:&;,"'`(){}<>\[\]?@#]+)["'`]?[=:]+["'`]?)?([^=:&;,"'`(){}<>\[\]?@#]+=*)"""
+    names, values = (F.regexp_extract_all(word, F.lit(pair), F.lit(i)) for i in (1, 2))
+    in_word = F.transform(F.arrays_zip(names.alias("name"), values.alias("value")), lambda p: F.struct(p["name"].alias("name"), p["value"].alias("value"), F.lit(False).alias("told")))
+    whole = rf"""((?i:[A-Za-z0-9_.\-]*{TELLING}))["'`]?(?:=>|[:=]+)(?:"([^"]+)|'([^']+)|`([^`]+)|([^"'`&;,]+))"""
+    told = [F.regexp_extract_all(word, F.lit(whole), F.lit(i)) for i in (1, 2, 3, 4, 5)]
+    told = F.transform(F.arrays_zip(*[t.alias(f"t{i}") for i, t in enumerate(told)]), lambda p: F.struct(p["t0"].alias("name"), F.concat(p["t1"], p["t2"], p["t3"], p["t4"]).alias("value"), F.lit(True).alias("told")))
+    user = F.transform(
+        F.arrays_zip(*[F.regexp_extract_all(word, F.lit(USER), F.lit(i)).alias(f"u{i}") for i in (1, 2)]), lambda p: F.struct(F.concat(p["u1"], F.lit(":password")).alias("name"), p["u2"].alias("value"), F.lit(True).alias("told"))
+    )
+    alone = F.when(announced(F.col("z")), F.array(F.struct(F.lit("").alias("name"), F.btrim(word, F.lit(QUOTES[:3] + ",;")).alias("value"), F.lit(True).alias("told")))).otherwise(F.array().cast("array<struct<name:string,value:string,told:boolean>>"))
+    cleaned = F.transform(F.concat(user, told, alone, in_word), lambda c: F.struct(F.btrim(c["name"], F.lit(QUOTES)).alias("name"), F.btrim(c["value"], F.when(c["told"], F.lit(QUOTES[:3])).otherwise(F.lit(QUOTES + "."))).alias("value"), c["told"].alias("told")))
+    context = [word.rlike("[\"'`]").alias("quoted"), *[lower_ascii(F.coalesce(F.col(f"z.{c}"), F.lit(""))).alias(c) for c in ("before", "before2", "after")]]
+    rows = rows.select("doc_id", F.col("z.at.position").alias("position"), *context, "path", cleaned.alias("cleaned"))
+    key = rf"^[A-Za-z0-9+/_.\-]{{{MIN_LENGTH},}}=*$"
+    fits = lambda c: F.when(c["told"], (F.length(c["value"]) >= SHORTEST) & ~c["value"].rlike(NO_VALUE)).otherwise(c["value"].rlike(key) & c["value"].rlike("[0-9]"))
+    rows = rows.withColumn("fits", F.filter("cleaned", fits)).drop("cleaned").where(F.size("fits") > 0)
+    # A told value counts once, and no part of it beside it.
+    told_first = F.transform("fits", lambda c, i: F.struct(c.alias("c"), F.exists(F.slice("fits", 1, i), lambda o: o["told"] & (o["value"] == c["value"]) | o["told"] & ~c["told"] & F.contains(o["value"], c["value"])).alias("again")))
+    rows = rows.withColumn("c", F.explode(F.filter(told_first, lambda t: ~t["again"])))
+    return rows.select("doc_id", "position", F.col("c.c.value").alias("value"), lower_ascii(F.col("c.c.name")).alias("name"), "quoted", "before", "before2", "after", "path")
 
 
 def dictionary(docs: DataFrame, words: int = DICTIONARY) -> list[str]:
