@@ -238,6 +238,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, target: float =
     A query's own id is no candidate; rows of one id are one vector if equal, and each of them counts if not. Queries that find fewer than k look into all partitions, so
     fewer are returned only if there are no more.
     """
+    # Equal rows of one id would take the places of its neighbours in a block.
+    vectors, queries = (frame.select("vec_id", "embedding").distinct() for frame in (vectors, queries))
     sizes = vectors.where(F.col("embedding").isNotNull()).groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     dim = sizes["dim"] if sizes else 0
     take = lambda frame: frame.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"), dim)).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))

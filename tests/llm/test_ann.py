@@ -71,3 +71,15 @@ def test_partitions_are_balanced():
     parts = a.balanced_partitions(points, graph, 8)
     assert np.bincount(parts, minlength=8).max() <= np.ceil(1.1 * len(points) / 8)
     assert (parts[graph] == parts[:, None]).mean() > 0.5
+
+
+def test_repeated_rows_push_no_neighbours_out(spark):
+    points = clustered()
+    points[100:] += np.random.default_rng(1).normal(0, 0.01, points[100:].shape).astype(np.float32)
+    rows = [(i, [float(x) for x in p], 1) for i, p in enumerate(points)]
+    # All rows twice, and one near neighbour of many 2000 times.
+    repeated = rows * 2 + [rows[200]] * 2000
+    once, often = (spark.createDataFrame(r, SCHEMA) for r in (rows, repeated))
+    want = found(a.search(once, once.where("vec_id % 50 = 0")).collect())
+    got = found(a.search(often, often.where("vec_id % 50 = 0")).collect())
+    assert got == want and all(len(v) == 10 for v in got.values())
