@@ -1,7 +1,7 @@
-"""Mixing sources to target weights by Pareto order sampling. Only built-in functions are used.
+"""Mixing sources to target weights by simple random order sampling, with equal odds within a source. Only built-in functions are used.
 
 A source's target asks for some number of copies of each document on average. The whole copies are certain; for the
-remaining fraction documents are ranked by their random odds divided by their inclusion odds, and the lowest ranked
+remaining fraction documents are ranked by a uniform random number, and the lowest ranked
 are taken until the fraction of the source's words is reached. The ranking is cut at one value for each source, found
 by adding up words over fixed classes of the rank and then within the one class that holds the cut. So
 no source is sorted as a whole, and texts are never shuffled.
@@ -89,7 +89,7 @@ def _place(step: Column) -> Column:
 def _cuts(keyed: DataFrame, weights: tuple[float, ...], max_copies: float, share: float, classes: int) -> DataFrame:
     """Per source: targets, certain whole copies and the last place that gets one copy more.
 
-    Within a source all inclusion odds are equal, so odds / inclusion odds rank as the random numbers do.
+    Within a source all documents have equal odds; no inclusion odds of their own are computed.
     """
     class_of = F.floor(F.col("step") / F.lit(RANGE // classes)).cast("int")
     classed = keyed.withColumn("class", class_of)
