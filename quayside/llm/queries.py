@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.config import shared_folder
-from quayside.llm import ann, decontaminate, line_dedup, mixing, ngram_join, quality, secrets, toxicity, url_filter, warc
+from quayside.llm import ann, decontaminate, line_dedup, mixing, ngram_join, quality, secrets, spelling, token_align, topk, toxicity, url_filter, warc
 from quayside.llm.tables import table
 
 HOST_PATH_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
@@ -77,8 +77,34 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def without_one_letter(doc_id: Column, run: Column) -> Column:
+    """One in 31 runs of a document, told by a checksum, loses a letter."""
+    check = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run))
+    at = (check % F.length(run)).cast("int")
+    return F.when(check % 31 == 0, F.concat(F.left(run, at), F.substr(run, at + 2))).otherwise(run)
+
+
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.count_words(table(spark, folder, "documents"), min_chars=7, min_count=2, respelled=without_one_letter)
+    return spelling.group_variants(words, ratio=10)
+
+
+#: The two tokenizers that are aligned.
+TOKENIZERS = ("/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op12_token_align(spark: SparkSession, folder: str) -> DataFrame:
+    return token_align.align(table(spark, folder, "documents"), *TOKENIZERS)
+
+
+def op13_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", topk.scaled(F.col("embedding"), 256).alias("vector"))
+    return topk.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 REGISTERED = [
     op1_url_filter, op2_line_dedup, op3_toxicity, op4_ann, op5_ngram_join, op6_quality, op7_decontaminate, op8_mixing, op9_secrets, op10_warc,
+    op11_spelling, op12_token_align, op13_topk,
 ]
 
 
@@ -166,4 +192,13 @@ ORACLES = {
         SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared, i.n AS n_shingles
         FROM rows_ d JOIN rows_ i ON d.kind = 'doc' AND i.kind = 'item' AND d.gram = i.gram
         GROUP BY d.id, i.id, i.n HAVING 100 * count(*) >= 80 * i.n""",
+    "op13_topk": r"""
+        WITH finite AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.vector, v.vector)::BIGINT AS score
+            FROM finite q JOIN finite v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id),
+        ranked AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
 }
