@@ -11,23 +11,27 @@ lists are shuffled to count pairs over the corpus and to bring the counts back,
 from __future__ import annotations
 
 import json
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quayside.llm.tables import written
+from quayside.llm.words import FACTOR, mixed
 
-#: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+#: Bytes of text in a block, and of text tokenised at once; a longer text is a block of its own.
+BLOCK_BYTES, STEP_BYTES = 4 << 20, 1 << 20
 #: Most ids in the windows that a task remembers from block to block.
-MEMO_IDS = 2_000_000
+MEMO_IDS = 600_000
+#: Groups with more links than this are not paired one by one.
+MANY_LINKS = 1024
 #: Texts with more characters go through the slower library, which has no limit of white space in a row.
 PLAIN_CHARS = 100_000
 #: Fixed value: how the byte-level BPE cuts a text before merging.
@@ -88,26 +92,65 @@ class Pieces:
         return self.model.encode(texts, num_threads=1) if texts else []
 
 
-def groups(a: Sequence[int], b: Sequence[int], a_sizes: Sequence[int], b_sizes: Sequence[int]) -> list[tuple[Sequence[int], Sequence[int]]]:
-    """Cuts ids that cover the same bytes wherever both have an end; sizes are those of all ids of a vocabulary."""
-    cut, i, j, start_a, start_b = [], 0, 0, 0, 0
-    ahead = 0  # bytes that a is ahead of b
-    while i < len(a) or j < len(b):
-        if ahead <= 0:
-            ahead += a_sizes[a[i]]
-            i += 1
-        else:
-            ahead -= b_sizes[b[j]]
-            j += 1
-        if ahead == 0:
-            cut.append((a[start_a:i], b[start_b:j]))
-            start_a, start_b = i, j
-    return cut
+class Groups:
+    """Ids of two flat lists that cover the same bytes, cut wherever both have an end. ``at_a`` and ``at_b`` are the ends of the groups."""
 
-
-def written_groups(cut: list[tuple[Sequence[int], Sequence[int]]]) -> str:
-    """``a1,a2|b1;a3|b2,b3``"""
-    return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in cut)
+    def __init__(self, a: np.ndarray, b: np.ndarray, a_lengths: np.ndarray, b_lengths: np.ndarray):
+        self.a, self.b = a, b
+        ends_a, ends_b = np.cumsum(a_lengths[a]), np.cumsum(b_lengths[b])
+        at = np.searchsorted(ends_a, ends_b)
+        both = np.flatnonzero(ends_a[at] == ends_b)
+        self.at_a, self.at_b = at[both] + 1, both + 1
+
+    def links(self, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Owner, pair of ids and times for the links of groups with these owners, in the order of groups."""
+        size_a, size_b = np.diff(self.at_a, prepend=0), np.diff(self.at_b, prepend=0)
+        few = size_a * size_b <= MANY_LINKS
+        sizes = np.where(few, size_a * size_b, 0)
+        group = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        first, second = np.divmod(place, size_b[group]) if len(group) else (place, place)
+        pairs = self.a[(self.at_a - size_a)[group] + first] << SHIFT | self.b[(self.at_b - size_b)[group] + second]
+        parts = [(group, pairs, np.ones(len(group), np.int64))]
+        for g in np.flatnonzero(~few):
+            # Ids that stand many times in a group are counted, not paired one by one.
+            one, n = np.unique(self.a[self.at_a[g] - size_a[g] : self.at_a[g]], return_counts=True)
+            other, m = np.unique(self.b[self.at_b[g] - size_b[g] : self.at_b[g]], return_counts=True)
+            pairs = (one[:, None] << SHIFT | other[None, :]).ravel()
+            parts.append((np.full(len(pairs), g), pairs, (n[:, None] * m[None, :]).ravel()))
+        group, pairs, times = (np.concatenate(p) for p in zip(*parts, strict=True))
+        order = np.argsort(group, kind="stable")
+        return owners[group[order]], pairs[order], times[order]
+
+    def texts(self) -> list[str]:
+        """``a1,a2|b1`` for each group."""
+        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
+        out, i, j = [], 0, 0
+        for x, y in zip(self.at_a.tolist(), self.at_b.tolist(), strict=True):
+            out.append(f"{a[i]}|{b[j]}" if x - i == 1 and y - j == 1 else f"{','.join(a[i:x])}|{','.join(b[j:y])}")
+            i, j = x, y
+        return out
+
+
+def alike(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs with equal ids in all lists (flat ids, ends of runs) are one: the first of each, and for every run which of these it is.
+
+    Runs are brought together by hashes and then compared, so a collision costs time only.
+    """
+    count = len(lists[0][1])
+    runs, key = [], np.zeros(count, np.uint64)
+    for ids, ends in lists:
+        starts = np.concatenate([[0], ends[:-1]])
+        place = np.arange(len(ids)) - np.repeat(starts, ends - starts)
+        power = np.cumprod(np.full(place.max(initial=0) + 1, FACTOR))
+        key = mixed(key + np.add.reduceat(mixed(ids.astype(np.uint64) + FACTOR) * power[place], starts))
+        runs.append((ids, starts, ends - starts, place))
+    _, first, same = np.unique(key, return_index=True, return_inverse=True)
+    chosen = first[same]
+    for ids, starts, sizes, place in runs:
+        if (sizes != sizes[chosen]).any() or (ids != ids[np.repeat(starts[chosen], sizes) + place]).any():
+            return np.arange(count), np.arange(count)
+    return first, same
 
 
 class Aligner:
@@ -115,8 +158,7 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self.a_sizes, self.b_sizes = [len(p) for p in self.a.pieces], [len(p) for p in self.b.pieces]
-        self.a_lengths, self.b_lengths = np.array(self.a_sizes, np.int64), np.array(self.b_sizes, np.int64)
+        self.a_lengths, self.b_lengths = (np.array([len(p) for p in pieces], np.int64) for pieces in (self.a.pieces, self.b.pieces))
         self.spaced = np.array([p.startswith(b" ") for p in self.a.pieces])
         self.forget()
 
@@ -124,34 +166,28 @@ class Aligner:
         self.known: dict[tuple, int] = {}
         self.ids = 0
         self.texts: list[str] = []
-        self.n_groups: list[int] = []
-        self.n_links: list[int] = []
-        # Distinct id pairs of all windows one after the other, and how often each is linked in its window.
-        self.starts: list[int] = [0]
-        self.keys: list[int] = []
-        self.times: list[int] = []
-
-    def _learn(self, window: tuple) -> int:
-        cut = groups(*window, self.a_sizes, self.b_sizes)
-        links: Counter = Counter()
-        for a, b in cut:
-            if len(a) == 1 and len(b) == 1:
-                links[a[0] << SHIFT | b[0]] += 1
-            else:
-                # Ids that stand many times in a group are counted, not paired one by one.
-                many = Counter(b)
-                for i, n in Counter(a).items():
-                    for j, m in many.items():
-                        links[i << SHIFT | j] += n * m
-        self.texts.append(written_groups(cut))
-        self.n_groups.append(len(cut))
-        self.n_links.append(sum(len(a) * len(b) for a, b in cut))
-        self.keys.extend(links.keys())
-        self.times.extend(links.values())
-        self.starts.append(len(self.keys))
-        self.ids += len(window[0]) + len(window[1])
-        self.known[window] = len(self.known)
-        return len(self.known) - 1
+        nothing = np.zeros(0, np.int64)
+        # For each window its groups and links; for all windows one after the other their distinct links' pairs and times.
+        self.n_groups, self.n_links, self.n_pairs, self.pairs, self.times = nothing, nothing, nothing, nothing, nothing
+
+    def _learn(self, fresh: list[tuple]) -> None:
+        """Align windows that were not known before, all at once; they cover the same bytes, so their groups don't run into each other."""
+        a, b = (np.fromiter(chain.from_iterable(w[k] for w in fresh), np.int64) for k in (0, 1))
+        until = np.cumsum([len(w[0]) for w in fresh])
+        found = Groups(a, b, self.a_lengths, self.b_lengths)
+        owners = np.searchsorted(until, found.at_a)
+        counts = np.bincount(owners, minlength=len(fresh))
+        texts, start = found.texts(), 0
+        for n in counts.tolist():
+            self.texts.append(texts[start] if n == 1 else ";".join(texts[start : start + n]))
+            start += n
+        owner, pairs, times = found.links(owners)
+        n_links = np.bincount(owner, weights=times, minlength=len(fresh)).astype(np.int64)
+        news = (counts, n_links, np.bincount(owner, minlength=len(fresh)), pairs, times)
+        self.n_groups, self.n_links, self.n_pairs, self.pairs, self.times = (
+            np.concatenate([old, new]) for old, new in zip((self.n_groups, self.n_links, self.n_pairs, self.pairs, self.times), news, strict=True)
+        )
+        self.ids += len(a) + len(b)
 
     def tokens(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
         """Ids by both for each text; none where the text is null or empty, or the bytes of either differ from those of the text."""
@@ -164,54 +200,60 @@ class Aligner:
                 found[i] = (a, b)
         return found
 
-    def windows(self, a: list[int], b: list[int]) -> tuple[list[int], np.ndarray]:
+    def windows(self, a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the windows of ids that cover the same bytes, and the index in ``a`` that each starts at."""
-        ends_a, ends_b = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
-        at = np.searchsorted(ends_a, ends_b)
-        both = np.flatnonzero(ends_a[at] == ends_b)
-        next_a = at[both] + 1
-        # The end of all counts as an anchor.
-        spaced = np.append(self.spaced[a], True)
-        anchor = spaced[next_a]
-        cuts_a, cuts_b = [0, *next_a[anchor].tolist()], [0, *(both[anchor] + 1).tolist()]
-        numbers, known = [], self.known
-        for i in range(len(cuts_a) - 1):
-            window = (tuple(a[cuts_a[i] : cuts_a[i + 1]]), tuple(b[cuts_b[i] : cuts_b[i + 1]]))
+        found = Groups(np.array(a, np.int64), np.array(b, np.int64), self.a_lengths, self.b_lengths)
+        # A verified anchor is a shared end before a token that starts with a space, or the end of all.
+        anchor = np.append(self.spaced[found.a], True)[found.at_a]
+        ends_a, ends_b = found.at_a[anchor], found.at_b[anchor]
+        first, same = alike([(found.a, ends_a), (found.b, ends_b)])
+        starts_a, starts_b = (np.concatenate([[0], ends[:-1]]) for ends in (ends_a, ends_b))
+        numbers, known, fresh = [], self.known, []
+        for i, x, j, y in zip(starts_a[first].tolist(), ends_a[first].tolist(), starts_b[first].tolist(), ends_b[first].tolist(), strict=True):
+            window = (tuple(a[i:x]), tuple(b[j:y]))
             number = known.get(window)
-            numbers.append(self._learn(window) if number is None else number)
-        return numbers, np.array(cuts_a[:-1], np.int64)
-
-    def block(self, texts: list[str | None]) -> dict:
+            if number is None:
+                number = known[window] = len(known)
+                fresh.append(window)
+            numbers.append(number)
+        if fresh:
+            self._learn(fresh)
+        return np.array(numbers, np.int64)[same], starts_a
+
+    def block(self, texts: pa.Array) -> dict:
         """Counts and groups of each text, and the distinct id pairs of the block."""
         if self.ids > MEMO_IDS:
             self.forget()
-        tokens = self.tokens(texts)
-        n_a, n_b = (np.array([len(t[k]) for t in tokens], np.int64) for k in (0, 1))
-        flat_a, flat_b = ([i for t in tokens for i in t[k]] for k in (0, 1))
-        numbers, first = self.windows(flat_a, flat_b) if flat_a else ([], np.zeros(0, np.int64))
-        # Each text starts with a space, so its start is an anchor.
-        ends = np.searchsorted(first, np.cumsum(n_a))
-        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-        digests = [
-            sha256(";".join(map(self.texts.__getitem__, numbers[s:e])).encode()).hexdigest() if e > s else "" for s, e in zip(starts, ends, strict=True)
-        ]
-        window = np.array(numbers, np.int64)
-        sums = lambda values: np.concatenate([[0], np.cumsum(np.array(values, np.int64)[window])])
-        groups_until, links_until = sums(self.n_groups), sums(self.n_links)
-        # One row for each distinct pair of a window of a text, then one for each distinct pair of a text.
-        begin = np.array(self.starts, np.int64)
-        size = (begin[1:] - begin[:-1])[window]
-        text = np.repeat(np.repeat(np.arange(len(texts)), ends - starts), size)
-        row = np.repeat(begin[:-1][window] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        keys, pair = np.unique(np.array(self.keys, np.int64)[row], return_inverse=True)
-        code = text * max(1, len(keys)) + pair
+        n_a, n_b, n_windows, numbers, digests = [], [], [], [np.zeros(0, np.int64)], []
+        for start, stop in slices(texts, STEP_BYTES):
+            tokens = self.tokens(texts.slice(start, stop - start).to_pylist())
+            own = [len(t[0]) for t in tokens]
+            n_a.extend(own)
+            n_b.extend(len(t[1]) for t in tokens)
+            a, b = (list(chain.from_iterable(t[k] for t in tokens)) for k in (0, 1))
+            found, first = self.windows(a, b) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            # Each text starts with a space, so its start is an anchor.
+            ends = np.searchsorted(first, np.cumsum(own)).tolist()
+            named, i = list(map(self.texts.__getitem__, found.tolist())), 0
+            for j in ends:
+                digests.append(sha256(";".join(named[i:j]).encode()).hexdigest() if j > i else "")
+                n_windows.append(j - i)
+                i = j
+            numbers.append(found)
+        window, until = np.concatenate(numbers), np.concatenate([[0], np.cumsum(n_windows)]).astype(np.int64)
+        sums = lambda values: np.diff(np.concatenate([[0], np.cumsum(values[window])])[until])
+        # One row for each pair of a window of a text, then one for each distinct pair of a text.
+        begin, size = (np.cumsum(self.n_pairs) - self.n_pairs)[window], self.n_pairs[window]
+        row = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        keys, pair = np.unique(self.pairs[row], return_inverse=True)
+        code = np.repeat(np.repeat(np.arange(len(texts)), n_windows), size) * max(1, len(keys)) + pair
         order = np.argsort(code, kind="stable")
-        code, times = code[order], np.array(self.times, np.int64)[row][order]
+        code, times = code[order], self.times[row][order]
         new = np.flatnonzero(np.diff(code, prepend=-1))
         times = np.add.reduceat(times, new) if len(new) else times
         owner, pair = np.divmod(code[new], max(1, len(keys)))
         return {
-            "n_a": n_a, "n_b": n_b, "n_groups": groups_until[ends] - groups_until[starts], "n_links": links_until[ends] - links_until[starts], "groups_sha256": digests,
+            "n_a": n_a, "n_b": n_b, "n_groups": sums(self.n_groups), "n_links": sums(self.n_links), "groups_sha256": digests,
             "n_pairs": np.bincount(owner, minlength=len(texts)), "pair": pair, "times": times, "keys": keys, "holders": np.bincount(pair, minlength=len(keys)),
         }
 
@@ -222,7 +264,7 @@ LISTS = ["pair", "times", "keys", "holders"]
 
 def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Start and stop of runs of texts with at most ``most`` bytes, or of one text."""
-    sizes = np.nan_to_num(np.array([0 if n is None else n for n in pa.compute.binary_length(texts).to_pylist()], np.int64))
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, n in enumerate(sizes.tolist()):
         if i > start and total + n > most:
@@ -241,13 +283,11 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, block_bytes: int |
     ids = to_arrow_type(id_type)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401
-
         aligner, number = None, TaskContext.get().partitionId() << SHIFT
         for batch in batches:
             for start, stop in slices(batch.column("text"), block_bytes):
                 aligner = aligner or Aligner(path_a, path_b)
-                found = aligner.block(batch.column("text").slice(start, stop - start).to_pylist())
+                found = aligner.block(batch.column("text").slice(start, stop - start))
                 rows = [
                     pa.array([number]), pa.array([batch.column("doc_id").slice(start, stop - start).to_pylist()], pa.list_(ids)),
                     *(pa.array([found[c]], pa.list_(pa.int64())) for c in COUNTS + LISTS), pa.array([found["groups_sha256"]], pa.list_(pa.string())),
