@@ -29,7 +29,7 @@ from quayside.llm.words import FACTOR, mixed
 #: Bytes of text in a block, and of text tokenised at once; a longer text is a block of its own.
 BLOCK_BYTES, STEP_BYTES = 4 << 20, 1 << 20
 #: Most ids in the windows that a task remembers from block to block.
-MEMO_IDS = 600_000
+MEMO_IDS = 1_000_000
 #: Groups with more links than this are not paired one by one.
 MANY_LINKS = 1024
 #: Texts with more characters go through the slower library, which has no limit of white space in a row.
@@ -122,12 +122,13 @@ class Groups:
         order = np.argsort(group, kind="stable")
         return owners[group[order]], pairs[order], times[order]
 
-    def texts(self) -> list[str]:
-        """``a1,a2|b1`` for each group."""
-        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
+    def texts(self, names: list[str]) -> list[str]:
+        """``a1,a2|b1`` for each group; ``names`` are the ids in decimals."""
+        a, b = list(map(names.__getitem__, self.a.tolist())), list(map(names.__getitem__, self.b.tolist()))
         out, i, j = [], 0, 0
         for x, y in zip(self.at_a.tolist(), self.at_b.tolist(), strict=True):
-            out.append(f"{a[i]}|{b[j]}" if x - i == 1 and y - j == 1 else f"{','.join(a[i:x])}|{','.join(b[j:y])}")
+            one, other = a[i] if x - i == 1 else ",".join(a[i:x]), b[j] if y - j == 1 else ",".join(b[j:y])
+            out.append(f"{one}|{other}")
             i, j = x, y
         return out
 
@@ -159,6 +160,7 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
         self.a_lengths, self.b_lengths = (np.array([len(p) for p in pieces], np.int64) for pieces in (self.a.pieces, self.b.pieces))
+        self.names = list(map(str, range(max(len(self.a.pieces), len(self.b.pieces)))))
         self.spaced = np.array([p.startswith(b" ") for p in self.a.pieces])
         self.forget()
 
@@ -177,7 +179,7 @@ class Aligner:
         found = Groups(a, b, self.a_lengths, self.b_lengths)
         owners = np.searchsorted(until, found.at_a)
         counts = np.bincount(owners, minlength=len(fresh))
-        texts, start = found.texts(), 0
+        texts, start = found.texts(self.names), 0
         for n in counts.tolist():
             self.texts.append(texts[start] if n == 1 else ";".join(texts[start : start + n]))
             start += n
@@ -196,7 +198,7 @@ class Aligner:
         for i, b in zip(some, self.b.encode([texts[i] for i in some]), strict=True):
             text = " " + texts[i]
             a, covered = self.a.encode(text), text.encode()
-            if b"".join(map(self.a.pieces.__getitem__, a)) == covered and b"".join(map(self.b.pieces.__getitem__, b)) == covered:
+            if self.a.fast.decode_bytes(a) == covered and b"".join(map(self.b.pieces.__getitem__, b)) == covered:
                 found[i] = (a, b)
         return found
 
@@ -245,9 +247,10 @@ class Aligner:
         # One row for each pair of a window of a text, then one for each distinct pair of a text.
         begin, size = (np.cumsum(self.n_pairs) - self.n_pairs)[window], self.n_pairs[window]
         row = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        keys, pair = np.unique(self.pairs[row], return_inverse=True)
-        code = np.repeat(np.repeat(np.arange(len(texts)), n_windows), size) * max(1, len(keys)) + pair
-        order = np.argsort(code, kind="stable")
+        used, place = np.unique(row, return_inverse=True)
+        keys, pair = np.unique(self.pairs[used], return_inverse=True)
+        code = np.repeat(np.repeat(np.arange(len(texts)), n_windows), size) * max(1, len(keys)) + pair[place]
+        order = np.argsort(code)
         code, times = code[order], self.times[row][order]
         new = np.flatnonzero(np.diff(code, prepend=-1))
         times = np.add.reduceat(times, new) if len(new) else times
