@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quayside import config
 from quayside.checks.queries import AS_OF, LAST_DAYS, LAST_LOAD, LATE_DAY, NOW, VESSEL
+from quayside.plans.reference_data import FALLBACK_PORTS
 
 PORTS = """ports as (
   select 'P' || lpad(cast(n_nationkey as varchar), 4, '0') as locode, n_name as name,
@@ -240,6 +241,22 @@ from orders where o_orderkey % 10 >= 1 and o_orderkey % 4 in (2, 3) order by 1""
   max_age_days
 from orders cross join (select unnest([{config.COUNTRIES_MAX_AGE_DAYS}, {config.PORTS_MAX_AGE_DAYS}]) as max_age_days) d
 group by max_age_days""",
+    "reference_refresh": f"""with raw as (
+  select s_suppkey as n, {_lat('s_suppkey')} as lat, {_lon('s_suppkey')} as lon, s_nationkey as k,
+         chr(cast(65 + s_nationkey % 26 as integer)) || chr(cast(65 + (s_nationkey * 3) % 26 as integer)) as iso,
+         lpad(cast(s_suppkey % 1000 as varchar), 3, '0') as no
+  from supplier),
+listed as (
+  select case when n % 7 = 1 then 'XY' || no else iso || no end as locode, 'Port ' || cast(n as varchar) as name,
+    round(lat, 9) as lat, round(lon, 9) as lon, iso
+  from raw
+  where n % 7 <> 0 and n % 5 <> 0 and n % 4 <> 2 and lat is not null and lon is not null
+    and iso in (select chr(cast(65 + n_nationkey % 26 as integer)) || chr(cast(65 + (n_nationkey * 3) % 26 as integer)) from nation where n_nationkey % 4 <> 3)),
+steps(step, since, only_some) as (values ('built', 0, false), ('fresh', 0, false), ('renewed', 181, true), ('kept', 181, true))
+select step, locode, name, lat, lon, timestamp '{NOW}' + to_days(since) as updated_at
+from listed cross join steps where not only_some or iso < 'M'
+union all
+select 'hubs', locode, name, lat, lon, timestamp '{NOW}' from (values {', '.join(map(str, FALLBACK_PORTS))}) hubs(locode, name, lat, lon)""",
     "html_list_rows": r"""with items as (
   select page_id, regexp_extract_all(html, '(?is)<li(?:\s[^>]*)?>(.*?)</li\s*>', 1) as rows from pages),
 numbered as (

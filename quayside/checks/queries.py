@@ -373,13 +373,12 @@ def unece_coords(spark: SparkSession, folder: str) -> DataFrame:
     return places.select(F.col("n").alias("event_id"), "place", F.round(lat, 9).alias("lat"), F.round(lon, 9).alias("lon"))
 
 
-def port_filter(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw code-list rows made from orders, reduced to usable sea ports."""
-    n = F.col("n")
+def _port_cells(n: Column) -> Column:
+    """Cells of a code-list row made from a number, beside the column ``place``."""
     status = F.element_at(F.array(*[F.lit(c) for c in ("AI", "RL", "XX", "QQ")]), (n % 4 + 1).cast("int"))
     number = F.lpad((n % 1000).cast("string"), 3, "0")
     blank = F.lit("")
-    cells = F.array(
+    return F.array(
         blank,
         F.when(n % 7 == 0, F.lit("ab")).when(n % 7 == 1, F.concat(F.lit("xy "), number)).otherwise(
             F.concat(F.lit(" \u00a0"), number)
@@ -393,6 +392,11 @@ def port_filter(spark: SparkSession, folder: str) -> DataFrame:
         blank,
         F.concat("place", F.lit(" ")),
     )
+
+
+def port_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw code-list rows made from orders, reduced to usable sea ports."""
+    n, cells = F.col("n"), _port_cells(F.col("n"))
     raw = _places(samples.table(spark, folder, "orders").select(F.col("o_orderkey").alias("n"))).select(
         F.concat(F.char(65 + n % 26), F.char(65 + (n * 3) % 26)).alias("iso"),
         # As on real pages, rows come out of an explode; no filter is pushed into the making of text.
@@ -424,6 +428,42 @@ def staleness(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _code_list_pages(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Stored pages: port lists by country, made from suppliers, and the list of country codes, made from nations."""
+    n = F.col("n")
+    two = lambda key: F.concat(F.char(65 + key % 26), F.char(65 + (key * 3) % 26))
+    tagged = lambda cells, tag: F.concat(F.lit("<tr>"), F.concat_ws("", F.transform(cells, lambda c: F.concat(F.lit(f"<{tag}>"), c, F.lit(f"</{tag}>")))), F.lit("</tr>"))
+    rows = _places(samples.table(spark, folder, "supplier").select(F.col("s_suppkey").alias("n"), "s_nationkey"))
+    rows = rows.select(two(F.col("s_nationkey")).alias("iso"), F.floor(n / 100).alias("page"), F.struct(n, tagged(_port_cells(n), "td").alias("row")).alias("r"))
+    head = "<table>" + "<tr><td>about this list</td></tr>" * locodes.HEADER_ROWS
+    listed = rows.groupBy("iso", "page").agg(F.array_sort(F.collect_list("r")).alias("rows"))
+    ports = listed.select("iso", F.concat(F.lit(head), F.concat_ws("", "rows.row"), F.lit("</table>")).alias("html"))
+    # Every fourth nation is on no list of countries.
+    known = samples.table(spark, folder, "nation").where("n_nationkey % 4 <> 3").select(tagged(F.array(two(F.col("n_nationkey")), "n_name"), "td").alias("row"))
+    listed = known.agg(F.concat_ws("", F.array_sort(F.collect_list("row"))).alias("rows"))
+    opening = F.lit('<h2 id="Current_codes">Codes</h2><table><tr><th>Code</th><th>Name</th></tr>')
+    return ports, listed.select(F.concat(opening, "rows", F.lit("</table>")).alias("html"))
+
+
+def reference_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored countries and ports through their life: first build, still fresh, stale with new pages, stale without, and hubs where there never were pages."""
+    tables, other = config.Tables(_work(spark, "reference")), config.Tables(_work(spark, "reference"))
+    port_pages, country_pages = _code_list_pages(spark, folder)
+    reference_data.ensure_countries(spark, tables, country_pages, NOW)
+    some, none = port_pages.where(F.col("iso") < "M"), port_pages.where(F.lit(False))
+    steps = [("built", tables, port_pages, 0), ("fresh", tables, some, 180), ("renewed", tables, some, 181), ("kept", tables, none, 400), ("hubs", other, none, 0)]
+    parts = []
+    for name, at, pages, days in steps:
+        ports = reference_data.ensure_ports(spark, at, pages, NOW + timedelta(days=days))
+        # Written, since a later step may replace what an earlier one read.
+        ports.withColumn("step", F.lit(name)).write.parquet(f"{at.root}/steps/{name}")
+        parts.append(spark.read.parquet(f"{at.root}/steps/{name}"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select("step", "locode", "name", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"), "updated_at")
+
+
 def html_list_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows and cells of the pages. They hold lists, not tables: items as rows, links as cells."""
     rows = html_rows(samples.table(spark, folder, "pages"), "li", ("a",))
@@ -613,6 +653,6 @@ REGISTERED: list[Query] = [
     voyages_zero_policy, voyages_great_circle, route_key_pairs, route_lookup, route_positions, route_geojson, path_downsample,
     overview_totals, recent_voyages, vessel_stats, vessel_history, vessel_page, voyages_last_n_days,
     incremental_lookback, incremental_upsert, incremental_carry, incremental_late, incremental_replaced_day, dq_positive_duration, dq_stored_voyages,
-    unece_coords, port_filter, country_codes, staleness, html_list_rows, run_history, staging_latency,
+    unece_coords, port_filter, country_codes, staleness, reference_refresh, html_list_rows, run_history, staging_latency,
     run_results_flatten, run_log_files, date_range, time_parsing, csv_ingest, ingest_report, stream_csv_ingest, stream_stitched,
 ]

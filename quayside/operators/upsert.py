@@ -22,6 +22,13 @@ def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     return target.join(incoming, same, "left_anti").unionByName(batch)
 
 
+def touched_rows(target: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
+    """Rows of ``target`` in the partitions named by ``touched``. They are literals, few as calendar days are, so no other folder is opened."""
+    values = [value for (value,) in touched.select(partition).distinct().toLocalIterator()]
+    named = F.col(partition).isin([v for v in values if v is not None])
+    return target.where(named | F.col(partition).isNull() if None in values else named)
+
+
 def _prepare(
     target: DataFrame,
     batch: DataFrame,
@@ -37,14 +44,17 @@ def _prepare(
     touched = batch.select(partition)
     if drop is not None:
         drop.write.mode("overwrite").parquet(f"{work}/drop")
-        gone = spark.read.parquet(f"{work}/drop").select(*[F.col(k).alias(f"_gone_{k}") for k in drop_keys])
-        gone = broadcast_if_small(gone)
+        dropped = spark.read.parquet(f"{work}/drop")
+        gone = broadcast_if_small(dropped.select(*[F.col(k).alias(f"_gone_{k}") for k in drop_keys]))
         is_gone = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_gone_{k}")) for k in drop_keys])
-        touched = touched.unionByName(target.join(gone, is_gone, "left_semi").select(partition))
+        if partition in dropped.columns:
+            touched = touched.unionByName(dropped.select(partition))
+        else:
+            touched = touched.unionByName(target.join(gone, is_gone, "left_semi").select(partition))
     touched.distinct().write.mode("overwrite").parquet(f"{work}/touched")
     touched = spark.read.parquet(f"{work}/touched")
 
-    old = target.join(broadcast_if_small(touched), partition, "left_semi").select(*target.columns)
+    old = touched_rows(target, touched, partition).select(*target.columns)
     if drop is not None:
         old = old.join(gone, is_gone, "left_anti")
     merged = replace_by_key(old, batch.select(*target.columns), keys)
@@ -83,7 +93,8 @@ def upsert(
     """Put ``batch`` into the table at ``path``, rewriting only partitions it touches.
 
     Each key must always fall into the same partition. ``drop`` is a table of distinct
-    ``drop_keys`` values whose rows all leave the target first. Rows are sorted by ``sort`` inside a file.
+    ``drop_keys`` values whose rows all leave the target first; if it also has the column ``partition``, which the keys
+    must then determine, only those partitions are searched. Rows are sorted by ``sort`` inside a file.
 
     The new partitions are written to the shared folder before the table changes. With a
     ``run_id``, a call for this table repeated after a crash finds them and only finishes the swap; a call

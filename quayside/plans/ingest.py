@@ -74,7 +74,8 @@ def ingest_files(
         except Exception as error:
             if len(batch) == 1:
                 log.error("day %s failed: %s", batch[0], error)
-                report.failed[batch[0]] = str(error).splitlines()[0]
+                # An error may come without a message.
+                report.failed[batch[0]] = next(iter(str(error).splitlines()), repr(error))
             else:
                 middle = len(batch) // 2
                 pending += [batch[middle:], batch[:middle]]

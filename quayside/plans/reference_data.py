@@ -11,7 +11,7 @@ from quayside import config, schemas
 from quayside.config import Tables
 from quayside.functions.time import age_days
 from quayside.sources.locodes import country_codes_of_pages, normalize_ports, raw_locode
-from quayside.sources.tables import read_table, replace_table
+from quayside.sources.tables import publish_version, read_version
 
 # Major hubs used when no port list is to be had.
 FALLBACK_PORTS = [
@@ -77,13 +77,8 @@ def refresh_if_stale(
     return fallback if fallback is not None else _stamped(new, now)
 
 
-def _store(spark: SparkSession, chosen: DataFrame, current: DataFrame | None, path: str) -> DataFrame:
-    if chosen is not current:
-        # Written aside first: the choice may read the table it replaces.
-        aside = f"{config.shared_folder(spark)}/refresh{path.replace('/', '_').replace(':', '_')}"
-        replace_table(chosen, aside)
-        replace_table(spark.read.parquet(aside), path)
-    return spark.read.parquet(path)
+def _store(chosen: DataFrame, current: DataFrame | None, path: str) -> DataFrame:
+    return chosen if chosen is current else publish_version(chosen, path)
 
 
 def ensure_countries(spark: SparkSession, tables: Tables, pages: DataFrame, now: datetime) -> DataFrame:
@@ -91,11 +86,11 @@ def ensure_countries(spark: SparkSession, tables: Tables, pages: DataFrame, now:
 
     Pages without the heading bring no codes and leave the table as it is.
     """
-    current = read_table(spark, tables.countries, schemas.COUNTRIES)
+    current = read_version(spark, tables.countries, schemas.COUNTRIES)
     if not is_stale(current, config.COUNTRIES_MAX_AGE_DAYS, now):
         return current
     chosen = refresh_if_stale(current, country_codes_of_pages(pages), config.COUNTRIES_MAX_AGE_DAYS, now)
-    return _store(spark, chosen, current, tables.countries)
+    return _store(chosen, current, tables.countries)
 
 
 def ensure_ports(
@@ -105,10 +100,10 @@ def ensure_ports(
 
     Only pages of countries in the countries table are used, if there is one.
     """
-    current = read_table(spark, tables.ports, schemas.PORTS)
+    current = read_version(spark, tables.ports, schemas.PORTS)
     if not is_stale(current, config.PORTS_MAX_AGE_DAYS, now):
         return current
-    countries = read_table(spark, tables.countries, schemas.COUNTRIES)
+    countries = read_version(spark, tables.countries, schemas.COUNTRIES)
     if countries is not None:
         pages = pages.join(countries.select(F.col("code").alias("iso")).distinct(), "iso", "left_semi")
     chosen = refresh_if_stale(
@@ -119,4 +114,4 @@ def ensure_ports(
         fallback_ports(spark, now),
         always_add_fallback,
     )
-    return _store(spark, chosen, current, tables.ports)
+    return _store(chosen, current, tables.ports)

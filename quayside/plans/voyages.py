@@ -29,9 +29,11 @@ from quayside.operators.sizes import broadcast_if_small
 from quayside.operators.stitch import completed, link_visits, open_visits, voyage_legs
 from quayside.operators.upsert import upsert
 from quayside.plans.staging import stage
-from quayside.sources.tables import append_table, carried_state, log_state, read_table, remove, source
+from quayside.sources.tables import append_table, carried_state, data_files, log_state, partitions, read_table, remove, source
 
 PARTITION = "dep_date"
+#: Date partitions that a late vessel's last certain leg is looked for in first.
+SEARCHED_DAYS = 32
 
 
 def with_partition(voyages: DataFrame) -> DataFrame:
@@ -143,11 +145,9 @@ def run_folder(spark: SparkSession, table: str, run_id: str) -> str:
     return f"{config.shared_folder(spark)}/run-{sha256(table.encode()).hexdigest()[:12]}-{run_id}"
 
 
-def _bind(spark: SparkSession, work: str, description: str, pings: DataFrame) -> None:
+def _bind(spark: SparkSession, work: str, description: str, files: list[str]) -> None:
     """Tie a run to its input: what was asked for, and the files it is about to read."""
-    files = pings.select("_metadata.file_path").distinct()
-    count, digest = files.agg(F.count("*"), F.sum(F.xxhash64("file_path").cast("decimal(38,0)"))).first()
-    asked = f"{description}; {count} files, {digest}"
+    asked = f"{description}; {len(files)} files, {sha256(chr(10).join(files).encode()).hexdigest()}"
     bound = read_table(spark, f"{work}/input")
     if bound is None:
         spark.createDataFrame([(asked,)], "asked string").coalesce(1).write.parquet(f"{work}/input")
@@ -161,16 +161,15 @@ def _finished(spark: SparkSession, work: str) -> bool:
 
 def _finish(spark: SparkSession, work: str) -> None:
     spark.range(1).write.mode("overwrite").parquet(f"{work}/done")
-    for name in ("before", "late", "linked", "after", "spans", "legs", "gone", "added"):
+    for name in ("before", "late", "search", "linked", "after", "spans", "legs", "gone", "added"):
         remove(spark, f"{work}/{name}")
 
 
-def late_restarts(new: DataFrame, state: DataFrame, replaced: DataFrame | None, voyages: DataFrame | None) -> DataFrame:
-    """``mmsi, restart``: vessels to stitch anew, and from when.
+def late_changes(new: DataFrame, state: DataFrame, replaced: DataFrame | None) -> DataFrame:
+    """``mmsi, changed``: vessels whose past changes, and from when.
 
     A vessel is late if a new ping is not after its newest one already read, or if a file day that held pings of it is
-    replaced (``replaced``: spans of what was read of those days). Its last stored leg that ends before the first changed ping is certain; the
-    vessel starts again with that leg's departure, or from its first ping (null).
+    replaced (``replaced``: spans of what was read of those days).
     """
     first = new.groupBy("mmsi").agg(F.min("dep_time").alias("changed"))
     seen = state.groupBy(F.col("mmsi").alias("seen_mmsi")).agg(F.max("last_seen").alias("last_seen"))
@@ -178,24 +177,55 @@ def late_restarts(new: DataFrame, state: DataFrame, replaced: DataFrame | None,
     if replaced is not None:
         late = late.unionByName(first.join(replaced.select(F.col("mmsi").alias("old_mmsi")).distinct(), F.col("mmsi").eqNullSafe(F.col("old_mmsi")), "left_semi"))
         late = late.unionByName(replaced.select("mmsi", F.col("first_ping").alias("changed")))
-    late = late.groupBy("mmsi").agg(F.min("changed").alias("changed"))
-    if voyages is None:
-        return late.select("mmsi", F.lit(None).cast("timestamp_ntz").alias("restart"))
-    legs = voyages.select(F.col("mmsi").alias("leg_mmsi"), "dep_time", "arr_time")
-    certain = late.join(legs, F.col("mmsi").eqNullSafe(F.col("leg_mmsi")) & (F.col("arr_time") < F.col("changed")), "left")
-    return certain.groupBy("mmsi").agg(F.max_by("dep_time", F.struct("arr_time", "dep_time")).alias("restart"))
+    return late.groupBy("mmsi").agg(F.min("changed").alias("changed"))
+
+
+def late_restarts(late: DataFrame, state: DataFrame, voyages: DataFrame | None, days: Sequence[str], spans: DataFrame, work: str) -> DataFrame:
+    """``mmsi, restart``: when each vessel of ``late`` (mmsi, changed) has to be stitched anew from.
+
+    What lies before a visit that began before the first changed ping is certain. That is the unfinished visit in ``state``, or else the departure
+    of the last stored leg that ends before the change. Stored legs are searched from the newest date partition (``days``) backwards,
+    twice as many partitions each time, until all vessels have one; those without start with their first ping in ``spans``.
+    """
+    opened = state.groupBy(F.col("mmsi").alias("open_mmsi")).agg(F.min("dep_time").alias("opened"))
+    known = late.join(opened, F.col("mmsi").eqNullSafe(F.col("open_mmsi")) & (F.col("opened") < F.col("changed")), "left")
+    known = _written(known.select("mmsi", "changed", F.col("opened").alias("restart")), f"{work}/search/open")
+    found, pending = [known.where("restart is not null").select("mmsi", "restart")], known.where("restart is null").select("mmsi", "changed")
+    newest = pending.agg(F.max("changed")).first()[0]
+    if voyages is not None and newest is not None:
+        days, size = [day for day in days if day <= str(newest.date())], SEARCHED_DAYS
+        while days and not pending.isEmpty():
+            searched, days = days[-size:], days[:-size]
+            size *= 2
+            legs = voyages.where(F.col(PARTITION).isin([date.fromisoformat(d) for d in searched])).select(F.col("mmsi").alias("leg_mmsi"), "dep_time", "arr_time")
+            certain = pending.join(legs, F.col("mmsi").eqNullSafe(F.col("leg_mmsi")) & (F.col("arr_time") < F.col("changed")))
+            last = certain.groupBy("mmsi").agg(F.max_by("dep_time", F.struct("arr_time", "dep_time")).alias("restart"))
+            found.append(_written(last, f"{work}/search/legs-{size}"))
+            pending = pending.join(found[-1].select(F.col("mmsi").alias("found_mmsi")), F.col("mmsi").eqNullSafe(F.col("found_mmsi")), "left_anti")
+            pending = _written(pending, f"{work}/search/pending-{size}")
+    if newest is not None:
+        # A new ping may itself be the first.
+        first = spans.select(F.col("mmsi").alias("seen_mmsi"), "first_ping")
+        begun = pending.join(first, F.col("mmsi").eqNullSafe(F.col("seen_mmsi")), "left")
+        found.append(begun.groupBy("mmsi").agg(F.least(F.min("first_ping"), F.min("changed")).alias("restart")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _since_restart(rows: DataFrame, late: DataFrame) -> DataFrame:
+    """Rows of late vessels since their restart; date partitions before the earliest one are not opened."""
+    earliest = late.agg(F.min("restart")).first()[0]
+    if earliest is None:
+        return rows.where(F.lit(False))
+    if PARTITION in rows.columns:
+        rows = rows.where(F.col(PARTITION) >= F.lit(earliest.date()))
     starts = broadcast_if_small(late.select(F.col("mmsi").alias("late_mmsi"), "restart"))
-    after = F.col("restart").isNull() | (F.col("dep_time") >= F.col("restart"))
-    return rows.join(starts, F.col("mmsi").eqNullSafe(F.col("late_mmsi")) & after, "left_semi")
+    return rows.join(starts, F.col("mmsi").eqNullSafe(F.col("late_mmsi")) & (F.col("dep_time") >= F.col("restart")), "left_semi")
 
 
 def _history(raw: DataFrame, late: DataFrame, spans: DataFrame) -> DataFrame:
     """Stored pings of late vessels since their restart, from the file days that hold any."""
     starts = late.select(F.col("mmsi").alias("late_mmsi"), "restart")
-    needed = spans.join(starts, F.col("mmsi").eqNullSafe(F.col("late_mmsi")) & (F.col("restart").isNull() | (F.col("last_ping") >= F.col("restart"))))
+    needed = spans.join(starts, F.col("mmsi").eqNullSafe(F.col("late_mmsi")) & (F.col("last_ping") >= F.col("restart")))
     days = [row["dt"] for row in needed.select("dt").distinct().toLocalIterator()]
     return _since_restart(stage(raw.where(F.col("dt").isin(days))), late)
 
@@ -236,11 +266,13 @@ def _carry(
     spans = _written(spans, f"{work}/spans")
     new, target = stage(new_raw), read_table(spark, tables.voyages)
     replaced = None if seen is None else seen.where(in_days)
-    late = _written(late_restarts(new, state, replaced, target), f"{work}/late")
+    every = spans if seen is None else spans.unionByName(seen.where(~in_days).select(*spans.columns))
+    changes = _written(late_changes(new, state, replaced), f"{work}/search/changes")
+    late = late_restarts(changes, state, target, partitions(spark, tables.voyages, PARTITION), every, work)
+    late = _written(late, f"{work}/late")
     if late.isEmpty():
         pings = carry_input(new, state)
     else:
-        every = spans if seen is None else spans.unionByName(seen.where(~in_days).select(*spans.columns))
         pings = carry_input(new, state, _history(raw, late, every), late)
     linked = _written(link_visits(pings), f"{work}/linked")
     after = f"{tables.open_visits}/state-{run_id}"
@@ -249,7 +281,7 @@ def _carry(
     legs, gone = completed(linked), None
     if target is not None:
         scope = target if anew else _since_restart(target, late)
-        gone = _written(_equal_legs(scope, legs, "left_anti").select(*schemas.VOYAGE_KEY), f"{work}/gone")
+        gone = _written(_equal_legs(scope, legs, "left_anti").select(*schemas.VOYAGE_KEY, PARTITION), f"{work}/gone")
         legs = _equal_legs(legs, scope, "left_anti")
     added = _written(legs, f"{work}/added")
     batch = _enriched(spark, tables, added, finder, on_missing, by)
@@ -302,9 +334,13 @@ def build_voyages(
     elif mode == "carry" and since_day is not None:
         chosen = F.col("dt") >= F.lit(since_day).cast("date")
     new_raw = raw if chosen is None else raw.where(chosen)
-    stored = read_table(spark, tables.raw_pings)
-    if stored is not None:
-        _bind(spark, work, f"{mode}, days {sorted(map(str, days)) if days is not None else since_day}", stored if chosen is None else stored.where(chosen))
+    stored = partitions(spark, tables.raw_pings, "dt")
+    if mode == "carry" and days is not None:
+        stored = sorted(set(stored) & set(map(str, days)))
+    elif mode == "carry" and since_day is not None:
+        stored = [day for day in stored if day >= str(since_day)]
+    files = [file for day in stored for file in data_files(spark, f"{tables.raw_pings}/dt={day}")]
+    _bind(spark, work, f"{mode}, days {sorted(map(str, days)) if days is not None else since_day}", files)
     if _finished(spark, work):
         return
     if mode == "lookback":

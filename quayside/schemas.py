@@ -78,6 +78,12 @@ STATE_LOG = T.StructType([
     T.StructField("folder", T.StringType()),
 ])
 
+# Versions of a table in the order in which they were published.
+VERSIONS = T.StructType([
+    T.StructField("seq", T.LongType()),
+    T.StructField("folder", T.StringType()),
+])
+
 GEOMETRY = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("coordinates", T.ArrayType(T.ArrayType(T.DoubleType()))),

@@ -127,7 +127,9 @@ def append_pings(df: DataFrame, path: str, mode: str = "overwrite_days") -> None
     if mode not in ("overwrite_days", "append"):
         raise ValueError(f"unknown mode {mode!r}")
     stamped = df.withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz"))
-    writer = stamped.select(*schemas.RAW_PINGS.names).write.partitionBy("dt")
+    # Rows of a day together, so that each becomes few files; adaptive execution cuts big days up by size. Sorted by vessel, files can be skipped.
+    laid_out = stamped.select(*schemas.RAW_PINGS.names).hint("rebalance", "dt").sortWithinPartitions("dt", "mmsi")
+    writer = laid_out.write.partitionBy("dt")
     if mode == "append":
         writer.mode("append").parquet(path)
     else:

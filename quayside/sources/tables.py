@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +39,8 @@ def source(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
     """A declared source; empty with the right schema where nothing was written yet."""
     location, schema, _ = REGISTRY[name]
     path = getattr(tables, location)
-    found = carried_state(spark, path) if name == "open_visits" else read_table(spark, path, schema)
+    readers = {"open_visits": carried_state, "countries": read_version, "ports": read_version}
+    found = readers[name](spark, path) if name in readers else read_table(spark, path, schema)
     return spark.createDataFrame([], schema) if found is None else found
 
 
@@ -80,10 +83,62 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the versions that were published, the newest first."""
+    log = read_table(spark, f"{path}/versions", schemas.VERSIONS)
+    return [] if log is None else [row["folder"] for row in log.orderBy(F.desc("seq")).limit(2).collect()]
+
+
+def read_version(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The newest published version of a table, or ``None`` where nothing was published yet."""
+    newest = _versions(spark, path)
+    return read_table(spark, f"{path}/{newest[0]}", schema) if newest else None
+
+
+def publish_version(df: DataFrame, path: str) -> DataFrame:
+    """Put ``df`` in place of what the table held; ``df`` may read from the table itself.
+
+    The rows go to a folder of their own and count only when the log of versions names it, which is written last: until then, and after a crash
+    at any point, readers see the version before. That one is kept for readers that have begun, older ones are removed.
+    """
+    spark = df.sparkSession
+    before, folder = _versions(spark, path), f"v-{uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    seq = 0 if not before else read_table(spark, f"{path}/versions", schemas.VERSIONS).agg(F.max("seq")).first()[0]
+    append_table(spark.createDataFrame([(seq + 1, folder)], schemas.VERSIONS).coalesce(1), f"{path}/versions")
+    for old in before[1:]:
+        remove(spark, f"{path}/{old}")
+    return spark.read.schema(df.schema).parquet(f"{path}/{folder}")
+
+
 def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def partitions(spark: SparkSession, path: str, name: str) -> list[str]:
+    """Values of the partition folders ``name=value`` of a table in order, from their names alone; the null partition is left out."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    names = [entry.getPath().getName() for entry in system.listStatus(place)]
+    return sorted(n[len(name) + 1 :] for n in names if n.startswith(f"{name}=") and not n.endswith("=__HIVE_DEFAULT_PARTITION__"))
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Files below a folder, without those that Spark doesn't read; none if it isn't there. Nothing is opened."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    found, listing = [], system.listFiles(place, True)
+    while listing.hasNext():
+        file = listing.next().getPath()
+        if file.getName()[0] not in "._":
+            found.append(file.toString())
+    return sorted(found)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the engine's own, wherever it is stored; nothing happens if there is none."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

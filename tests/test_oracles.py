@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from quayside.checks.oracles import ORACLES
+from quayside.checks.queries import REGISTERED
 from tools.check_oracles import rows_of
 
 FOLDER = "/root/testdata/sf0.001"
@@ -28,7 +30,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert {query.__name__ for query in REGISTERED} == set(ORACLES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(CHECKED) <= set(entry.queries())
 
 

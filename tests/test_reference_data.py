@@ -69,3 +69,27 @@ def test_tables_are_built_and_kept(spark, tmp_path):
 def test_hubs_when_there_is_nothing(spark, tmp_path):
     pages = spark.createDataFrame([], "iso string, html string")
     assert ref.ensure_ports(spark, Tables(str(tmp_path)), pages, NOW).count() == len(ref.FALLBACK_PORTS)
+
+
+def test_a_crash_while_storing_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    from quayside.sources import tables as module
+
+    path = str(tmp_path / "ports")
+    module.publish_version(port_frame(spark, ["OLD"], 1), path)
+
+    def fail(*_):
+        raise RuntimeError("power cut")
+
+    monkeypatch.setattr(module, "append_table", fail)
+    with pytest.raises(RuntimeError):
+        module.publish_version(port_frame(spark, ["NEW"], 0), path)
+    assert [r.locode for r in module.read_version(spark, path).collect()] == ["OLD"]
+    monkeypatch.undo()
+    # A new version may be made from the old one, which running readers can still finish.
+    old = module.read_version(spark, path)
+    module.publish_version(old.unionByName(port_frame(spark, ["NEW"], 0)), path)
+    assert sorted(r.locode for r in module.read_version(spark, path).collect()) == ["NEW", "OLD"]
+    assert old.count() == 1
+    module.publish_version(port_frame(spark, ["LAST"], 0), path)
+    assert [r.locode for r in module.read_version(spark, path).collect()] == ["LAST"]
+    assert len(list((tmp_path / "ports").glob("v-*"))) == 3  # the last two, and what the crash left

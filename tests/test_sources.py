@@ -12,7 +12,7 @@ from quayside.plans import reports
 from quayside.plans.ingest import ingest_days
 from quayside.sources import locodes, runlog
 from quayside.sources.html import html_rows, table_after
-from quayside.sources.pings import MissingColumns, date_range, landed_files, plan_dates, read_pings
+from quayside.sources.pings import MissingColumns, append_pings, date_range, landed_files, plan_dates, read_pings
 from quayside.sources.tables import append_table, ensure_table, read_table, replace_table, source
 from quayside.streaming.ingest import stream_ingest
 
@@ -276,3 +276,29 @@ def test_run_results(spark, tmp_path):
     history = reports.run_history(stored).collect()
     assert [(r.status, r.models_run, r.total_duration_sec) for r in history] == [("error", 2, 4.0), ("success", 2, 3.0)]
     assert [r.unique_id for r in reports.latency(stored).collect()] == ["model.x.stg_ais"] * 2
+
+
+def test_a_day_is_stored_in_few_files(spark, tmp_path):
+    rows = [(i % 50, "9", "V", 1.0, 2.0, dt.datetime(2025, 1, 1 + i % 3), "A", None, dt.date(2025, 1, 1 + i % 3)) for i in range(3000)]
+    pings = spark.createDataFrame(rows, schemas.RAW_PINGS).drop("ingested_at").repartition(16)
+    append_pings(pings, str(tmp_path / "pings"))
+    assert [len(list(day.glob("*.parquet"))) for day in sorted((tmp_path / "pings").glob("dt=*"))] == [1, 1, 1]
+    stored = spark.read.parquet(str(tmp_path / "pings"))
+    assert stored.count() == 3000
+    # In a file vessels follow each other.
+    one = spark.read.parquet(str(next((tmp_path / "pings" / "dt=2025-01-01").glob("*.parquet"))))
+    vessels = [r.mmsi for r in one.collect()]
+    assert vessels == sorted(vessels)
+
+
+def test_an_error_without_a_message_is_reported(spark, tmp_path, monkeypatch):
+    from quayside.plans import ingest
+
+    def fail(*_, **__):
+        raise AssertionError
+
+    monkeypatch.setattr(ingest, "read_pings", fail)
+    day = dt.date(2025, 1, 1)
+    ports = spark.createDataFrame([("A", 1.0, 2.0)], "locode string, lat double, lon double")
+    report = ingest.ingest_files(spark, {day: ["x"]}, ports, str(tmp_path / "pings"))
+    assert report.failed == {day: "AssertionError()"} and report.done == []

@@ -397,3 +397,38 @@ def test_reports(spark):
 def test_top_rows_are_not_fully_sorted(spark):
     plan = reports.recent(voyage_table(spark))._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_a_daily_run_does_not_open_old_voyages(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr(voyages, "SEARCHED_DAYS", 1)
+    tables = Tables(str(tmp_path))
+    rows = [(mmsi, "9", "V", "ABC"[h // 6 % 3], 1.0, 2.0, START + h * HOUR) for mmsi in range(1, 6) for h in range(mmsi, 144, 3)]
+    late = [r for r in days_of(rows, 5) if r[0] == 3][-3:]
+    store_pings(spark, [r for r in days_of(rows, 1, 2, 3, 4, 5) if r not in late], tables.raw_pings)
+    voyages.build_voyages(spark, tables)
+    # Files of an old day that would fail to be read.
+    old = [f for f in (tmp_path / "gold" / "voyages" / "dep_date=2025-01-02").iterdir()]
+    kept = {f: f.read_bytes() for f in old}
+    for file in old:
+        file.write_bytes(b"gone")
+    store_pings(spark, days_of(rows, 5, 6), tables.raw_pings)
+    voyages.build_voyages(spark, tables, days=[dt.date(2025, 1, 5), dt.date(2025, 1, 6)])
+    for file, content in kept.items():
+        file.write_bytes(content)
+    assert_full(spark, tables)
+
+    restarts = spark.createDataFrame([(1, dt.datetime(2025, 1, 4, 12))], "mmsi bigint, restart timestamp_ntz")
+    voyages._since_restart(spark.read.parquet(tables.voyages), restarts).explain("formatted")
+    assert "PartitionFilters: [isnotnull(dep_date" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("changed, restart", [(50, 40), (40, 20), (25, 5), (5, 0), (3, 0)])
+def test_restarts(spark, tmp_path, changed, restart):
+    """A leg every ten hours from hour 5 on, and an unfinished visit since hour 40; the first ping at hour 0."""
+    at = lambda hours: START + hours * HOUR
+    late = spark.createDataFrame([(1, at(changed))], "mmsi bigint, changed timestamp_ntz")
+    state = spark.createDataFrame([(1, None, None, "D", 0.0, 0.0, at(40), at(60))], schemas.OPEN_VISITS)
+    legs = voyages.with_partition(legs_frame(spark, [leg(start=at(5), hours=15), leg(start=at(20), hours=15), leg(start=at(35), hours=5), leg(mmsi=2, start=at(1), hours=1)]))
+    spans = spark.createDataFrame([(1, at(0), at(60), START.date())], schemas.SEEN)
+    found = voyages.late_restarts(late, state, legs, ["2025-01-01", "2025-01-02"], spans, str(tmp_path))
+    assert [(r.mmsi, r.restart) for r in found.collect()] == [(1, at(restart))]
