@@ -32,8 +32,8 @@ from quayside.plans.staging import stage
 from quayside.sources.tables import append_table, carried_state, data_files, log_state, partitions, read_table, remove, source
 
 PARTITION = "dep_date"
-#: Date partitions that a late vessel's last certain leg is looked for in first.
-SEARCHED_DAYS = 32
+#: Partitions that a late vessel's last certain leg is looked for in first.
+SEARCHED = 32
 
 
 def with_partition(voyages: DataFrame) -> DataFrame:
@@ -67,15 +67,6 @@ def lookback_input(staged: DataFrame, voyages: DataFrame | None, days: int = con
 # --- carry -------------------------------------------------------------------
 
 
-def late_vessels(new: DataFrame, state: DataFrame) -> DataFrame:
-    """Vessels with a new ping at or before the newest one already read."""
-    first = new.groupBy("mmsi").agg(F.min("dep_time").alias("first_new"))
-    seen = state.groupBy(F.col("mmsi").alias("seen_mmsi")).agg(F.max("last_seen").alias("last_seen"))
-    return first.join(seen, F.col("mmsi").eqNullSafe(F.col("seen_mmsi"))).where(
-        F.col("first_new") <= F.col("last_seen")
-    ).select("mmsi")
-
-
 def carry_input(
     new: DataFrame, state: DataFrame | None, history: DataFrame | None = None, late: DataFrame | None = None
 ) -> DataFrame:
@@ -180,12 +171,14 @@ def late_changes(new: DataFrame, state: DataFrame, replaced: DataFrame | None) -
     return late.groupBy("mmsi").agg(F.min("changed").alias("changed"))
 
 
-def late_restarts(late: DataFrame, state: DataFrame, voyages: DataFrame | None, days: Sequence[str], spans: DataFrame, work: str) -> DataFrame:
+def late_restarts(
+    late: DataFrame, state: DataFrame, voyages: DataFrame | None, partition: str, values: Sequence, spans: DataFrame, work: str
+) -> DataFrame:
     """``mmsi, restart``: when each vessel of ``late`` (mmsi, changed) has to be stitched anew from.
 
     What lies before a visit that began before the first changed ping is certain. That is the unfinished visit in ``state``, or else the departure
-    of the last stored leg that ends before the change. Stored legs are searched from the newest date partition (``days``) backwards,
-    twice as many partitions each time, until all vessels have one; those without start with their first ping in ``spans``.
+    of the last stored leg that ends before the change. Stored legs are searched from the newest of the partition's ``values`` backwards, in which a vessel's
+    legs follow each other, twice as many partitions each time, until all vessels have one; those without start with their first ping in ``spans``.
     """
     opened = state.groupBy(F.col("mmsi").alias("open_mmsi")).agg(F.min("dep_time").alias("opened"))
     known = late.join(opened, F.col("mmsi").eqNullSafe(F.col("open_mmsi")) & (F.col("opened") < F.col("changed")), "left")
@@ -193,11 +186,13 @@ def late_restarts(late: DataFrame, state: DataFrame, voyages: DataFrame | None,
     found, pending = [known.where("restart is not null").select("mmsi", "restart")], known.where("restart is null").select("mmsi", "changed")
     newest = pending.agg(F.max("changed")).first()[0]
     if voyages is not None and newest is not None:
-        days, size = [day for day in days if day <= str(newest.date())], SEARCHED_DAYS
-        while days and not pending.isEmpty():
-            searched, days = days[-size:], days[:-size]
+        size, left = SEARCHED, list(values)
+        if partition == PARTITION:
+            left = [value for value in left if value <= newest.date()]
+        while left and not pending.isEmpty():
+            searched, left = left[-size:], left[:-size]
             size *= 2
-            legs = voyages.where(F.col(PARTITION).isin([date.fromisoformat(d) for d in searched])).select(F.col("mmsi").alias("leg_mmsi"), "dep_time", "arr_time")
+            legs = voyages.where(F.col(partition).isin(searched)).select(F.col("mmsi").alias("leg_mmsi"), "dep_time", "arr_time")
             certain = pending.join(legs, F.col("mmsi").eqNullSafe(F.col("leg_mmsi")) & (F.col("arr_time") < F.col("changed")))
             last = certain.groupBy("mmsi").agg(F.max_by("dep_time", F.struct("arr_time", "dep_time")).alias("restart"))
             found.append(_written(last, f"{work}/search/legs-{size}"))
@@ -211,7 +206,7 @@ def late_restarts(late: DataFrame, state: DataFrame, voyages: DataFrame | None,
     return reduce(DataFrame.unionByName, found)
 
 
-def _since_restart(rows: DataFrame, late: DataFrame) -> DataFrame:
+def since_restart(rows: DataFrame, late: DataFrame) -> DataFrame:
     """Rows of late vessels since their restart; date partitions before the earliest one are not opened."""
     earliest = late.agg(F.min("restart")).first()[0]
     if earliest is None:
@@ -227,7 +222,7 @@ def _history(raw: DataFrame, late: DataFrame, spans: DataFrame) -> DataFrame:
     starts = late.select(F.col("mmsi").alias("late_mmsi"), "restart")
     needed = spans.join(starts, F.col("mmsi").eqNullSafe(F.col("late_mmsi")) & (F.col("last_ping") >= F.col("restart")))
     days = [row["dt"] for row in needed.select("dt").distinct().toLocalIterator()]
-    return _since_restart(stage(raw.where(F.col("dt").isin(days))), late)
+    return since_restart(stage(raw.where(F.col("dt").isin(days))), late)
 
 
 def _equal_legs(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -268,8 +263,8 @@ def _carry(
     replaced = None if seen is None else seen.where(in_days)
     every = spans if seen is None else spans.unionByName(seen.where(~in_days).select(*spans.columns))
     changes = _written(late_changes(new, state, replaced), f"{work}/search/changes")
-    late = late_restarts(changes, state, target, partitions(spark, tables.voyages, PARTITION), every, work)
-    late = _written(late, f"{work}/late")
+    dates = [date.fromisoformat(day) for day in partitions(spark, tables.voyages, PARTITION)]
+    late = _written(late_restarts(changes, state, target, PARTITION, dates, every, work), f"{work}/late")
     if late.isEmpty():
         pings = carry_input(new, state)
     else:
@@ -280,7 +275,7 @@ def _carry(
 
     legs, gone = completed(linked), None
     if target is not None:
-        scope = target if anew else _since_restart(target, late)
+        scope = target if anew else since_restart(target, late)
         gone = _written(_equal_legs(scope, legs, "left_anti").select(*schemas.VOYAGE_KEY, PARTITION), f"{work}/gone")
         legs = _equal_legs(legs, scope, "left_anti")
     added = _written(legs, f"{work}/added")

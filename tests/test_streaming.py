@@ -61,6 +61,36 @@ def test_old_states_go(spark, tmp_path):
     assert sorted(p.name for p in (out / "state").iterdir()) == ["epoch=2", "epoch=3"] and not (out / "linked").exists()
 
 
+def test_old_pings_are_merged_and_late_ones_find_them(spark, tmp_path, monkeypatch):
+    from quayside.streaming import voyages as module
+
+    monkeypatch.setattr(module, "MERGED", 2)
+    rows = [r for r in random_pings(36, vessels=10, null_ports=0) if r[-1] is not None]
+    late = [r for r in rows if r[0] is not None and r[0] % 4 == 0 and r[-1] < START + dt.timedelta(minutes=100)]
+    out = tmp_path / "out"
+    batches = in_batches([r for r in rows if r not in late], 4)
+    for epoch, batch in enumerate([*batches[:3], late, batches[3]]):
+        stitch_epoch(frame(spark, batch), epoch, str(out))
+    assert values(stream_legs(spark, str(out)), schemas.LEGS.names) == values(voyage_legs(frame(spark, rows)), schemas.LEGS.names)
+    # Five epochs: four merged twice and the last; what was merged goes an epoch later.
+    assert [(b.first, b.last) for b in module.history_blocks(spark, str(out), 4)] == [(0, 3), (4, 4)]
+    assert {"0-3", "4-4"} <= {p.name for p in (out / "pings").iterdir()} and "0-0" not in {p.name for p in (out / "pings").iterdir()}
+
+
+def test_a_late_ping_reads_the_blocks_of_its_vessel_only(spark, tmp_path):
+    """Every vessel calls at a port an hour; the blocks that don't matter can't be read any more."""
+    rows = [(mmsi, "9", "V", "ABC"[h % 3], 1.0, 2.0, START + dt.timedelta(hours=h, minutes=m)) for h in range(8) for m in (0, 40) for mmsi in (1, 2)]
+    late = [r for r in rows if r[0] == 1 and r[-1] == START + dt.timedelta(hours=6, minutes=40)]
+    batches = in_batches([r for r in rows if r not in late], 4)
+    out = tmp_path / "out"
+    for epoch, batch in enumerate(batches):
+        stitch_epoch(frame(spark, batch), epoch, str(out))
+    for file in [*(out / "pings" / "0-0").iterdir(), *(out / "pings" / "1-1").iterdir()]:
+        file.write_bytes(b"gone")
+    stitch_epoch(frame(spark, late), 4, str(out))
+    assert values(stream_legs(spark, str(out)), schemas.LEGS.names) == values(voyage_legs(frame(spark, rows)), schemas.LEGS.names)
+
+
 def test_matching_keeps_no_state(spark, tmp_path):
     pings = "mmsi bigint, imo string, vessel_name string, latitude double, longitude double, dep_time timestamp_ntz"
     ports = spark.createDataFrame([("A", 0.0, 0.0)], "locode string, lat double, lon double")

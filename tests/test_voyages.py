@@ -400,7 +400,7 @@ def test_top_rows_are_not_fully_sorted(spark):
 
 
 def test_a_daily_run_does_not_open_old_voyages(spark, tmp_path, monkeypatch, capsys):
-    monkeypatch.setattr(voyages, "SEARCHED_DAYS", 1)
+    monkeypatch.setattr(voyages, "SEARCHED", 1)
     tables = Tables(str(tmp_path))
     rows = [(mmsi, "9", "V", "ABC"[h // 6 % 3], 1.0, 2.0, START + h * HOUR) for mmsi in range(1, 6) for h in range(mmsi, 144, 3)]
     late = [r for r in days_of(rows, 5) if r[0] == 3][-3:]
@@ -418,7 +418,7 @@ def test_a_daily_run_does_not_open_old_voyages(spark, tmp_path, monkeypatch, cap
     assert_full(spark, tables)
 
     restarts = spark.createDataFrame([(1, dt.datetime(2025, 1, 4, 12))], "mmsi bigint, restart timestamp_ntz")
-    voyages._since_restart(spark.read.parquet(tables.voyages), restarts).explain("formatted")
+    voyages.since_restart(spark.read.parquet(tables.voyages), restarts).explain("formatted")
     assert "PartitionFilters: [isnotnull(dep_date" in capsys.readouterr().out
 
 
@@ -430,5 +430,5 @@ def test_restarts(spark, tmp_path, changed, restart):
     state = spark.createDataFrame([(1, None, None, "D", 0.0, 0.0, at(40), at(60))], schemas.OPEN_VISITS)
     legs = voyages.with_partition(legs_frame(spark, [leg(start=at(5), hours=15), leg(start=at(20), hours=15), leg(start=at(35), hours=5), leg(mmsi=2, start=at(1), hours=1)]))
     spans = spark.createDataFrame([(1, at(0), at(60), START.date())], schemas.SEEN)
-    found = voyages.late_restarts(late, state, legs, ["2025-01-01", "2025-01-02"], spans, str(tmp_path))
+    found = voyages.late_restarts(late, state, legs, voyages.PARTITION, [dt.date(2025, 1, 1), dt.date(2025, 1, 2)], spans, str(tmp_path))
     assert [(r.mmsi, r.restart) for r in found.collect()] == [(1, at(restart))]
