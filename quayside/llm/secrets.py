@@ -21,7 +21,8 @@ MIN_LENGTH = 12
 FINDINGS, TREES, DEPTH = 20_000, 24, 8
 #: Words of the dictionary, the commonest of the corpus with three letters or more.
 DICTIONARY = 400
-PATH_SLOTS = 8
+#: Slots of the hashed path; two paths rarely share one.
+PATH_SLOTS = 32
 FLAGGED = 0.5
 QUOTES = "\"'`()[]{}<>,;:!?"
 #: Words that announce a secret, and words that announce something else.
@@ -30,7 +31,13 @@ KEY_WORDS = "passw|pwd|secret|token|api_?key|apikey|access_?key|auth|credential|
 TELLING = r"(?:passwd|password|passphrase|pwd|secret|token|api_?key|access_?key|private_?key|secret_?key|credentials?)"
 SHORTEST = 4
 #: User and password of an address.
-USER = r"[A-Za-z][A-Za-z0-9+.\-]*://([^:/?#@\"'`]*):([^/?#\"'`]+)@"
+USER = r"(?<=[A-Za-z0-9+.\-])://([^:/?#@\"'`]*):([^/?#\"'`]+)@"
+#: A telling name with what stands before it, or its last 64 characters, and a value that isn't in brackets. Written so that no character is looked at more than some 64 times, however long a word is.
+NAMED = r"(?:(?<![A-Za-z0-9_.\-])[A-Za-z0-9_.\-]{0,64}|(?<=[A-Za-z0-9_.\-]{64}))(?i:" + TELLING + r")[\"'`]?(?:=>|[:=]+)(?![\"'`]?[$%]?[{(<\[])(?:\"[^\"]+|'[^']+|`[^`]+|[^\"'`&;,]+)"
+USER_PARTS = r"^://([^:]*):(.+)@$"
+NAME, SEPARATOR = r"^[A-Za-z0-9_.\-]+", r"^[A-Za-z0-9_.\-]+[\"'`]?(?:=>|[:=]+)[\"'`]?"
+#: Longer values have no plain format but that of a number.
+LONGEST_FORMAT = 200
 #: Values that only refer to one.
 NO_VALUE = r"^([$%]?[{(<\[].*|\$[A-Za-z_]+|(?i:null|none|true|false|undefined|string)|[*.x]+)$"
 OTHER_WORDS = "sha|md5|commit|hash|uuid|guid|checksum|digest|version|phone|card|order|isbn|example|test|sample|dummy"
@@ -68,26 +75,30 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     rows = likely.select("doc_id", F.col(f"`{path}`").cast("string").alias("path"), F.explode(found).alias("z"))
     word = F.col("z.at.word")
     # Name and value, each value with the name just before it; then users' passwords and the rest of the word behind a telling name.
-    pair = r"""(?:([^=:&;,"'`(){}<>\[\]?@#]+)["'`]?[=:]+["'`]?)?([^=:&;,"'`(){}<>\[\]?@#]+=*)"""
-    names, values = (F.regexp_extract_all(word, F.lit(pair), F.lit(i)) for i in (1, 2))
-    in_word = F.transform(F.arrays_zip(names.alias("name"), values.alias("value")), lambda p: F.struct(p["name"].alias("name"), p["value"].alias("value"), F.lit(False).alias("told")))
-    whole = rf"""((?i:[A-Za-z0-9_.\-]*{TELLING}))["'`]?(?:=>|[:=]+)(?:"([^"]+)|'([^']+)|`([^`]+)|([^"'`&;,]+))"""
-    told = [F.regexp_extract_all(word, F.lit(whole), F.lit(i)) for i in (1, 2, 3, 4, 5)]
-    told = F.transform(F.arrays_zip(*[t.alias(f"t{i}") for i, t in enumerate(told)]), lambda p: F.struct(p["t0"].alias("name"), F.concat(p["t1"], p["t2"], p["t3"], p["t4"]).alias("value"), F.lit(True).alias("told")))
+    pair = r"""(?:([^=:&;,"'`(){}<>\[\]?@#]++)["'`]?[=:]+["'`]?)?([^=:&;,"'`(){}<>\[\]?@#]++=*+)"""
+    nothing = F.array().cast("array<struct<name:string,value:string,told:boolean>>")
+    found_as = lambda name, value, told: F.struct(name.alias("name"), value.alias("value"), F.lit(told).alias("told"))
+    has_name, has_user = word.rlike(rf"{telling}[\"'`]?[=:]"), F.contains(word, F.lit("://"))
+    told = F.transform(F.regexp_extract_all(word, F.lit(NAMED), F.lit(0)), lambda m: found_as(F.regexp_extract(m, NAME, 0), F.regexp_replace(m, SEPARATOR, ""), True))
     user = F.transform(
-        F.arrays_zip(*[F.regexp_extract_all(word, F.lit(USER), F.lit(i)).alias(f"u{i}") for i in (1, 2)]), lambda p: F.struct(F.concat(p["u1"], F.lit(":password")).alias("name"), p["u2"].alias("value"), F.lit(True).alias("told"))
+        F.regexp_extract_all(word, F.lit(USER), F.lit(0)), lambda m: found_as(F.concat(F.regexp_extract(m, USER_PARTS, 1), F.lit(":password")), F.regexp_extract(m, USER_PARTS, 2), True)
     )
-    alone = F.when(announced(F.col("z")), F.array(F.struct(F.lit("").alias("name"), F.btrim(word, F.lit(QUOTES[:3] + ",;")).alias("value"), F.lit(True).alias("told")))).otherwise(F.array().cast("array<struct<name:string,value:string,told:boolean>>"))
-    cleaned = F.transform(F.concat(user, told, alone, in_word), lambda c: F.struct(F.btrim(c["name"], F.lit(QUOTES)).alias("name"), F.btrim(c["value"], F.when(c["told"], F.lit(QUOTES[:3])).otherwise(F.lit(QUOTES + "."))).alias("value"), c["told"].alias("told")))
+    told = F.array_distinct(F.concat(F.when(has_user, user).otherwise(nothing), F.when(has_name, told).otherwise(nothing)))
+    alone = F.btrim(word, F.lit(QUOTES[:3] + ",;"))
+    is_alone = announced(F.col("z")) & (F.length(alone) >= SHORTEST) & ~alone.rlike(NO_VALUE)
+    # No part of a told value is a candidate beside it.
+    rest = F.when(has_user, F.regexp_replace(word, USER, ",")).otherwise(word)
+    rest = F.when(has_name, F.regexp_replace(rest, NAMED, ",")).otherwise(rest)
+    names, values = (F.regexp_extract_all(rest, F.lit(pair), F.lit(i)) for i in (1, 2))
+    in_word = F.transform(F.arrays_zip(names.alias("name"), values.alias("value")), lambda p: found_as(p["name"], p["value"], False))
+    alone = F.when(is_alone, F.array(found_as(F.lit(""), alone, True))).otherwise(in_word)
+    cleaned = F.transform(F.concat(told, alone), lambda c: F.struct(F.btrim(c["name"], F.lit(QUOTES)).alias("name"), F.btrim(c["value"], F.when(c["told"], F.lit(QUOTES[:3])).otherwise(F.lit(QUOTES + "."))).alias("value"), c["told"].alias("told")))
     context = [word.rlike("[\"'`]").alias("quoted"), *[lower_ascii(F.coalesce(F.col(f"z.{c}"), F.lit(""))).alias(c) for c in ("before", "before2", "after")]]
     rows = rows.select("doc_id", F.col("z.at.position").alias("position"), *context, "path", cleaned.alias("cleaned"))
     key = rf"^[A-Za-z0-9+/_.\-]{{{MIN_LENGTH},}}=*$"
     fits = lambda c: F.when(c["told"], (F.length(c["value"]) >= SHORTEST) & ~c["value"].rlike(NO_VALUE)).otherwise(c["value"].rlike(key) & c["value"].rlike("[0-9]"))
-    rows = rows.withColumn("fits", F.filter("cleaned", fits)).drop("cleaned").where(F.size("fits") > 0)
-    # A told value counts once, and no part of it beside it.
-    told_first = F.transform("fits", lambda c, i: F.struct(c.alias("c"), F.exists(F.slice("fits", 1, i), lambda o: o["told"] & (o["value"] == c["value"]) | o["told"] & ~c["told"] & F.contains(o["value"], c["value"])).alias("again")))
-    rows = rows.withColumn("c", F.explode(F.filter(told_first, lambda t: ~t["again"])))
-    return rows.select("doc_id", "position", F.col("c.c.value").alias("value"), lower_ascii(F.col("c.c.name")).alias("name"), "quoted", "before", "before2", "after", "path")
+    rows = rows.withColumn("c", F.explode(F.filter("cleaned", fits)))
+    return rows.select("doc_id", "position", F.col("c.value").alias("value"), lower_ascii(F.col("c.name")).alias("name"), "quoted", "before", "before2", "after", "path")
 
 
 def dictionary(docs: DataFrame, words: int = DICTIONARY) -> list[str]:
@@ -132,36 +143,50 @@ def features(found: DataFrame, known: list[str]) -> DataFrame:
     return found.withColumns({name: computed[name] for name in FEATURES})
 
 
+def _is_plain(value: Column) -> Column:
+    return F.when(F.length(value) <= LONGEST_FORMAT, value.rlike(PLAIN_FORMATS)).otherwise(value.rlike("^[0-9]++$"))
+
+
+def own_label() -> Column:
+    """1 for a candidate that format or context makes a secret without doubt, 0 for one that they make none, else null."""
+    around = F.concat_ws(" ", "before2", "before", "name")
+    assigned = F.col("name").rlike(KEY_WORDS) | F.col("before").isin("=", ":", ":=", "=>")
+    secret = F.col("value").rlike(SECRET_FORMATS) | (around.rlike(KEY_WORDS) & ~_is_plain(F.col("value")) & assigned)
+    return F.when(secret, 1.0).when(_is_plain(F.col("value")) | around.rlike(OTHER_WORDS), 0.0)
+
+
 def own_labels(found: DataFrame) -> DataFrame:
-    """Candidates with a ``label`` where format or context leaves no doubt: 1 a secret, 0 none; the others are left out."""
-    secret = F.col("value").rlike(SECRET_FORMATS) | (F.concat_ws(" ", "before2", "before", "name").rlike(KEY_WORDS) & ~F.col("value").rlike(PLAIN_FORMATS) & (F.col("name").rlike(KEY_WORDS) | F.col("before").isin("=", ":", ":=", "=>")))
-    plain = F.col("value").rlike(PLAIN_FORMATS) | F.concat_ws(" ", "before2", "before", "name").rlike(OTHER_WORDS)
-    return found.withColumn("label", F.when(secret, 1.0).when(plain, 0.0)).where(F.col("label").isNotNull())
+    """Candidates with a ``label`` where format or context leaves no doubt; the others are left out."""
+    return found.withColumn("label", own_label()).where(F.col("label").isNotNull())
 
 
 def train(labelled: DataFrame, seed: int = 9) -> RandomForestClassificationModel | None:
-    """A forest from rows with ``FEATURES`` and ``label``; None unless both labels occur. The sample is sorted into one partition, at most ``FINDINGS`` rows, so reruns agree."""
-    keys = [F.xxhash64(*FEATURES, "label"), *FEATURES, "label"]
-    sample = labelled.select(*FEATURES, "label").orderBy(*keys).limit(FINDINGS)
-    sample = written(sample.coalesce(1), "findings")
+    """A forest from rows with ``FEATURES`` and ``label``; None unless both labels occur.
+
+    Equal rows are one with their number as weight, so a value that is everywhere doesn't push out the others; of each label ``FINDINGS / 2`` are taken, by a hash.
+    The sample is sorted into one partition, so reruns agree.
+    """
+    distinct = written(labelled.groupBy(*FEATURES, "label").agg(F.count("*").cast("double").alias("weight")), "labelled-findings")
+    of_label = lambda label: distinct.where(F.col("label") == label).orderBy(F.xxhash64(*FEATURES), *FEATURES).limit(FINDINGS // 2)
+    sample = written(of_label(0.0).unionByName(of_label(1.0)).coalesce(1), "findings")
     if sample.select("label").distinct().count() < 2:
         return None
     ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample.coalesce(1).sortWithinPartitions(*FEATURES, "label"))
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="sqrt").fit(ready)
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="sqrt", weightCol="weight").fit(ready)
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, path: str = "source", flagged: float = FLAGGED) -> DataFrame:
     """``doc_id, position, value, score, is_secret`` for each candidate of ``docs`` (doc_id, text and the path column).
 
-    ``findings`` are labelled candidates: rows as ``candidates`` gives them and a ``label`` of 1 (secret) or 0; null labels are none. Without both labels there is nothing to learn from: all candidates are secrets,
-    score 1. Each row of ``docs`` is a document; a null path is a path of its own.
+    ``findings`` are labelled candidates: rows as ``candidates`` gives them and a ``label`` of 1 (secret) or 0; null labels are none. Without both labels there is nothing to learn from: the score is what
+    format or context alone says, 0 if that is nothing. Each row of ``docs`` is a document; a null path is a path of its own.
     """
     known = dictionary(docs)
     found = written(features(candidates(docs, path), known), "candidates")
     labelled = own_labels(found) if findings is None else features(findings.where(F.col("label").isNotNull()), known)
     forest = train(labelled.withColumn("label", F.col("label").cast("double")))
     if forest is None:
-        scored = found.withColumn("score", F.lit(1.0))
+        scored = found.withColumn("score", F.coalesce(own_label(), F.lit(0.0)))
     else:
         ready = VectorAssembler(inputCols=FEATURES, outputCol="features_").transform(found)
         scored = forest.setFeaturesCol("features_").transform(ready).withColumn("score", vector_to_array("probability")[1])
