@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quayside.llm.tables import unused, written
-from quayside.llm.words import longs, shingle_sets
+from quayside.llm.words import longs, shingle_sets, sliced
 
 BINS_PER_SHINGLE = 2
 WHOLE_BELOW = 8
@@ -34,8 +34,8 @@ def item_sets(items: DataFrame, n: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(batch.column("text"), n)
-            yield pa.record_batch([batch.column("item_id"), pa.array([longs(s) for s in sets], pa.list_(pa.int64()))], ["item_id", "grams"])
+            for text, ids in sliced(batch.column("text"), batch.column("item_id")):
+                yield pa.record_batch([ids, pa.array([longs(s) for s in shingle_sets(text, n)], pa.list_(pa.int64()))], ["item_id", "grams"])
 
     kind = items.schema["item_id"].dataType.simpleString()
     return items.select("item_id", "text").mapInArrow(scan, f"item_id {kind}, grams array<long>").where(F.size("grams") > 0).distinct()
@@ -92,7 +92,7 @@ def _searcher(rows: list[dict], id_type, n: int, percent: int):
     @F.arrow_udf(f"array<struct<item_id:{id_type.simpleString()},shared:int,n_shingles:int>>")
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = [index.contained(s) for s in shingle_sets(texts, n)]
+            found = [index.contained(s) for (part,) in sliced(texts) for s in shingle_sets(part, n)]
             flat = [r for rows in found for r in rows]
             fields = [ids.take(pa.array([r[0] for r in flat], pa.int64())), *(pa.array([r[k] for r in flat], pa.int32()) for k in (1, 2))]
             offsets = np.cumsum([0, *(len(rows) for rows in found)], dtype=np.int32)

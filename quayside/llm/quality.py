@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.logistic import Logistic, fit
 from quayside.llm.tables import unused, written
-from quayside.llm.words import hashed_words, joined_hashes
+from quayside.llm.words import hashed_words, joined_hashes, sliced
 
 #: Most labelled and most unlabelled documents that models are fitted on.
 LABELLED, UNLABELLED = 20_000, 20_000
@@ -145,16 +145,20 @@ COLUMNS = ("text", "n_chars", "lang", "source")
 
 
 def _sampled(docs: DataFrame, ids: DataFrame) -> tuple[list, tuple[np.ndarray, np.ndarray]]:
-    """Ids and views of the documents in ``ids``, which are few."""
+    """Ids and views of the documents in ``ids``, which are few; one row for each id."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = (content(b.column("text")), metadata(*(b.column(c) for c in COLUMNS)))
-            yield pa.record_batch([b.column("doc_id"), *(pa.array(list(r), pa.list_(pa.float64())) for r in rows)], ["doc_id", "content", "metadata"])
+            for text, ids, *rest in sliced(b.column("text"), b.column("doc_id"), *(b.column(c) for c in COLUMNS[1:])):
+                rows = (content(text), metadata(text, *rest))
+                yield pa.record_batch([ids, *(pa.array(list(r), pa.list_(pa.float64())) for r in rows)], ["doc_id", "content", "metadata"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     chosen = docs.select("doc_id", *COLUMNS).join(F.broadcast(ids), "doc_id", "left_semi")
-    found = chosen.mapInArrow(scan, f"doc_id {kind}, content array<double>, metadata array<double>").toArrow().sort_by("doc_id")
+    rows = chosen.mapInArrow(scan, f"doc_id {kind}, content array<double>, metadata array<double>")
+    # An id may have any number of rows; the driver gets one.
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("content", "metadata")).alias("row")).select("doc_id", "row.*")
+    found = one.toArrow().sort_by("doc_id")
     widths = {"content": len(CONTENT), "metadata": len(LAYOUT) + 2 * SLOTS}
     views = tuple(np.array(found.column(c).to_pylist(), float).reshape(found.num_rows, width) for c, width in widths.items())
     return found.column("doc_id").to_pylist(), views
@@ -180,7 +184,8 @@ def score(docs: DataFrame, model: CoTrained) -> Column:
 
     @F.arrow_udf("double")
     def rate(text: pa.Array, n_chars: pa.Array, lang: pa.Array, source: pa.Array) -> pa.Array:
-        return pa.array(model.scores(content(text), metadata(text, n_chars, lang, source)))
+        scores = [model.scores(content(t), metadata(t, *rest)) for t, *rest in sliced(text, n_chars, lang, source)]
+        return pa.array(np.concatenate([np.zeros(0), *scores]))
 
     return rate(*(F.col(c) for c in COLUMNS))
 

@@ -17,14 +17,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quayside.llm.tables import written
-from quayside.llm.words import FACTOR, mixed
+from quayside.llm.words import FACTOR, mixed, slices
 
 #: Bytes of text in a block, and of text tokenised at once; a longer text is a block of its own.
 BLOCK_BYTES, STEP_BYTES = 4 << 20, 1 << 20
@@ -265,19 +264,6 @@ COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_pairs"]
 LISTS = ["pair", "times", "keys", "holders"]
 
 
-def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
-    """Start and stop of runs of texts with at most ``most`` bytes, or of one text."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    start = total = 0
-    for i, n in enumerate(sizes.tolist()):
-        if i > start and total + n > most:
-            yield start, i
-            start, total = i, 0
-        total += n
-    if len(sizes):
-        yield start, len(sizes)
-
-
 def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, block_bytes: int | None = None) -> DataFrame:
     """A row for each block of texts: its documents, their pairs, and the distinct pairs of the block. Written, so that block numbers stay."""
     id_type = docs.schema["doc_id"].dataType

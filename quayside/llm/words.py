@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Bytes of text that are worked on at once in a batch.
+AT_ONCE = 4 << 20
 #: Fixed odd factors and shifts that mix word hashes into a shingle's.
 FACTOR, FACTOR2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 SHIFT = np.uint64(31)
@@ -62,6 +66,26 @@ def shingle_sets(texts: pa.Array, n: int, seed: int = 0) -> list[np.ndarray]:
     return sets
 
 
+def slices(texts: pa.Array, most: int = AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Start and stop of runs of texts with at most ``most`` bytes, or of one text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    start = total = 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and total + n > most:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if len(sizes):
+        yield start, len(sizes)
+
+
+def sliced(texts: pa.Array, *others: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
+    """The columns of a batch in slices of bounded bytes of text, copied out of it, so that memory doesn't follow the length of texts times the rows of a batch."""
+    for start, stop in slices(texts):
+        rows = pa.array(range(start, stop), pa.int64())
+        yield tuple(column.take(rows) for column in (texts, *others))
+
+
 def longs(hashes: np.ndarray) -> np.ndarray:
     """The same bits as signed numbers, as Spark's long has them."""
     return hashes.view(np.int64)

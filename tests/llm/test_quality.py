@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from quayside.llm import quality as q
 from tests.llm.plain import DOCS
@@ -62,3 +64,19 @@ def test_each_view_learns_from_the_other():
     alone = model.content.scores(views[0][test])
     right = lambda s: ((s >= 0.5) == (labels[test] > 0)).mean()
     assert right(scores) > 0.95 and right(scores) >= right(alone) - 0.01
+
+
+def test_repeated_ids_stay_few_on_the_driver(spark):
+    rows = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("some text").alias("text"), F.lit("en").alias("lang"), F.lit("a").alias("source"), F.col("id").alias("n_chars"))
+    ids, views = q._sampled(rows, spark.createDataFrame([(7,)], "doc_id long"))
+    assert ids == [7] and [len(v) for v in views] == [1, 1]
+
+
+def test_slices_change_nothing(monkeypatch):
+    from quayside.llm import words
+
+    texts = pa.array(["one two three", None, "", "x" * 500, "four\nfive", "!! ?"] * 20)
+    whole = q.content(texts)
+    monkeypatch.setattr(words.slices, "__defaults__", (100,))
+    parts = [q.content(t) for (t,) in words.sliced(texts)]
+    assert len(parts) > 20 and (np.vstack(parts) == whole).all()
