@@ -28,7 +28,7 @@ from quayside.llm.words import FACTOR, mixed, slices
 #: Bytes of text in a block, and of text tokenised at once; a longer text is a block of its own.
 BLOCK_BYTES, STEP_BYTES = 4 << 20, 1 << 20
 #: Most ids in the windows that a task remembers from block to block.
-MEMO_IDS = 1_000_000
+MEMO_IDS = 2_000_000
 #: Groups with more links than this are not paired one by one.
 MANY_LINKS = 1024
 #: Texts with more characters go through the slower library, which has no limit of white space in a row.
@@ -164,17 +164,17 @@ class Aligner:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[tuple, int] = {}
+        self.known: dict[tuple[bytes, bytes], int] = {}
         self.ids = 0
         self.texts: list[str] = []
         nothing = np.zeros(0, np.int64)
         # For each window its groups and links; for all windows one after the other their distinct links' pairs and times.
         self.n_groups, self.n_links, self.n_pairs, self.pairs, self.times = nothing, nothing, nothing, nothing, nothing
 
-    def _learn(self, fresh: list[tuple]) -> None:
+    def _learn(self, fresh: list[tuple[bytes, bytes]]) -> None:
         """Align windows that were not known before, all at once; they cover the same bytes, so their groups don't run into each other."""
-        a, b = (np.fromiter(chain.from_iterable(w[k] for w in fresh), np.int64) for k in (0, 1))
-        until = np.cumsum([len(w[0]) for w in fresh])
+        a, b = (np.frombuffer(b"".join([w[k] for w in fresh]), np.int32).astype(np.int64) for k in (0, 1))
+        until = np.cumsum([len(w[0]) // 4 for w in fresh])
         found = Groups(a, b, self.a_lengths, self.b_lengths)
         owners = np.searchsorted(until, found.at_a)
         counts = np.bincount(owners, minlength=len(fresh))
@@ -190,28 +190,31 @@ class Aligner:
         )
         self.ids += len(a) + len(b)
 
-    def tokens(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
-        """Ids by both for each text; none where the text is null or empty, or the bytes of either differ from those of the text."""
-        found: list[tuple[list[int], list[int]]] = [([], [])] * len(texts)
+    def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
+        """Ids by both of all texts, and their numbers; none where the text is null or empty, or the bytes of either differ from those of the text."""
         some = [i for i, t in enumerate(texts) if t]
+        found: list[tuple[list[int], list[int]]] = [([], [])] * len(texts)
         for i, b in zip(some, self.b.encode([texts[i] for i in some]), strict=True):
             text = " " + texts[i]
             a, covered = self.a.encode(text), text.encode()
             if self.a.fast.decode_bytes(a) == covered and b"".join(map(self.b.pieces.__getitem__, b)) == covered:
                 found[i] = (a, b)
-        return found
+        sizes = [[len(f[k]) for f in found] for k in (0, 1)]
+        a, b = (np.fromiter(chain.from_iterable(f[k] for f in found), np.int32, sum(sizes[k])) for k in (0, 1))
+        return a, b, *sizes
 
-    def windows(self, a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the windows of ids that cover the same bytes, and the index in ``a`` that each starts at."""
-        found = Groups(np.array(a, np.int64), np.array(b, np.int64), self.a_lengths, self.b_lengths)
+        found = Groups(a.astype(np.int64), b.astype(np.int64), self.a_lengths, self.b_lengths)
         # A verified anchor is a shared end before a token that starts with a space, or the end of all.
-        anchor = np.append(self.spaced[found.a], True)[found.at_a]
+        anchor = np.append(self.spaced[a], True)[found.at_a]
         ends_a, ends_b = found.at_a[anchor], found.at_b[anchor]
         first, same = alike([(found.a, ends_a), (found.b, ends_b)])
         starts_a, starts_b = (np.concatenate([[0], ends[:-1]]) for ends in (ends_a, ends_b))
-        numbers, known, fresh = [], self.known, []
-        for i, x, j, y in zip(starts_a[first].tolist(), ends_a[first].tolist(), starts_b[first].tolist(), ends_b[first].tolist(), strict=True):
-            window = (tuple(a[i:x]), tuple(b[j:y]))
+        # Tuples of ids as their bytes: four for an id.
+        raw_a, raw_b, known, fresh, numbers = a.tobytes(), b.tobytes(), self.known, [], []
+        for i, x, j, y in zip(*((4 * at[first]).tolist() for at in (starts_a, ends_a, starts_b, ends_b)), strict=True):
+            window = (raw_a[i:x], raw_b[j:y])
             number = known.get(window)
             if number is None:
                 number = known[window] = len(known)
@@ -227,12 +230,10 @@ class Aligner:
             self.forget()
         n_a, n_b, n_windows, numbers, digests = [], [], [], [np.zeros(0, np.int64)], []
         for start, stop in slices(texts, STEP_BYTES):
-            tokens = self.tokens(texts.slice(start, stop - start).to_pylist())
-            own = [len(t[0]) for t in tokens]
+            a, b, own, other = self.tokens(texts.slice(start, stop - start).to_pylist())
             n_a.extend(own)
-            n_b.extend(len(t[1]) for t in tokens)
-            a, b = (list(chain.from_iterable(t[k] for t in tokens)) for k in (0, 1))
-            found, first = self.windows(a, b) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            n_b.extend(other)
+            found, first = self.windows(a, b) if len(a) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
             # Each text starts with a space, so its start is an anchor.
             ends = np.searchsorted(first, np.cumsum(own)).tolist()
             named, i = list(map(self.texts.__getitem__, found.tolist())), 0
