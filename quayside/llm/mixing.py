@@ -1,8 +1,9 @@
-"""Mixing sources to target weights by simple random order sampling, with equal odds within a source. Only built-in functions are used.
+"""Mixing sources to target weights by Pareto order sampling. Only built-in functions are used.
 
-A source's target asks for some number of copies of each document on average. The whole copies are certain; for the
-remaining fraction documents are ranked by a uniform random number, and the lowest ranked
-are taken until the fraction of the source's words is reached. The ranking is cut at one value for each source, found
+A source's target asks for some number of copies of each document on average. The whole copies are certain. For the words that are
+still wanted each document has inclusion odds in proportion to its size: p = rate * size, where documents with p of 1 or more are certain and the rate
+makes the expected words those wanted. Documents are ranked by their random odds divided by their inclusion odds, (u / (1 - u)) / (p / (1 - p)), and the lowest
+ranked are taken until the wanted words are reached: the sample's size is fixed in words, as targets are. The ranking is cut at one value for each source, found
 by adding up words over fixed classes of the rank and then within the one class that holds the cut. So
 no source is sorted as a whole, and texts are never shuffled.
 """
@@ -16,8 +17,8 @@ from quayside.llm.tables import WORD, unused, written
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
-#: Equal classes of random numbers; the class with a source's cut is sorted in one task.
-CLASSES = 4096
+#: Equal classes of ranks; the class with a source's cut is sorted in one task.
+CLASSES = 65536
 #: Most sources whose plan is sent to all tasks, some 10 MB; with more, rows are shuffled by source.
 BROADCAST_SOURCES = 100_000
 #: The random number of a document is (k + 1/2) / 2**52, k from a digest of seed and doc_id.
@@ -74,7 +75,7 @@ def mix(docs: DataFrame, seed: int = 0, weights: tuple[float, ...] = WEIGHTS, ma
     plan = written(_cuts(sizes, weights, max_copies, share, classes), "mix")
     plan = plan.withColumnRenamed("source", key := unused(docs, "plan_source"))
     joined = keyed.join(F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan, F.col("source").eqNullSafe(F.col(key)), "left")
-    extra = F.coalesce(_place(F.col(step)) <= F.col("cut"), F.lit(False)).cast("int")
+    extra = F.coalesce(_place(order_step(F.col(step), F.col("size"), F.col("rate"))) <= F.col("cut"), F.lit(False)).cast("int")
     copies = (F.coalesce("whole", F.lit(0)) + extra).cast("int")
     return joined.select(
         *[F.col(f"`{c}`") for c in own], "size", F.col("source_size").cast("long").alias("source_size"), "target", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken")
@@ -86,18 +87,45 @@ def _place(step: Column) -> Column:
     return F.struct(step.alias("step"), F.col("doc_id").alias("doc_id"), F.col("size").alias("size"))
 
 
-def _cuts(keyed: DataFrame, weights: tuple[float, ...], max_copies: float, share: float, classes: int) -> DataFrame:
-    """Per source: targets, certain whole copies and the last place that gets one copy more.
+def order_step(step: Column, size: Column, rate: Column) -> Column:
+    """The rank q of a document as the whole number q / (1 + q) * 2**52: 0 if it is certain, 2**52 if it can't be taken."""
+    p, u = rate * size, (step + F.lit(0.5)) / F.lit(float(RANGE))
+    # No odds are computed for the certain and the impossible, which would divide by zero.
+    within = F.when((p > 0) & (p < 1), p)
+    q = (u / (F.lit(1.0) - u)) / (within / (F.lit(1.0) - within))
+    return F.when(p >= 1, F.lit(0)).otherwise(F.coalesce(F.floor(q / (F.lit(1.0) + q) * F.lit(float(RANGE))), F.lit(RANGE))).cast("long")
+
 
-    Within a source all documents have equal odds; no inclusion odds of their own are computed.
+def inclusion_rates(sizes: DataFrame, goals: DataFrame) -> DataFrame:
+    """``rate_source, rate`` of ``goals`` (goal_source, wanted): odds are rate * size, 1 at most, and add up to the wanted words.
+
+    If the documents over some size are certain, the others share what is left in proportion to size: the rate is right for the largest size whose odds it
+    doesn't bring over 1. Documents of equal size count together.
     """
-    class_of = F.floor(F.col("step") / F.lit(RANGE // classes)).cast("int")
-    classed = keyed.withColumn("class", class_of)
-    sums = classed.groupBy("source", "class").agg(F.sum("size").alias("words"))
-    goals = targets(sums.select("source", F.col("words").alias("size")), weights, max_copies, share)
+    per = sizes.where(F.col("size") > 0).groupBy("source", "size").agg(F.count("*").alias("n"))
+    per = per.withColumn("words", F.col("n") * F.col("size")).withColumn("squares", F.col("words").cast("decimal(38,0)") * F.col("size"))
+    by_size = Window.partitionBy("source").orderBy(F.desc("size"))
+    certain = F.coalesce(F.sum("words").over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    others = F.sum("squares").over(by_size.rowsBetween(0, Window.unboundedFollowing)).cast("double")
+    tried = per.withColumn("certain", certain).withColumn("others", others).join(goals.select("goal_source", "wanted"), F.col("source").eqNullSafe(F.col("goal_source")))
+    tried = tried.withColumn("rate", (F.col("wanted") - F.col("certain")) / F.col("others")).where(F.col("rate") * F.col("size") <= 1)
+    return tried.groupBy(F.col("source").alias("rate_source")).agg(F.max_by("rate", "size").alias("rate"))
+
+
+def _cuts(keyed: DataFrame, weights: tuple[float, ...], max_copies: float, share: float, classes: int) -> DataFrame:
+    """Per source: targets, certain whole copies, the rate of inclusion odds and the last place that gets one copy more."""
+    goals = targets(keyed.groupBy("source").agg(F.sum("size").alias("size")), weights, max_copies, share)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     goals = goals.withColumn("whole", F.floor(rate).cast("int")).withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size"))
     goals = goals.withColumnRenamed("source", "goal_source")
+    rates = inclusion_rates(keyed, goals)
+    goals = written(goals.join(rates, F.col("goal_source").eqNullSafe(F.col("rate_source")), "left").drop("rate_source"), "mix-goals")
+    known = goals.select(F.col("goal_source").alias("rate_source"), "rate")
+    known = F.broadcast(known) if known.count() <= BROADCAST_SOURCES else known
+    keyed = keyed.join(known, F.col("source").eqNullSafe(F.col("rate_source")), "left")
+    keyed = keyed.select("source", "size", "doc_id", order_step(F.col("step"), F.col("size"), F.col("rate")).alias("step"))
+    classed = keyed.withColumn("class", F.floor(F.col("step") / F.lit(RANGE // classes)).cast("int"))
+    sums = classed.groupBy("source", "class").agg(F.sum("size").alias("words"))
     running = Window.partitionBy("source").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
     at = sums.withColumn("before", F.coalesce(F.sum("words").over(running), F.lit(0))).join(goals, F.col("source").eqNullSafe(F.col("goal_source")))
     at = at.where((F.col("words") > 0) & (F.col("before") < F.col("wanted")) & (F.col("wanted") <= F.col("before") + F.col("words")))
@@ -115,4 +143,4 @@ def _cuts(keyed: DataFrame, weights: tuple[float, ...], max_copies: float, share
     )
     # Nothing of the class fits: the cut lies before it.
     ends = ends.select(F.col("at_source").alias("cut_source"), F.coalesce("last", start).alias("cut"))
-    return goals.join(ends, F.col("goal_source").eqNullSafe(F.col("cut_source")), "left").select(F.col("goal_source").alias("source"), "source_size", "target", "whole", "cut")
+    return goals.join(ends, F.col("goal_source").eqNullSafe(F.col("cut_source")), "left").select(F.col("goal_source").alias("source"), "source_size", "target", "whole", "rate", "cut")

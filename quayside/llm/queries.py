@@ -152,10 +152,22 @@ ORACLES = {
         goals AS (SELECT source, source_size, least(level * weight, limit_) AS target FROM weighed, settled),
         parts AS (
             SELECT source, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM goals),
+        wanted AS (SELECT *, target - whole * source_size AS wanted FROM parts),
+        by_size AS (SELECT source, size, count(*) * size AS words, count(*)::HUGEINT * size * size AS squares FROM docs WHERE size > 0 GROUP BY source, size),
+        -- Documents over some size are certain; the rate is right for the largest size whose odds it doesn't bring over 1.
+        tried AS (
+            SELECT b.source, b.size, (w.wanted - coalesce(sum(words) OVER (PARTITION BY b.source ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+                   / (sum(squares) OVER (PARTITION BY b.source ORDER BY size DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS rate
+            FROM by_size b JOIN wanted w ON b.source IS NOT DISTINCT FROM w.source),
+        rates AS (SELECT source, arg_max(rate, size) AS rate FROM tried WHERE rate * size <= 1 GROUP BY source),
+        drawn AS (
+            SELECT d.*, w.source_size, w.target, w.whole, w.wanted, coalesce(r.rate, 0) * d.size AS p, (d.step + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+            FROM docs d JOIN wanted w ON d.source IS NOT DISTINCT FROM w.source LEFT JOIN rates r ON d.source IS NOT DISTINCT FROM r.source),
+        odds AS (SELECT *, CASE WHEN p > 0 AND p < 1 THEN (u / (1 - u)) / (p / (1 - p)) END AS q FROM drawn),
+        placed AS (
+            SELECT *, CASE WHEN p >= 1 THEN 0 WHEN q IS NULL THEN 4503599627370496 ELSE floor(q / (1 + q) * 4503599627370496::DOUBLE)::BIGINT END AS place FROM odds),
         ranked AS (
-            SELECT d.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS wanted,
-                   sum(size) OVER (PARTITION BY d.source ORDER BY step, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size / 2.0::DOUBLE AS middle
-            FROM docs d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source)
+            SELECT *, sum(size) OVER (PARTITION BY source ORDER BY place, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size / 2.0::DOUBLE AS middle FROM placed)
         SELECT doc_id, size, source_size, target, size * (whole + (middle <= wanted AND wanted > 0)::BIGINT) AS taken FROM ranked""",
     "op5_ngram_join": r"""
         WITH RECURSIVE docs AS (

@@ -59,8 +59,10 @@ def test_stages(spark, folder):
     items = [grams(r["text"], 5) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     dirty = {r["doc_id"] for r in single if any(100 * len(g & grams(r["text"], 5)) >= 80 * len(g) for g in items)}
     assert dirty and names[4] == names[3] - dirty
-    assert names[5] == names[4] and sum(r["taken"] for r in mixed) == pytest.approx(sum(r["size"] for r in mixed), rel=0.2)
-    assert {r["source_size"] for r in mixed} == {r["source_size"] for r in mixing.mix(states[4]).collect()}
+    whole = mixing.mix(states[4]).collect()
+    assert names[5] == {r["doc_id"] for r in whole if r["copies"]} and all(r["copies"] > 0 for r in mixed)
+    assert sum(r["taken"] for r in mixed) == pytest.approx(sum(r["size"] for r in whole), rel=0.2)
+    assert {r["source_size"] for r in mixed} <= {r["source_size"] for r in whole}
 
 
 def test_run_is_the_stages(spark, folder):
