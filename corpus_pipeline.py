@@ -43,8 +43,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the number of copies that the mix takes."""
-    return mixing.mix(docs)
+    """The documents that the mix takes, with the number of their copies."""
+    return mixing.mix(docs).where("copies > 0")
 
 
 STAGES = [
