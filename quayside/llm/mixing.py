@@ -105,8 +105,10 @@ def inclusion_rates(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     per = sizes.where(F.col("size") > 0).groupBy("source", "size").agg(F.count("*").alias("n"))
     per = per.withColumn("words", F.col("n") * F.col("size")).withColumn("squares", F.col("words").cast("decimal(38,0)") * F.col("size"))
     by_size = Window.partitionBy("source").orderBy(F.desc("size"))
-    certain = F.coalesce(F.sum("words").over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    others = F.sum("squares").over(by_size.rowsBetween(0, Window.unboundedFollowing)).cast("double")
+    larger = by_size.rowsBetween(Window.unboundedPreceding, -1)
+    certain = F.coalesce(F.sum("words").over(larger), F.lit(0))
+    # What is left of the whole: a frame that reaches to the end would be added up anew for each row.
+    others = (F.sum("squares").over(Window.partitionBy("source")) - F.coalesce(F.sum("squares").over(larger), F.lit(0))).cast("double")
     tried = per.withColumn("certain", certain).withColumn("others", others).join(goals.select("goal_source", "wanted"), F.col("source").eqNullSafe(F.col("goal_source")))
     tried = tried.withColumn("rate", (F.col("wanted") - F.col("certain")) / F.col("others")).where(F.col("rate") * F.col("size") <= 1)
     return tried.groupBy(F.col("source").alias("rate_source")).agg(F.max_by("rate", "size").alias("rate"))
