@@ -69,19 +69,27 @@ def _character(code_point: Column) -> Column:
 
 
 def unescape_html(text: Column) -> Column:
-    """Resolve ``&name;`` (all HTML 5 names), ``&#n;`` and ``&#xn;``; anything else stays as it is."""
+    """Resolve ``&name;`` (all HTML 5 names), ``&#n;`` and ``&#xn;``; anything else stays as it is.
+
+    As in old pages, the semicolon may be missing after numbers, and after names that HTML 5 lists without one; of these the longest that fits counts.
+    """
     # One constant, folded once, instead of thousands of literals in the plan.
-    coded = sorted((name[:-1], value.encode("utf-16-be").hex()) for name, value in html5.items() if name.endswith(";"))
+    coded = sorted((name, value.encode("utf-16-be").hex()) for name, value in html5.items())
     names = F.str_to_map(F.lit(",".join(f"{name}:{code}" for name, code in coded)))
+    open_names = "|".join(sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name)))
 
     def resolve(piece: Column) -> Column:
-        token = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        number = F.when(token.rlike("^#[xX]"), F.conv(F.substring(token, F.lit(3), F.length(token)), 16, 10).try_cast("int")).when(
-            token.startswith("#"), F.substring(token, F.lit(2), F.length(token)).try_cast("int")
+        closed = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]*;)", 1)
+        digits = F.regexp_extract(piece, r"^(#[0-9]{1,7}(?![0-9])|#[xX][0-9a-fA-F]{1,6}(?![0-9a-fA-F]));?", 1)
+        number = F.when(digits.rlike("^#[xX]"), F.conv(F.substring(digits, F.lit(3), F.length(digits)), 16, 10).try_cast("int")).otherwise(
+            F.substring(digits, F.lit(2), F.length(digits)).try_cast("int")
         )
-        named = F.decode(F.unhex(F.try_element_at(names, token)), "UTF-16BE")
-        rest = F.substring(piece, F.length(token) + 2, F.length(piece))
-        return F.coalesce(F.concat(F.coalesce(_character(number), named), rest), F.concat(F.lit("&"), piece))
+        known = F.try_element_at(names, closed).isNotNull()
+        name = F.when(known, closed).otherwise(F.regexp_extract(piece, f"^({open_names})", 1))
+        named = F.decode(F.unhex(F.try_element_at(names, name)), "UTF-16BE")
+        after_number = F.regexp_replace(F.substring(piece, F.length(digits) + 1, F.length(piece)), "^;", "")
+        after_name = F.substring(piece, F.length(name) + 1, F.length(piece))
+        return F.coalesce(F.concat(_character(number), after_number), F.concat(named, after_name), F.concat(F.lit("&"), piece))
 
     pieces = F.split(text, "&")
     resolved = F.concat(

@@ -1,4 +1,5 @@
 import datetime as dt
+import html
 import json
 import math
 
@@ -121,6 +122,14 @@ def test_unescape(spark, raw, plain):
     assert df.select(text.unescape_html(F.col("t")).alias("x")).first().x == plain
 
 
+def test_unescape_like_the_standard(spark):
+    """With and without semicolons, against the standard library, which follows HTML 5."""
+    raws = ["a&nbsp b", "&amp&lt;&gt", "&notit; &notin; &not", "x&copy2024", "&ampamp;", "&AMPx;", "&#197 &#xC5g &#65a", "&eacute,&Eacutex", "&&amp", "&unknown x", "&hellip x", "&#;&#x;", "a=1&lang=en&para=2"]
+    df = spark.createDataFrame([(raw,) for raw in raws], "t string")
+    got = {r.t: r.x for r in df.select("t", text.unescape_html(F.col("t")).alias("x")).collect()}
+    assert got == {raw: html.unescape(raw) for raw in raws}
+
+
 def test_html_text(spark):
     df = spark.createDataFrame([("&nbsp; <b>New&nbsp;York</b> <!-- x --> , <i> NY </i>",)], "t string")
     assert df.select(text.html_text(F.col("t")).alias("x")).first().x == "New York,NY"
