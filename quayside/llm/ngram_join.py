@@ -40,6 +40,9 @@ SHARED = 4
 SLICE = 1000
 #: Nodes of a gram whose pairs are made as rows; with more, blocks of this many nodes are compared in tasks.
 ROWS_BELOW, BLOCK = 24, 512
+#: Bits of a sketch for each gram, at least, and of the smallest sketch. At two bits two sets of n grams pass with about 0.18 n different ones
+#: where 0.16 n may be; more bits rule out hardly more pairs, and a sketch is sent once for each pair of blocks its node is in.
+SKETCH_BITS, SKETCH_LEAST = 2, 512
 #: Sets are split so many times by the suffix filter.
 SUFFIX_DEPTH = 3
 
@@ -234,12 +237,12 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, seed: int = 0) -> tupl
     return nodes, many if found is None else found.union(many)
 
 
-def odd_sketch(grams: np.ndarray) -> bytes:
-    """Parity of the number of grams at each of at least eight bits for each gram.
+def odd_sketch(grams: np.ndarray, per_gram: int = 8, least: int = 2048) -> bytes:
+    """Parity of the number of grams at each of at least ``per_gram`` bits for each gram, ``least`` at least; a power of 2.
 
     Every gram that only one of two sets has changes one bit, so no fewer grams differ than bits do.
     """
-    bits = 1 << max(11, int(8 * len(grams) - 1).bit_length())
+    bits = 1 << max(least - 1, per_gram * len(grams) - 1).bit_length()
     places, counts = np.unique((grams % np.uint64(bits)).astype(np.int64), return_counts=True)
     odd = np.zeros(bits, np.bool_)
     odd[places] = counts % 2 == 1
@@ -251,7 +254,7 @@ def _sketches(docs: DataFrame, nodes: DataFrame, chosen: DataFrame, n: int, seed
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sketches = [odd_sketch(np.frombuffer(v.as_buffer(), np.uint64)) for v in batch.column("grams")]
+            sketches = [odd_sketch(np.frombuffer(v.as_buffer(), np.uint64), SKETCH_BITS, SKETCH_LEAST) for v in batch.column("grams")]
             yield pa.record_batch([batch.column("node"), pa.array(sketches, pa.binary())], ["node", "sketch"])
 
     pairs = chosen.select(F.col("node").alias("a"), F.col("node").alias("b"))
@@ -277,9 +280,7 @@ def _crowded_pairs(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, n: int
         own, ids, comps, sizes = (group.column(c).to_numpy() for c in ("own", "node", "comp", "size"))
         before = _incidence([c.values.to_numpy() for c in group.column("before").combine_chunks()])
         raw = [np.frombuffer(v.as_buffer(), np.uint8) for v in group.column("sketch").combine_chunks()]
-        width = min(len(r) for r in raw)
-        # A longer sketch is folded to the shortest: still each differing gram changes one bit.
-        bits = np.stack([np.bitwise_xor.reduce(r.reshape(-1, width), axis=0) for r in raw])
+        widths, folded = _folded(raw)
         left, right = [], []
         for x in np.flatnonzero(own == i):
             least = -(-percent * (sizes + sizes[x]) // (100 + percent))
@@ -287,7 +288,11 @@ def _crowded_pairs(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, n: int
             if i == j:
                 hits[: x + 1] = False
             others = np.flatnonzero(hits)
-            differ = np.bitwise_count(bits[others] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            shorter = np.minimum(widths[others], widths[x])
+            differ = np.zeros(len(others), np.int64)
+            for width in np.unique(shorter):
+                same, (place, bits) = shorter == width, folded[width]
+                differ[same] = np.bitwise_count(bits[place[others[same]]] ^ bits[place[x]]).sum(axis=1, dtype=np.int64)
             others = others[differ <= sizes[others] + sizes[x] - 2 * least[others]]
             left.append(np.minimum(ids[others], ids[x]))
             right.append(np.maximum(ids[others], ids[x]))
@@ -296,6 +301,21 @@ def _crowded_pairs(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, n: int
     return dealt.groupBy("gram", "i", "j").applyInArrow(compare, "a long, b long")
 
 
+def _folded(raw: list[np.ndarray]) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """Widths of sketches; for each width the place and bits of all that are as wide or wider, folded to it.
+
+    In a folded sketch each differing gram still changes one bit.
+    """
+    widths = np.array([len(r) for r in raw], np.int64)
+    folded = {}
+    for width in np.unique(widths):
+        rows = np.flatnonzero(widths >= width)
+        place = np.zeros(len(raw), np.int64)
+        place[rows] = np.arange(len(rows))
+        folded[width] = place, np.stack([np.bitwise_xor.reduce(raw[row].reshape(-1, width), axis=0) for row in rows])
+    return widths, folded
+
+
 def _incidence(lists: list[np.ndarray]) -> np.ndarray:
     """A row of flags for each list: which of all their numbers it has."""
     known = np.unique(np.concatenate(lists)) if lists else np.zeros(0, np.int64)

@@ -71,6 +71,23 @@ def test_sketches_differ_by_no_more_than_their_sets():
         assert 0.9 * differ <= bits <= differ
 
 
+def test_small_sketches_tell_similar_sets_from_others():
+    rng = np.random.default_rng(3)
+    draw = lambda k: rng.integers(0, 2**63, k).astype(np.uint64)
+    base = [np.unique(draw(size)) for size in (60, 700, 5000, 5200)]
+    sets = [*base, *(np.unique(np.concatenate([v[len(v) // 10 :], draw(len(v) // 20)])) for v in base)]
+    widths, folded = j._folded([np.frombuffer(j.odd_sketch(v, j.SKETCH_BITS, j.SKETCH_LEAST), np.uint8) for v in sets])
+    for x in range(len(sets)):
+        for y in range(x):
+            place, bits = folded[min(widths[x], widths[y])]
+            differ = len(np.setxor1d(sets[x], sets[y]))
+            found = np.bitwise_count(bits[place[x]] ^ bits[place[y]]).sum(dtype=np.int64)
+            assert found <= differ
+            total = len(sets[x]) + len(sets[y])
+            if min(len(sets[x]), len(sets[y])) >= 0.85 * max(len(sets[x]), len(sets[y])) and differ > total / 2:
+                assert found > total - 2 * -(-85 * total // 185), "unlike sets of like size are ruled out"
+
+
 def test_connected_components(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(100, 160)] + [(rng.randrange(90), rng.randrange(90)) for _ in range(60)] + [(200, i) for i in range(201, 260)]
