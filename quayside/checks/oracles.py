@@ -266,6 +266,12 @@ select page_id, cast(row_no as integer) as row_no,
   array_to_string(list_transform(regexp_extract_all(row_html, '(?is)<a(?:\s[^>]*)?>(.*?)</a\s*>', 1),
     lambda x: trim(regexp_replace(x, '<[^>]*>', '', 'g'))), '|') as cell_text
 from numbered""",
+    "html_table_rows": """with p as (
+  select page_id, trim(coalesce(url, '')) as u, cast(page_id % 7 as varchar) as d from pages)
+select page_id, 0 as row_no, 2 as cells, 'Page ' || page_id || '|Fish & chips' as cell_text from p
+union all select page_id, 1, 5, u || d || 'éintail|' || d || 'é|in|' || page_id || '|last' from p
+union all select page_id, 2, 2, d || 'é|in' from p
+union all select page_id, 3, 1, 'x¬it;' from p""",
     "run_history": f"""{RUN_LOG} select generated_at as run_time, status, count(unique_id) as models_run,
   round(sum(execution_time), 2) as total_duration_sec
 from run_log group by 1, 2 order by 1 desc, 2 limit 10""",

@@ -470,6 +470,18 @@ def html_list_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("page_id", "row_no", F.size("cells").alias("cells"), F.array_join("cells", "|").alias("cell_text"))
 
 
+def html_table_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and cells of tables made from the pages: one inside a cell of another, end tags and semicolons of references left out as in old pages."""
+    digit, number = (F.col("page_id") % 7).cast("string"), F.col("page_id").cast("string")
+    url = F.replace(F.replace(F.coalesce("url", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    parts = [
+        "<TABLE class=list><tr><th>Page&#32;", number, "</th><th> Fish &amp chips&nbsp</th></tr><!-- <tr><td>no</td></tr> --><tr id=outer><td>", url,
+        "<table><tr><td>", digit, "&eacute</td><td><b>in</b></table>tail</td><td>&nbsp", number, "<td>last</tr><tr><td>x&notit;</table><p>text</p>",
+    ]
+    made = samples.table(spark, folder, "pages").withColumn("html", F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]))
+    return html_rows(made).select("page_id", "row_no", F.size("cells").alias("cells"), F.array_join("cells", "|").alias("cell_text"))
+
+
 # --- run log -----------------------------------------------------------------
 
 
@@ -655,6 +667,6 @@ REGISTERED: list[Query] = [
     voyages_zero_policy, voyages_great_circle, route_key_pairs, route_lookup, route_positions, route_geojson, path_downsample,
     overview_totals, recent_voyages, vessel_stats, vessel_history, vessel_page, voyages_last_n_days,
     incremental_lookback, incremental_upsert, incremental_carry, incremental_late, incremental_replaced_day, dq_positive_duration, dq_stored_voyages,
-    unece_coords, port_filter, country_codes, staleness, reference_refresh, html_list_rows, run_history, staging_latency,
+    unece_coords, port_filter, country_codes, staleness, reference_refresh, html_list_rows, html_table_rows, run_history, staging_latency,
     run_results_flatten, run_log_files, date_range, time_parsing, csv_ingest, ingest_report, stream_csv_ingest, stream_stitched,
 ]

@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 CHECKED = [
     "nearest_port_pings", "nearest_port_haversine", "stg_ais", "voyage_legs", "voyage_legs_thinned", "voyage_duration",
     "voyages_great_circle", "route_lookup", "overview_totals", "recent_voyages", "incremental_lookback",
-    "unece_coords", "port_filter", "country_codes", "staleness", "html_list_rows", "run_history",
+    "unece_coords", "port_filter", "country_codes", "staleness", "html_list_rows", "html_table_rows", "run_history",
     "run_results_flatten", "date_range", "time_parsing", "csv_ingest",
 ]
 

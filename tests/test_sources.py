@@ -11,7 +11,7 @@ from quayside.config import Tables
 from quayside.plans import reports
 from quayside.plans.ingest import ingest_days
 from quayside.sources import locodes, runlog
-from quayside.sources.html import html_rows, table_after
+from quayside.sources.html import html_rows, nested_cells, table_after
 from quayside.sources.pings import MissingColumns, append_pings, date_range, landed_files, plan_dates, read_pings
 from quayside.sources.tables import append_table, ensure_table, read_table, replace_table, source
 from quayside.streaming.ingest import stream_ingest
@@ -213,7 +213,28 @@ def test_table_with_a_table_inside(spark):
     html = f"<h2 id='x'>h</h2>text<TABLE class=a><tr><td>AA{inner}</td></tr><tr><td>BB</td></tr></TABLE ><table><tr><td>no</td></tr></table>"
     pages = spark.createDataFrame([(1, html), (2, "<h2 id=x></h2><table><tr><td>open"), (3, "<h2 id=x></h2> none"), (4, None)], "page_id int, html string")
     rows = html_rows(pages, html=table_after(F.col("html"), "x")).select("page_id", F.array_join("cells", "|").alias("c")).collect()
-    assert sorted((r.page_id, r.c) for r in rows if r.c) == [(1, "AA"), (1, "BB"), (1, "in"), (2, "open")]
+    assert sorted((r.page_id, r.c) for r in rows if r.c) == [(1, "AAin|in"), (1, "BB"), (1, "in"), (2, "open")]
+
+
+@pytest.mark.parametrize("html,rows", [
+    (None, None), ("", []), ("<td>a</td>", []), ("<table><td>a</table>", []), ("<tr></tr></table></table><tr><td>a", [[], ["a"]]),
+    ("<table><tr><td>a<td>b<tr><th>c</table><tr><td>d</tr>e", [["a", "b"], ["c"], ["d"]]),
+    ("<tr><td>a<table><tr><td>b</table>c</td><td>d</td></tr>", [["a<table><tr><td>b</table>c", "b", "d"], ["b"]]),
+    ("<tr><td>1<table><tr><td>2<TABLE><tr><td>3</table></td></table><td>4", [["1<table><tr><td>2<TABLE><tr><td>3</table></td></table>", "2<TABLE><tr><td>3</table>", "3", "4"], ["2<TABLE><tr><td>3</table>", "3"], ["3"]]),
+    ("<tr><!-- <td>no --><td\nid='x'>yes</td><tdx>no</tdx></tr>", [["yes"]]),
+    ("<table>" * 20000 + "<tr><td>deep", [["deep"]]),
+])
+def test_nested_cells(html, rows):
+    assert nested_cells(html, ["td", "th"]) == rows
+
+
+def test_flat_pages_read_the_same_either_way(spark):
+    flat = "<table><tr><td> a </td><th>b</th></tr><TR><td>BE<td>Belgium</tr><tr></tr><tr><td>open</table>"
+    pages = spark.createDataFrame([(1, flat), (2, flat + "<table></table>"), (3, None), (4, "none")], "page_id int, html string")
+    rows = {}
+    for row in html_rows(pages).orderBy("page_id", "row_no").collect():
+        rows.setdefault(row.page_id, []).append(row.cells)
+    assert rows == {1: [["a", "b"], ["BE", "Belgium"], [], ["open"]], 2: [["a", "b"], ["BE", "Belgium"], [], ["open"]]}
 
 
 def test_country_codes(spark):
