@@ -16,7 +16,7 @@ Sets are made anew from the text wherever they are needed and only those of comp
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -130,8 +130,8 @@ def _flag(doc_id: str) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(FLAGS))
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, seed: int) -> DataFrame:
-    """``node, grams`` of the nodes in ``pairs``, from one document of each.
+def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, seed: int, coded: Callable[[np.ndarray], bytes] = np.ndarray.tobytes) -> DataFrame:
+    """``node, grams`` of the nodes in ``pairs``, from one document of each; the grams as ``coded`` gives them, before they are shuffled.
 
     Most other documents are left out, before their words are looked at, by a table of flags.
     """
@@ -148,7 +148,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, seed: int
             batch = batch.filter(pa.array(wanted[batch.column("flag").to_numpy()]))
             for part in _sliced([batch]):
                 sets = [s for s in shingle_sets(part.column("text"), n, seed) if len(s)]
-                yield pa.record_batch([pa.array([_set_id(s, 1) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "grams"])
+                yield pa.record_batch([pa.array([_set_id(s, 1) for s in sets], pa.int64()), pa.array([coded(s) for s in sets], pa.binary())], ["node", "grams"])
 
     picked = docs.select("text", _flag("doc_id").alias("flag")).mapInArrow(pick, "node long, grams binary")
     return picked.join(chosen.select("node"), "node", "left_semi").groupBy("node").agg(F.first("grams").alias("grams"))
@@ -250,15 +250,9 @@ def odd_sketch(grams: np.ndarray, per_gram: int = 8, least: int = 2048) -> bytes
 
 
 def _sketches(docs: DataFrame, nodes: DataFrame, chosen: DataFrame, n: int, seed: int) -> DataFrame:
-    """``node, sketch`` of the nodes in ``chosen``."""
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sketches = [odd_sketch(np.frombuffer(v.as_buffer(), np.uint64), SKETCH_BITS, SKETCH_LEAST) for v in batch.column("grams")]
-            yield pa.record_batch([batch.column("node"), pa.array(sketches, pa.binary())], ["node", "sketch"])
-
+    """``node, sketch`` of the nodes in ``chosen``; sketches are drawn where the texts are read, so no sets are shuffled."""
     pairs = chosen.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    return _sets(docs, nodes, pairs, n, seed).mapInArrow(draw, "node long, sketch binary")
+    return _sets(docs, nodes, pairs, n, seed, lambda grams: odd_sketch(grams, SKETCH_BITS, SKETCH_LEAST)).withColumnRenamed("grams", "sketch")
 
 
 def _crowded_pairs(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, n: int, seed: int, percent: int) -> DataFrame:
