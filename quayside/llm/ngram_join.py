@@ -26,7 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from quayside.llm.components import components
 from quayside.llm.tables import written
-from quayside.llm.words import longs, mixed, shingle_sets
+from quayside.llm.words import longs, mixed, shingle_sets, slices
 
 #: Hashed counts of grams; a gram's place in the order is its bucket's count, in steps of an eighth of a power of 2.
 BUCKETS = 2**18
@@ -36,8 +36,6 @@ FLAGS = 2**20
 PIVOT_ROUNDS = 3
 #: Prefix grams that two nodes must share (all that they can, if their sets have fewer).
 SHARED = 4
-#: Texts whose words are held at once.
-SLICE = 1000
 #: Nodes of a gram whose pairs are made as rows; with more, blocks of this many nodes are compared in tasks.
 ROWS_BELOW, BLOCK = 24, 512
 #: Bits of a sketch for each gram, at least, and of the smallest sketch. At two bits two sets of n grams pass with about 0.18 n different ones
@@ -52,10 +50,11 @@ def _set_id(grams: np.ndarray, salt: int) -> int:
     return int(longs(mixed(np.array([mixed(grams + np.uint64(salt)).sum(dtype=np.uint64) + np.uint64(len(grams))], np.uint64)))[0])
 
 
-def _sliced(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+def _sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of bounded bytes of text, copied out of them."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        for start, stop in slices(batch.column("text")):
+            yield batch.take(pa.array(range(start, stop), pa.int64()))
 
 
 def _scanned(docs: DataFrame, n: int, seed: int) -> DataFrame:
