@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quayside.llm.components import components
-from quayside.llm.tables import written
+from quayside.llm.tables import bounded_batches, written
 from quayside.llm.words import longs, mixed, shingle_sets, slices
 
 #: Hashed counts of grams; a gram's place in the order is its bucket's count, in steps of an eighth of a power of 2.
@@ -193,6 +193,7 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, seed: int = 0) -> tupl
 
     The first frame has a row ``doc_id, node, n_grams`` for each row of ``docs``, node null without words; the second ``a, b, overlap`` of verified links.
     """
+    bounded_batches(docs.sparkSession)
     scanned = _scanned(docs, n, seed)
     # Should two different sets ever get the same number, the numbers are drawn anew.
     if not scanned.where("n_grams > 0").groupBy("node").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high").isEmpty():

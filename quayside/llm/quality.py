@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.logistic import Logistic, fit
-from quayside.llm.tables import unused, written
+from quayside.llm.tables import bounded_batches, unused, written
 from quayside.llm.words import hashed_words, joined_hashes, sliced
 
 #: Most labelled and most unlabelled documents that models are fitted on.
@@ -166,6 +166,7 @@ def _sampled(docs: DataFrame, ids: DataFrame) -> tuple[list, tuple[np.ndarray, n
 
 def train(docs: DataFrame, labels: DataFrame) -> CoTrained:
     """``labels`` has ``doc_id, quality``; null labels and ids are none, and of several for a doc_id the lowest counts."""
+    bounded_batches(docs.sparkSession)
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     order = (F.xxhash64(F.lit(6), "doc_id"), F.col("doc_id"))
     marked = written(known.orderBy(*order).limit(LABELLED), "labelled")
