@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm import ngram_join
+from quayside.llm import near_copies
 from quayside.llm.tables import WORD, lower_ascii, text_key, written
 
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -135,7 +135,7 @@ def _copies(docs: DataFrame, repeated: DataFrame, n: int, percent: int, long_wor
     if both.isEmpty():
         return gone
     compared = written(keyed.join(both, (F.col("doc_id") == F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")), "left_semi").select("doc_id", "text"), "compared")
-    copies = ngram_join.join(compared, n, percent).where("doc_id <> component_id").select("doc_id").distinct()
+    copies = near_copies.join(compared, n, percent).where("doc_id <> component_id").select("doc_id").distinct()
     return written(gone.union(suspects.join(copies, "doc_id", "left_semi")), "copies")
 
 

@@ -118,7 +118,7 @@ def _shared(prefixes: DataFrame) -> DataFrame:
     return written(every.join(often, "gram"), "shared")
 
 
-def _passes(percent: int) -> Column:
+def passes(percent: int) -> Column:
     """Length and positional filters for a pair (node, n_grams, pos), (other, other_grams, other_pos) under a common gram."""
     n, m, i, j = (F.col(c) for c in ("n_grams", "other_grams", "pos", "other_pos"))
     most = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
@@ -216,7 +216,7 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, seed: int = 0) -> tupl
             left = written(active.join(open_.select("gram", "nodes"), "gram"), "left")
             few = left.where(F.col("nodes") < ROWS_BELOW)
             met = few.join(few.select("gram", *[F.col(c).alias(f"other{d}") for c, d in (("node", ""), ("n_grams", "_grams"), ("pos", "_pos"), ("comp", "_comp"))]), "gram").where("comp < other_comp")
-        pairs = met.where(_passes(percent)).groupBy(ordered.alias("pair"), F.greatest("n_grams", "other_grams").alias("larger")).count()
+        pairs = met.where(passes(percent)).groupBy(ordered.alias("pair"), F.greatest("n_grams", "other_grams").alias("larger")).count()
         # The first l grams that two similar sets share are in both prefixes; a larger set of k grams shares t k at least.
         # A pair with fewer as rows in the last round shares one of the grams that are compared in blocks, or isn't similar.
         pairs = pairs.where(F.col("count") >= F.least(F.lit(SHARED), F.ceil(F.col("larger") * F.lit(percent) / 100))).select("pair.*")

@@ -55,3 +55,20 @@ def test_empty_table(spark):
 def test_plan_is_native(spark, capsys):
     d.deduplicate(spark.createDataFrame(DOCS, "doc_id long, text string")).explain()
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", capsys.readouterr().out)
+
+
+def test_documents_that_go_are_found_without_python(spark, monkeypatch):
+    from pyspark.sql import DataFrame, GroupedData
+
+    def none(*_, **__):
+        raise AssertionError("Python on the executors")
+
+    for kind, name in ((DataFrame, "mapInArrow"), (DataFrame, "mapInPandas"), (GroupedData, "applyInArrow"), (GroupedData, "applyInPandas")):
+        for one in {kind, *kind.__subclasses__()}:
+            monkeypatch.setattr(one, name, none)
+    base = [f"{'abcdefgh'[i]}{k} word{i} and{k} so{i} on{k}" for i in range(6) for k in range(3)]
+    docs = [(i, "\n".join([*base[: i % 18], base[i % 18] + f" changed{i}", *base[i % 18 + 1 :]])) for i in range(30)]
+    # Half of its words stand elsewhere first, but it is no copy.
+    docs += [(50, "\n".join([*base[:9], *(f"{line} own" for line in "klmnopqrstuvwxyz"[:9])]))]
+    rows = d.deduplicate_with_documents(spark.createDataFrame(docs, "doc_id long, text string"), 2, long=(5, 2)).collect()
+    assert sorted(r["doc_id"] for r in rows) == [0, 50]
