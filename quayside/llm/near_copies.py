@@ -1,13 +1,17 @@
 """Near copies by word n-gram sets with built-in functions only: the same links and components as ``ngram_join``, for steps without Python.
 
 Sets are arrays of hashes; documents of equal sets are one node. A gram that only one node has can't be shared, so it only takes a place in its node's
-prefix; of the others a prefix holds the rarest, by exact counts. As in ``ngram_join``, nodes are compared with a pivot of each of their
-prefix grams first and with all nodes of other components under an open gram at last. There, rows of a gram are dealt to pairs
-of blocks and joined inside them, and the join itself drops the pairs that sketches rule out: of a crowded gram only pairs that may link become rows.
+prefix; of the others a prefix holds the rarest, by exact counts. As in ``ngram_join``, nodes are compared with pivots of each of their
+prefix grams first and with all nodes of other components under an open gram at last. From round to round pivots double in number, while fewer grams are
+open: near copies that link with a share of their group only meet more of it the larger it is, about a root of its size, before the last round.
+There, rows of a gram are dealt to pairs of blocks and joined inside them, and the join itself drops the pairs that sketches rule out: of a
+crowded gram only pairs that may link become rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +19,14 @@ from quayside.llm.components import components
 from quayside.llm.ngram_join import passes
 from quayside.llm.tables import BLANKS, lower_ascii, written
 
-#: Rounds of comparison with pivots before all that is left is compared.
-PIVOT_ROUNDS = 2
+#: Rounds of comparison with pivots, at most, before all that is left is compared. Round i, from 0, has 2 ** i pivots for each gram of 4 ** i nodes or more.
+PIVOT_ROUNDS = 6
 #: Prefix grams that two nodes must share with one pivot to be compared with it (all that they can, if their sets have fewer).
 SHARED = 4
 #: Nodes of a block.
 BLOCK = 512
+#: Columns of a node's prefix gram.
+ROW = ["gram", "node", "n_grams", "pos", "comp"]
 #: Longs of a sketch: at 1,024 bits sets of 300 grams pass with a few more different grams than may be.
 SKETCH = 16
 
@@ -43,12 +49,17 @@ def _prefixes(nodes: DataFrame, percent: int) -> DataFrame:
     lists = every.join(often, "gram").groupBy("node").agg(F.first("n_grams").alias("n_grams"), F.sort_array(F.collect_list(F.struct("nodes", "gram"))).alias("grams"))
     # Grams of one node alone come first.
     alone = F.col("n_grams") - F.size("grams")
-    length = F.col("n_grams") - F.ceil(F.col("n_grams") * percent / 100).cast("int") + SHARED
+    length = _prefix(percent, SHARED)
     cut = lists.select("node", "n_grams", alone.alias("alone"), F.slice("grams", 1, F.greatest(length - alone, F.lit(0))).alias("grams"))
     rows = cut.select("node", "n_grams", "alone", F.posexplode("grams").alias("at", "of"))
     return written(rows.select("of.gram", "node", "n_grams", (F.col("alone") + F.col("at")).alias("pos")), "prefixes")
 
 
+def _prefix(percent: int, shared: int) -> Column:
+    """Length of a prefix of which similar sets share ``shared`` grams, or all that they can."""
+    return F.col("n_grams") - F.ceil(F.col("n_grams") * percent / 100).cast("int") + shared
+
+
 def _least(percent: int, n: Column, m: Column) -> Column:
     """Grams that two similar sets of n and m share, at least."""
     return F.ceil((n + m) * percent / (100 + percent))
@@ -56,23 +67,29 @@ def _least(percent: int, n: Column, m: Column) -> Column:
 
 def _verified(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """``a, b`` of the pairs whose whole sets are similar enough."""
-    sets = nodes.select("node", "grams")
+    # Without the sets of other nodes, which need no shuffle.
+    sets = nodes.select("node", "grams").join(pairs.select(F.explode(F.array("a", "b")).alias("node")), "node", "left_semi")
     both = pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
     shared = F.size(F.array_intersect("grams_a", "grams_b"))
     return both.where((100 + percent) * shared >= percent * (F.size("grams_a") + F.size("grams_b"))).select("a", "b")
 
 
-def _open(active: DataFrame, turn: int) -> DataFrame:
-    """The grams whose nodes are in more than one component, with one of the nodes as ``pivot``."""
-    pivot = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("rank"), "node", "n_grams", "pos", "comp")).alias("pivot")
-    return active.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("nodes"), pivot).where("low <> high")
+def _open(active: DataFrame, turns: Iterable[int] = ()) -> DataFrame:
+    """The grams whose nodes are in more than one component, their number of ``nodes``, and a ``pivot`` column with one of the nodes for each of ``turns``."""
+    drawn = [F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("rank"), "node", "n_grams", "pos", "comp")).alias(f"p{turn}") for turn in turns]
+    grams = active.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("nodes"), *drawn).where("low <> high")
+    if not drawn:
+        return grams.select("gram", "nodes")
+    return grams.select("gram", "nodes", F.explode(F.array_distinct(F.array(*(F.col(f"p{turn}").dropFields("rank") for turn in turns)))).alias("pivot"))
 
 
-def _near_pivots(active: DataFrame, turn: int, percent: int) -> DataFrame:
+def _near_pivots(active: DataFrame, turns: Iterable[int], percent: int) -> DataFrame:
     """``a, b`` of nodes and pivots that share as many prefix grams as similar sets do."""
-    pivots = _open(active, turn).select("gram", *[F.col(f"pivot.{c}").alias(d) for c, d in (("node", "other"), ("n_grams", "other_grams"), ("pos", "other_pos"), ("comp", "other_comp"))])
+    pivots = _open(active, turns)
+    pivots = pivots.select("gram", *[F.col(f"pivot.{c}").alias(d) for c, d in (("node", "other"), ("n_grams", "other_grams"), ("pos", "other_pos"), ("comp", "other_comp"))])
     met = active.join(pivots, "gram").where("comp <> other_comp").where(passes(percent))
     ends = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), F.greatest("n_grams", "other_grams").alias("larger")]
+    # Two pivots meet from both ends; that counts twice and at most verifies a pair in vain.
     return met.groupBy(*ends).count().where(F.col("count") >= F.least(F.lit(SHARED), F.ceil(F.col("larger") * percent / 100))).select("a", "b")
 
 
@@ -85,7 +102,9 @@ def _sketches(nodes: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def _left(nodes: DataFrame, active: DataFrame, percent: int) -> DataFrame:
     """``a, b`` of all nodes of different components under a gram that may be similar."""
-    left = written(active.join(_open(active, 0).select("gram", "nodes"), "gram"), "left")
+    # Similar sets share a gram of their shortest prefixes.
+    least = active.where(F.col("pos") < _prefix(percent, 1))
+    left = written(least.join(_open(least), "gram"), "left")
     blocks = F.ceil(F.col("nodes") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     ends = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.struct(F.least(i, own).cast("int").alias("i"), F.greatest(i, own).cast("int").alias("j")))
@@ -98,7 +117,7 @@ def _left(nodes: DataFrame, active: DataFrame, percent: int) -> DataFrame:
     differ = sum((F.bit_count(F.col(f"s{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(SKETCH)), F.lit(0))
     most = F.col("n_grams") + F.col("other_grams") - 2 * _least(percent, F.col("n_grams"), F.col("other_grams"))
     pairs = first.join(second, ["gram", "i", "j"]).where("comp <> other_comp AND (i < j OR node < other)").where(passes(percent) & (differ <= most))
-    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    return written(pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "near")
 
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -110,15 +129,23 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     active = prefixes.withColumn("comp", F.col("node"))
     found = tried = None
     for turn in range(PIVOT_ROUNDS + 1):
-        pairs = _near_pivots(active, turn, percent) if turn < PIVOT_ROUNDS else _left(nodes, active, percent)
+        crowded = active
+        if turn:
+            # A gram whose nodes are in one component is done.
+            active = written(active.select(ROW).join(_open(active), "gram"), "active")
+            crowded = active.where(F.col("nodes") >= 4**turn)
+        last = turn == PIVOT_ROUNDS or crowded.isEmpty()
+        pairs = _left(nodes, active.select(ROW), percent) if last else _near_pivots(crowded, range(2**turn, 2 ** (turn + 1)), percent)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         if not pairs.isEmpty():
             fresh = written(_verified(nodes, pairs, percent), "verified")
             found, tried = (fresh, pairs) if found is None else (found.union(fresh), tried.union(pairs))
-            if turn < PIVOT_ROUNDS:
-                active = written(prefixes.join(components(found), "node", "left").select("gram", "node", "n_grams", "pos", F.coalesce("comp", "node").alias("comp")), "active")
+            if not last:
+                active = active.drop("comp").join(components(found), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        if last:
+            break
     placed = nodes.select("low", "high", "node", "least", F.col("node").alias("comp"))
     if found is not None:
         placed = placed.drop("comp").join(components(found), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
