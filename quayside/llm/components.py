@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.tables import written
+from quayside.llm.tables import tidied, written
 
 
+@tidied
 def components(links: DataFrame) -> DataFrame:
     """``node, comp`` for every node of ``links`` (a, b): the smallest node that links reach.
 

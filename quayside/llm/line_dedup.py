@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm import near_copies
-from quayside.llm.tables import WORD, lower_ascii, text_key, written
+from quayside.llm.tables import WORD, lower_ascii, text_key, tidied, written
 
 STRIPPED = " \t\n\x0b\x0c\r"
 #: Slices that the occurrences of one hash are dealt to, by document.
@@ -41,6 +41,7 @@ def occurrences(docs: DataFrame, min_chars: int = 1, counted: bool = False) -> D
     return exploded.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), slice_.alias("slice"), "doc_id", "text_hash", "pos", *words)
 
 
+@tidied
 def _repeating(lines: DataFrame, min_docs: int, long: tuple[int, int] | None = None) -> DataFrame:
     """``h1, h2, slice, first`` of the lines that stand in ``min_docs`` documents or more; with ``long`` = (words, documents) those of as many words in as many documents, too."""
     place = F.struct("doc_id", "text_hash", "pos")
@@ -57,6 +58,7 @@ def _repeating(lines: DataFrame, min_docs: int, long: tuple[int, int] | None = N
     return written(sliced.select("h1", "h2", "slice").join(found.select("h1", "h2", "first"), ["h1", "h2"]), "repeating")
 
 
+@tidied
 def keep_bitmaps(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep_first: bool = True) -> DataFrame:
     """``doc_id, text_hash, n_lines, n_dropped, keep_runs`` of every document.
 
@@ -115,6 +117,7 @@ def _without(rows: DataFrame, gone: DataFrame, text_hash: Column) -> DataFrame:
     return rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (text_hash == F.col("gone_hash")), "left_anti")
 
 
+@tidied
 def _copies(docs: DataFrame, repeated: DataFrame, n: int, percent: int, long_words: int | None) -> DataFrame:
     """``doc_id, text_hash`` of the documents that go as a whole; ``repeated`` are the places of repeated lines, with their words and first place."""
     elsewhere = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")))
@@ -139,6 +142,7 @@ def _copies(docs: DataFrame, repeated: DataFrame, n: int, percent: int, long_wor
     return written(gone.union(suspects.join(copies, "doc_id", "left_semi")), "copies")
 
 
+@tidied
 def deduplicate_with_documents(docs: DataFrame, min_docs: int = 2, n: int = 5, percent: int = 80, long: tuple[int, int] | None = None) -> DataFrame:
     """As ``deduplicate`` with ``keep_first``, but copies go as documents instead of losing their lines one by one.
 

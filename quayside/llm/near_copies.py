@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.components import components
 from quayside.llm.ngram_join import passes
-from quayside.llm.tables import BLANKS, lower_ascii, written
+from quayside.llm.tables import BLANKS, lower_ascii, tidied, written
 
 #: Rounds of comparison with pivots, at most, before all that is left is compared. Round i, from 0, has 2 ** i pivots for each gram of 4 ** i nodes or more.
 PIVOT_ROUNDS = 6
@@ -83,24 +83,49 @@ def _open(active: DataFrame, turns: Iterable[int] = ()) -> DataFrame:
     return grams.select("gram", "nodes", F.explode(F.array_distinct(F.array(*(F.col(f"p{turn}").dropFields("rank") for turn in turns)))).alias("pivot"))
 
 
-def _near_pivots(active: DataFrame, turns: Iterable[int], percent: int) -> DataFrame:
-    """``a, b`` of nodes and pivots that share as many prefix grams as similar sets do."""
-    pivots = _open(active, turns)
+def _met(nodes: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
+    """``a, b, larger``: nodes and the pivots of their grams that are in other components, once for each gram."""
     pivots = pivots.select("gram", *[F.col(f"pivot.{c}").alias(d) for c, d in (("node", "other"), ("n_grams", "other_grams"), ("pos", "other_pos"), ("comp", "other_comp"))])
-    met = active.join(pivots, "gram").where("comp <> other_comp").where(passes(percent))
-    ends = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), F.greatest("n_grams", "other_grams").alias("larger")]
+    met = nodes.join(pivots, "gram").where("comp <> other_comp").where(passes(percent))
+    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), F.greatest("n_grams", "other_grams").alias("larger"))
+
+
+def _near_pivots(active: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of nodes and pivots, one for each gram, that share as many prefix grams as similar sets do."""
+    met = _met(active, _open(active, [1]), percent)
     # Two pivots meet from both ends; that counts twice and at most verifies a pair in vain.
-    return met.groupBy(*ends).count().where(F.col("count") >= F.least(F.lit(SHARED), F.ceil(F.col("larger") * percent / 100))).select("a", "b")
+    return met.groupBy("a", "b", "larger").count().where(F.col("count") >= F.least(F.lit(SHARED), F.ceil(F.col("larger") * percent / 100))).select("a", "b")
+
+
+def _near_more_pivots(crowded: DataFrame, turn: int, percent: int) -> DataFrame:
+    """``a, b`` of nodes and the ``2 ** turn`` pivots of one of their grams; near copies share nearly all grams, so most take the same one, in each turn another."""
+    drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "gram").alias("rank"), "gram", "pos")).alias("drawn")
+    chosen = crowded.groupBy("node", "n_grams", "comp").agg(drawn).select("drawn.gram", "node", "n_grams", "drawn.pos", "comp")
+    return _met(chosen, _open(crowded, range(2**turn, 2 ** (turn + 1))), percent).select("a", "b").distinct()
 
 
 def _sketches(nodes: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``node, s0, s1, ...`` of the ``chosen`` nodes: parity of the number of grams at each bit, so no fewer grams of two sets differ than bits do."""
+    """``node, size, s0, s1, ...`` of the ``chosen`` nodes: parity of the number of grams at each bit, so no fewer grams of two sets differ than bits do."""
     grams = nodes.join(chosen, "node", "left_semi").select("node", F.explode("grams").alias("gram"))
     bit, word = F.expr("shiftleft(1L, cast(pmod(gram, 64) as int))"), F.pmod(F.shiftright("gram", 6), F.lit(SKETCH))
-    return grams.groupBy("node").agg(*(F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{i}") for i in range(SKETCH)))
+    parities = (F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{i}") for i in range(SKETCH))
+    return written(grams.groupBy("node").agg(F.count("*").cast("int").alias("size"), *parities), "sketches")
+
 
+def _may_link(percent: int, n: str, m: str) -> Column:
+    """The sketches s0, s1, ... and t0, t1, ... of sets of ``n`` and ``m`` grams don't rule out that they are similar."""
+    differ = sum((F.bit_count(F.col(f"s{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(SKETCH)), F.lit(0))
+    return differ <= F.col(n) + F.col(m) - 2 * _least(percent, F.col(n), F.col(m))
 
-def _left(nodes: DataFrame, active: DataFrame, percent: int) -> DataFrame:
+
+def _possible(sketches: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) that sketches don't rule out: only their whole sets are looked at."""
+    names = {"node": "b", "size": "size_b"} | {f"s{k}": f"t{k}" for k in range(SKETCH)}
+    both = pairs.join(sketches.withColumnsRenamed({"node": "a", "size": "size_a"}), "a").join(sketches.withColumnsRenamed(names), "b")
+    return both.where(_may_link(percent, "size_a", "size_b")).select("a", "b")
+
+
+def _left(sketches: DataFrame, active: DataFrame, percent: int) -> DataFrame:
     """``a, b`` of all nodes of different components under a gram that may be similar."""
     # Similar sets share a gram of their shortest prefixes.
     least = active.where(F.col("pos") < _prefix(percent, 1))
@@ -108,18 +133,17 @@ def _left(nodes: DataFrame, active: DataFrame, percent: int) -> DataFrame:
     blocks = F.ceil(F.col("nodes") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     ends = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.struct(F.least(i, own).cast("int").alias("i"), F.greatest(i, own).cast("int").alias("j")))
-    sketched = left.join(_sketches(nodes, left.select("node").distinct()), "node")
+    sketched = left.join(sketches.drop("size"), "node")
     dealt = sketched.select("*", own.alias("own"), F.explode(ends).alias("at")).select("gram", "at.i", "at.j", "own", "node", "n_grams", "pos", "comp", *(f"s{k}" for k in range(SKETCH)))
     dealt = written(dealt, "blocks")
     names = {"node": "other", "n_grams": "other_grams", "pos": "other_pos", "comp": "other_comp"} | {f"s{k}": f"t{k}" for k in range(SKETCH)}
     first = dealt.where("own = i").drop("own")
     second = dealt.where("own = j").select("gram", "i", "j", *(F.col(c).alias(d) for c, d in names.items()))
-    differ = sum((F.bit_count(F.col(f"s{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(SKETCH)), F.lit(0))
-    most = F.col("n_grams") + F.col("other_grams") - 2 * _least(percent, F.col("n_grams"), F.col("other_grams"))
-    pairs = first.join(second, ["gram", "i", "j"]).where("comp <> other_comp AND (i < j OR node < other)").where(passes(percent) & (differ <= most))
+    pairs = first.join(second, ["gram", "i", "j"]).where("comp <> other_comp AND (i < j OR node < other)").where(passes(percent) & _may_link(percent, "n_grams", "other_grams"))
     return written(pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "near")
 
 
+@tidied
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, component_id`` of each row of ``docs`` with words; as :func:`ngram_join.join`, which see."""
     sets = written(shingles(docs, n), "sets")
@@ -127,7 +151,7 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     nodes = written(sets.groupBy("low", "high").agg(F.min("doc_id").alias("least"), F.first("grams").alias("grams")).withColumn("node", F.monotonically_increasing_id()), "nodes")
     prefixes = _prefixes(nodes, percent)
     active = prefixes.withColumn("comp", F.col("node"))
-    found = tried = None
+    found = tried = sketches = None
     for turn in range(PIVOT_ROUNDS + 1):
         crowded = active
         if turn:
@@ -135,7 +159,15 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             active = written(active.select(ROW).join(_open(active), "gram"), "active")
             crowded = active.where(F.col("nodes") >= 4**turn)
         last = turn == PIVOT_ROUNDS or crowded.isEmpty()
-        pairs = _left(nodes, active.select(ROW), percent) if last else _near_pivots(crowded, range(2**turn, 2 ** (turn + 1)), percent)
+        if sketches is None and (turn or last):
+            # Most nodes are done after the first round.
+            sketches = _sketches(nodes, active.select("node").distinct())
+        if last:
+            pairs = _left(sketches, active.select(ROW), percent)
+        elif turn:
+            pairs = _possible(sketches, _near_more_pivots(crowded, turn, percent), percent)
+        else:
+            pairs = _near_pivots(active, percent)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quayside.llm.components import components
-from quayside.llm.tables import bounded_batches, written
+from quayside.llm.tables import bounded_batches, tidied, written
 from quayside.llm.words import longs, mixed, shingle_sets, slices
 
 #: Hashed counts of grams; a gram's place in the order is its bucket's count, in steps of an eighth of a power of 2.
@@ -188,6 +188,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, seed:
     return pairs.join(left, "a").join(right, "b").mapInArrow(verify, "a long, b long, overlap long")
 
 
+@tidied
 def links(docs: DataFrame, n: int = 5, percent: int = 80, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """Nodes and enough of their links to give the exact components of all links.
 
@@ -319,6 +320,7 @@ def _incidence(lists: list[np.ndarray]) -> np.ndarray:
     return flags
 
 
+@tidied
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_grams, component_id`` for each row of ``docs``.
 
@@ -338,6 +340,7 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     return nodes.join(named, "node", "left").select("doc_id", F.coalesce("n_grams", F.lit(0)).alias("n_grams"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+@tidied
 def first_of_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of their component, with all columns. Rows with a null id stay; rows of one id go together."""
     joined = join(docs, n, percent)

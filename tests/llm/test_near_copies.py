@@ -46,3 +46,26 @@ def test_group_that_links_in_parts_leaves_few_pairs(spark, monkeypatch):
     want = plain_components(texts, 5, 80)
     assert {r["doc_id"]: r["component_id"] for r in rows} == want and max(map(list(want.values()).count, set(want.values()))) > 200
     assert made[-1] < 320, made
+
+
+def test_group_without_links_leaves_few_sets_to_compare(spark, monkeypatch):
+    """Copies with four changed words each share most grams, and none links with another: sketches tell that, not whole sets."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(150)]
+    texts = {}
+    for i in range(140):
+        words = list(base)
+        for at in rng.sample(range(5, 145, 7), 4):
+            words[at] = f"own{i}at{at}"
+        texts[i] = " ".join(words)
+    compared, old = [], c._verified
+
+    def counted(nodes, pairs, percent):
+        compared.append(pairs.count())
+        return old(nodes, pairs, percent)
+
+    monkeypatch.setattr(c, "_verified", counted)
+    rows = c.join(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 5, 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == plain_components(texts, 5, 80) == {i: i for i in texts}
+    # The first round, with one pivot for each gram, has no sketches yet.
+    assert sum(compared[1:]) < 140, compared
