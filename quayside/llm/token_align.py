@@ -5,7 +5,8 @@ of both end together before a token that starts with a space, the text is cut: a
 single words and recur, so the alignment of a window is kept by its two tuples of ids and worked out once for each of them in a task.
 
 Texts are aligned in blocks of ``BLOCK_BYTES``. A block lists its distinct linked id pairs once, with the number of its documents that hold each; only these
-lists are shuffled to count pairs over the corpus and to bring the counts back, a row for each pair and block instead of one for each link.
+lists are shuffled to count pairs over the corpus and to bring the counts back, a row for each pair and block instead of one for each link. Which of them each document
+has is packed as bytes, and links are gathered for ``STEP_BYTES`` of text at a time, so that neither tasks nor the rows between them hold eight bytes for each link of a block.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quayside.llm.tables import written
+from quayside.llm.tables import bounded_batches, written
 from quayside.llm.words import FACTOR, mixed, slices
 
 #: Bytes of text in a block, and of text tokenised at once; a longer text is a block of its own.
@@ -37,6 +38,10 @@ PLAIN_CHARS = 100_000
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE = "▁"
 SHIFT = 32
+#: No id has these bytes.
+BETWEEN = b"\xff\xff\xff\xff"
+#: Most blocks in a row group of the written table, which is buffered as a whole where it is written and where it is read.
+GROUP_BLOCKS = 16
 
 
 def byte_letters() -> dict[str, int]:
@@ -101,21 +106,21 @@ class Groups:
         both = np.flatnonzero(ends_a[at] == ends_b)
         self.at_a, self.at_b = at[both] + 1, both + 1
 
-    def links(self, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Owner, pair of ids and times for the links of groups with these owners, in the order of groups."""
+    def links(self, owners: np.ndarray, kinds_b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Owner, pair of ids (that of A times ``kinds_b`` and that of B) and times for the links of groups with these owners, in the order of groups."""
         size_a, size_b = np.diff(self.at_a, prepend=0), np.diff(self.at_b, prepend=0)
         few = size_a * size_b <= MANY_LINKS
         sizes = np.where(few, size_a * size_b, 0)
         group = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         first, second = np.divmod(place, size_b[group]) if len(group) else (place, place)
-        pairs = self.a[(self.at_a - size_a)[group] + first] << SHIFT | self.b[(self.at_b - size_b)[group] + second]
+        pairs = self.a[(self.at_a - size_a)[group] + first] * kinds_b + self.b[(self.at_b - size_b)[group] + second]
         parts = [(group, pairs, np.ones(len(group), np.int64))]
         for g in np.flatnonzero(~few):
             # Ids that stand many times in a group are counted, not paired one by one.
             one, n = np.unique(self.a[self.at_a[g] - size_a[g] : self.at_a[g]], return_counts=True)
             other, m = np.unique(self.b[self.at_b[g] - size_b[g] : self.at_b[g]], return_counts=True)
-            pairs = (one[:, None] << SHIFT | other[None, :]).ravel()
+            pairs = (one[:, None] * kinds_b + other[None, :]).ravel()
             parts.append((np.full(len(pairs), g), pairs, (n[:, None] * m[None, :]).ravel()))
         group, pairs, times = (np.concatenate(p) for p in zip(*parts, strict=True))
         order = np.argsort(group, kind="stable")
@@ -161,15 +166,17 @@ class Aligner:
         self.a_lengths, self.b_lengths = (np.array([len(p) for p in pieces], np.int64) for pieces in (self.a.pieces, self.b.pieces))
         self.names = list(map(str, range(max(len(self.a.pieces), len(self.b.pieces)))))
         self.spaced = np.array([p.startswith(b" ") for p in self.a.pieces])
+        self.kinds_b = len(self.b.pieces)
+        self.pair_type = np.min_scalar_type(len(self.a.pieces) * self.kinds_b)
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[tuple[bytes, bytes], int] = {}
+        self.known: dict[bytes, int] = {}
         self.ids = 0
         self.texts: list[str] = []
         nothing = np.zeros(0, np.int64)
         # For each window its groups and links; for all windows one after the other their distinct links' pairs and times.
-        self.n_groups, self.n_links, self.n_pairs, self.pairs, self.times = nothing, nothing, nothing, nothing, nothing
+        self.n_groups, self.n_links, self.n_pairs, self.pairs, self.times = nothing, nothing, nothing, nothing.astype(self.pair_type), nothing.astype(np.uint8)
 
     def _learn(self, fresh: list[tuple[bytes, bytes]]) -> None:
         """Align windows that were not known before, all at once; they cover the same bytes, so their groups don't run into each other."""
@@ -182,9 +189,10 @@ class Aligner:
         for n in counts.tolist():
             self.texts.append(texts[start] if n == 1 else ";".join(texts[start : start + n]))
             start += n
-        owner, pairs, times = found.links(owners)
+        owner, pairs, times = found.links(owners, self.kinds_b)
         n_links = np.bincount(owner, weights=times, minlength=len(fresh)).astype(np.int64)
-        news = (counts, n_links, np.bincount(owner, minlength=len(fresh)), pairs, times)
+        # As few bytes as they take: nearly all links of a window stand there once.
+        news = (counts, n_links, np.bincount(owner, minlength=len(fresh)), pairs.astype(self.pair_type), times.astype(np.min_scalar_type(times.max(initial=0))))
         self.n_groups, self.n_links, self.n_pairs, self.pairs, self.times = (
             np.concatenate([old, new]) for old, new in zip((self.n_groups, self.n_links, self.n_pairs, self.pairs, self.times), news, strict=True)
         )
@@ -214,11 +222,11 @@ class Aligner:
         # Tuples of ids as their bytes: four for an id.
         raw_a, raw_b, known, fresh, numbers = a.tobytes(), b.tobytes(), self.known, [], []
         for i, x, j, y in zip(*((4 * at[first]).tolist() for at in (starts_a, ends_a, starts_b, ends_b)), strict=True):
-            window = (raw_a[i:x], raw_b[j:y])
+            window = raw_a[i:x] + BETWEEN + raw_b[j:y]
             number = known.get(window)
             if number is None:
                 number = known[window] = len(known)
-                fresh.append(window)
+                fresh.append((raw_a[i:x], raw_b[j:y]))
             numbers.append(number)
         if fresh:
             self._learn(fresh)
@@ -228,48 +236,63 @@ class Aligner:
         """Counts and groups of each text, and the distinct id pairs of the block."""
         if self.ids > MEMO_IDS:
             self.forget()
-        n_a, n_b, n_windows, numbers, digests = [], [], [], [np.zeros(0, np.int64)], []
+        n_a, n_b, digests, parts = [], [], [], []
         for start, stop in slices(texts, STEP_BYTES):
             a, b, own, other = self.tokens(texts.slice(start, stop - start).to_pylist())
             n_a.extend(own)
             n_b.extend(other)
             found, first = self.windows(a, b) if len(a) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
             # Each text starts with a space, so its start is an anchor.
-            ends = np.searchsorted(first, np.cumsum(own)).tolist()
+            ends = np.searchsorted(first, np.cumsum(own))
             named, i = list(map(self.texts.__getitem__, found.tolist())), 0
-            for j in ends:
+            for j in ends.tolist():
                 digests.append(sha256(";".join(named[i:j]).encode()).hexdigest() if j > i else "")
-                n_windows.append(j - i)
                 i = j
-            numbers.append(found)
-        window, until = np.concatenate(numbers), np.concatenate([[0], np.cumsum(n_windows)]).astype(np.int64)
-        sums = lambda values: np.diff(np.concatenate([[0], np.cumsum(values[window])])[until])
-        # One row for each pair of a window of a text, then one for each distinct pair of a text.
-        begin, size = (np.cumsum(self.n_pairs) - self.n_pairs)[window], self.n_pairs[window]
-        row = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        used, place = np.unique(row, return_inverse=True)
-        keys, pair = np.unique(self.pairs[used], return_inverse=True)
-        code = np.repeat(np.repeat(np.arange(len(texts)), n_windows), size) * max(1, len(keys)) + pair[place]
-        order = np.argsort(code)
-        code, times = code[order], self.times[row][order]
-        new = np.flatnonzero(np.diff(code, prepend=-1))
-        times = np.add.reduceat(times, new) if len(new) else times
-        owner, pair = np.divmod(code[new], max(1, len(keys)))
+            parts.append((*self._sums(found, ends), *self._pairs(found, ends, start)))
+        n_groups, n_links, owner, pairs, times = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (list(zip(*parts, strict=True)) or [()] * 5))
+        keys, pair = np.unique(pairs, return_inverse=True)
         return {
-            "n_a": n_a, "n_b": n_b, "n_groups": sums(self.n_groups), "n_links": sums(self.n_links), "groups_sha256": digests,
-            "n_pairs": np.bincount(owner, minlength=len(texts)), "pair": pair, "times": times, "keys": keys, "holders": np.bincount(pair, minlength=len(keys)),
+            "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "groups_sha256": digests, "n_pairs": np.bincount(owner, minlength=len(texts)),
+            "pair": pair.astype(np.int32), "times": times.astype(np.min_scalar_type(times.max(initial=0))),
+            "keys": keys // self.kinds_b << SHIFT | keys % self.kinds_b, "holders": np.bincount(pair, minlength=len(keys)),
         }
 
+    def _sums(self, found: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Groups and links of each text, whose windows end at ``ends``."""
+        until = np.concatenate([[0], ends])
+        return tuple(np.diff(np.concatenate([[0], np.cumsum(values[found])])[until]) for values in (self.n_groups, self.n_links))
+
+    def _pairs(self, found: np.ndarray, ends: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct pairs of each text, in order: the text's number from ``start`` on, the pair, and its times."""
+        begin, size = (np.cumsum(self.n_pairs) - self.n_pairs)[found], self.n_pairs[found]
+        row = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        kinds = len(self.a.pieces) * self.kinds_b
+        code = np.repeat(np.repeat(np.arange(len(ends)) * kinds, np.diff(ends, prepend=0)), size) + self.pairs[row]
+        times = self.times[row]
+        if (times == 1).all():
+            code.sort()
+            new = np.flatnonzero(np.diff(code, prepend=-1))
+            times = np.diff(np.append(new, len(code)))
+        else:
+            order = np.argsort(code)
+            code, times = code[order], times[order].astype(np.int64)
+            new = np.flatnonzero(np.diff(code, prepend=-1))
+            times = np.add.reduceat(times, new)
+        owner, pairs = np.divmod(code[new], kinds)
+        return owner + start, pairs, times
+
 
 COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_pairs"]
-LISTS = ["pair", "times", "keys", "holders"]
+LISTS = ["keys", "holders"]
+#: Of each document's pairs, one after the other: the place in ``keys``, 32 bits, and the times, as many bytes for each as the block's highest takes.
+PACKED = ["pair", "times"]
 
 
 def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, block_bytes: int | None = None) -> DataFrame:
     """A row for each block of texts: its documents, their pairs, and the distinct pairs of the block. Written, so that block numbers stay."""
     id_type = docs.schema["doc_id"].dataType
     block_bytes = BLOCK_BYTES if block_bytes is None else block_bytes
-    columns = [("block", "long"), ("doc_id", f"array<{id_type.simpleString()}>"), *((c, "array<long>") for c in COUNTS + LISTS), ("groups_sha256", "array<string>")]
+    columns = [("block", "long"), ("doc_id", f"array<{id_type.simpleString()}>"), *((c, "array<long>") for c in COUNTS + LISTS), *((c, "binary") for c in PACKED), ("groups_sha256", "array<string>")]
     ids = to_arrow_type(id_type)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,12 +303,14 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, block_bytes: int |
                 found = aligner.block(batch.column("text").slice(start, stop - start))
                 rows = [
                     pa.array([number]), pa.array([batch.column("doc_id").slice(start, stop - start).to_pylist()], pa.list_(ids)),
-                    *(pa.array([found[c]], pa.list_(pa.int64())) for c in COUNTS + LISTS), pa.array([found["groups_sha256"]], pa.list_(pa.string())),
+                    *(pa.array([found[c]], pa.list_(pa.int64())) for c in COUNTS + LISTS), *(pa.array([found[c].tobytes()], pa.binary()) for c in PACKED),
+                    pa.array([found["groups_sha256"]], pa.list_(pa.string())),
                 ]
                 yield pa.record_batch(rows, [c for c, _ in columns])
                 number += 1
 
-    return written(docs.select("doc_id", "text").mapInArrow(scan, ", ".join(f"{c} {t}" for c, t in columns)), "token-blocks")
+    frame = docs.select("doc_id", "text").mapInArrow(scan, ", ".join(f"{c} {t}" for c, t in columns))
+    return written(frame, "token-blocks", **{"parquet.block.row.count.limit": GROUP_BLOCKS})
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
@@ -308,6 +333,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, block_bytes: int | None = N
     count of its A id (ties included), ``count_sum`` is the sum of counts over links. ``groups_sha256`` digests ``a1,a2|b1;a3|b2,b3``.
     Memory follows ``BLOCK_BYTES`` or the longest text. An empty table gives an empty one.
     """
+    bounded_batches(docs.sparkSession)
     blocks = aligned_blocks(docs, path_a, path_b, block_bytes)
     counts = written(pair_counts(blocks), "token-pairs")
     asked = blocks.select("block", F.posexplode("keys").alias("pos", "key"))
@@ -318,10 +344,12 @@ def align(docs: DataFrame, path_a: str, path_b: str, block_bytes: int | None = N
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                one = {c: batch.column(c).slice(i, 1).flatten() for c in batch.schema.names if c != "block"}
+                one = {c: batch.column(c).slice(i, 1).flatten() for c in batch.schema.names if c not in ("block", *PACKED)}
+                pair, times = (batch.column(c)[i].as_buffer() for c in PACKED)
                 plain = lambda c: one[c].to_numpy(zero_copy_only=False).astype(np.int64)  # noqa: B023, E731
                 n, best = (one["told"].field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (1, 2))
-                pair, times = plain("pair"), plain("times")
+                times = np.frombuffer(times, f"u{len(times) // max(1, len(pair) // 4) or 1}").astype(np.int64)
+                pair = np.frombuffer(pair, np.int32)
                 until = np.concatenate([[0], np.cumsum(plain("n_pairs"))])
                 total = lambda per_link: np.diff(np.concatenate([[0], np.cumsum(per_link * times)])[until])  # noqa: B023, E731
                 out = [one["doc_id"], *(one[c] for c in ("n_a", "n_b", "n_groups", "n_links")), pa.array(total(best[pair])), pa.array(total(n[pair])), one["groups_sha256"]]

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from tokenizers import Tokenizer
 
 from quayside.llm import token_align
 from quayside.llm.queries import TOKENIZERS, op12_token_align
-from quayside.llm.tables import table
+from quayside.llm.tables import BATCH_SETTING, table
 
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
@@ -132,3 +133,20 @@ def test_both_libraries_agree(models):
 
 def test_empty_table(spark):
     assert rows_of(token_align.align(frame_of(spark, []), *TOKENIZERS)) == []
+
+
+def test_memory_does_not_follow_links_or_rows_of_a_partition(spark, models):
+    """Documents go to workers in bounded batches, a link of a block takes six bytes at most, and few blocks are buffered at once."""
+    rows = [(i, f"{'some words and others ' * 20}{i}") for i in range(200)]
+    docs = frame_of(spark, rows).coalesce(1)
+    spark.conf.unset(BATCH_SETTING)
+    try:
+        assert rows_of(token_align.align(docs, *TOKENIZERS, block_bytes=2000)) == brute(models, rows)
+        assert int(spark.conf.get(BATCH_SETTING)) <= 4 << 20
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+    blocks = token_align.aligned_blocks(docs, *TOKENIZERS, block_bytes=2000)
+    found = blocks.select(F.expr("octet_length(pair) + octet_length(times)").alias("bytes"), F.expr("aggregate(n_pairs, 0L, (x, y) -> x + y)").alias("links")).collect()
+    assert len(found) > token_align.GROUP_BLOCKS and all(0 < r["bytes"] <= 6 * r["links"] for r in found)
+    groups = [m.row_group(i).num_rows for f in blocks.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for i in range(m.num_row_groups)]
+    assert sum(groups) == len(found) and max(groups) <= token_align.GROUP_BLOCKS
